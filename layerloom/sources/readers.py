@@ -30,21 +30,31 @@ def read_table(
     history: str = "recent",
 ) -> DataFrame:
     """The stored rows; a table that was never written reads as empty with its declared schema."""
-    if history not in HISTORY_MODES:
-        raise ValueError(f"{history} is not a history mode, use one of {HISTORY_MODES}")
+    check_history_mode(history)
     if table.partition_column and not partition:
         raise ValueError(f"Table {table.name} is partitioned: name a partition")
     if table.file_format != "parquet" and table.file_format not in CSV_DIALECTS:
         raise ValueError(f"Unsupported file format: {table.file_format}")
 
-    df = _load(spark, table, path, partition)
-    if history == "recent" and TO_DATE in df.columns:
-        df = df.where(F.col(TO_DATE) == F.lit(OPEN_END).cast("date"))
+    df = keep_history(_load(spark, table, path, partition), history)
     if table.container == "landingzone":
         df = null_tokens(df)
     return clean_column_names(df)
 
 
+def check_history_mode(history: str) -> None:
+    if history not in HISTORY_MODES:
+        raise ValueError(f"{history} is not a history mode, use one of {HISTORY_MODES}")
+
+
+def keep_history(df: DataFrame, history: str) -> DataFrame:
+    """``recent`` keeps the open rows (the filter reaches the Parquet scan), ``complete`` all rows."""
+    check_history_mode(history)
+    if history == "recent" and TO_DATE in df.columns:
+        return df.where(F.col(TO_DATE) == F.lit(OPEN_END).cast("date"))
+    return df
+
+
 def _load(spark: SparkSession, table: TableDef, path: str, partition: str) -> DataFrame:
     if table.partition_column and partition != ALL_PARTITIONS:
         storage.recover(spark, partition_path(path, table, partition))
