@@ -2,9 +2,10 @@
 
 While rows keep their identity (select, filter, join) each row carries its sources in one small array
 column: one entry per joined source. Grouping would collect every source id of a group into a single
-row, which no task can hold for a hot group. A grouped row therefore carries one *link* entry
-``(token, group key)``, and the members of the groups stay a DataFrame of their own. Links are turned
-into plain (source, target) edges by a join when edges are asked for.
+row, which no task can hold for a hot group. A grouped row therefore carries one *link* entry, the
+key of its group, and the members of the groups stay a DataFrame of their own. Links are turned into
+plain (source, target) edges by an inner join when edges are asked for; Spark can split a hot group
+over many tasks there.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.constants import LINEAGE, LINEAGE_TYPE, OPEN_END, RECORD_ID, TO_DATE
-from layerloom.functions.hashing import row_hash
+from layerloom.functions.hashing import row_text
+from layerloom.operators.relations import union_all
 
 SOURCE_TABLE = "source_table_name"
 SOURCE_ID = "source_RecordID"
@@ -25,6 +27,7 @@ TARGET_TABLE = "target_table_name"
 TARGET_ID = "target_RecordID"
 EDGE_COLUMNS = (SOURCE_ID, SOURCE_TABLE, TARGET_ID, TARGET_TABLE)
 
+LINK = "(group)"
 _tokens = itertools.count(1)
 
 
@@ -33,9 +36,24 @@ class GroupLink:
     """Which sources went into the groups of one grouping."""
 
     token: str
+    keys: tuple[str, ...]
     members: DataFrame  # _group, source_table_name, source_RecordID
 
 
+@dataclass(frozen=True)
+class Sources:
+    """What the lineage column of a frame may hold, known without looking at rows."""
+
+    groups: tuple[GroupLink, ...] = ()
+    direct: bool = True
+    # Every row holds exactly one link and differs from all other rows in the group keys.
+    grouped_by: tuple[str, ...] | None = None
+
+    def joined(self, other: Sources) -> Sources:
+        groups = tuple(dict.fromkeys([*self.groups, *other.groups]))
+        return Sources(groups, self.direct or other.direct)
+
+
 def entry(source: Column, record_id: Column) -> Column:
     return F.array(
         F.struct(source.alias(SOURCE_TABLE), record_id.cast("string").alias(SOURCE_ID))
@@ -56,56 +74,57 @@ def merged(left: Column, right: Column) -> Column:
     return F.array_union(F.coalesce(left, no_sources()), F.coalesce(right, no_sources()))
 
 
-def group_link(df: DataFrame, keys: Sequence[str]) -> GroupLink:
-    """Describe the members of the groups of ``df`` by ``keys``."""
-    members = df.select(row_hash(df, keys).alias("_group"), F.explode(LINEAGE).alias("_e"))
-    return GroupLink(
-        f"group:{next(_tokens)}", members.select("_group", f"_e.{SOURCE_TABLE}", f"_e.{SOURCE_ID}").distinct()
-    )
+def _group_key(df: DataFrame, keys: Sequence[str], token: str) -> Column:
+    """128 bits that name a group among the groups of all groupings."""
+    return F.md5(F.concat(F.lit(token), row_text(df.schema, keys)))
 
 
-def linked(df: DataFrame, keys: Sequence[str], link: GroupLink) -> DataFrame:
-    """Give grouped rows their link entry."""
-    return df.withColumn(LINEAGE, entry(F.lit(link.token), row_hash(df, keys)))
+def link_groups(
+    df: DataFrame, grouped: DataFrame, keys: Sequence[str], sources: Sources
+) -> tuple[DataFrame, Sources]:
+    """Give the grouped rows their link entry and describe the members of the groups."""
+    token = f"{next(_tokens)}:"
+    members = row_sources(df, sources, [_group_key(df, keys, token).alias("_group")])
+    link = GroupLink(token, tuple(keys), members)
+    linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_key(grouped, keys, token)))
+    return linked, Sources((link,), direct=False, grouped_by=tuple(keys))
 
 
 def row_sources(
-    df: DataFrame, groups: Sequence[GroupLink], keep: Sequence[Column | str]
+    df: DataFrame, sources: Sources, keep: Sequence[Column | str], unique: bool = False
 ) -> DataFrame:
     """One row per (row of ``df``, source): the kept columns, source table and source id.
 
-    Later groupings can only link to earlier ones, so one pass in reverse order resolves all links.
+    ``unique`` says that the kept columns identify a row, which saves the last shuffle after a
+    grouping. Members hold plain sources only, so one join resolves all links.
     """
-    edges = df.select(*keep, F.explode(LINEAGE).alias("_e"))
-    edges = edges.select(
-        *edges.columns[:-1], F.col(f"_e.{SOURCE_TABLE}"), F.col(f"_e.{SOURCE_ID}")
-    )
-    for group in reversed(groups):
-        edges = _resolve(edges, group)
-    return edges.distinct()
-
-
-def _resolve(edges: DataFrame, group: GroupLink) -> DataFrame:
-    members = group.members.select(
-        "_group",
-        F.col(SOURCE_TABLE).alias("_table"),
-        F.col(SOURCE_ID).alias("_id"),
+    # The outer form of explode keeps the optimizer from computing the entries a second time.
+    entries = df.select(*keep, F.explode_outer(LINEAGE).alias("_e"))
+    kept = entries.columns[:-1]
+    entries = entries.select(*kept, f"_e.{SOURCE_TABLE}", f"_e.{SOURCE_ID}")
+    if not sources.groups:
+        return entries.where(F.col(SOURCE_ID).isNotNull()).distinct()
+    members = union_all([g.members for g in sources.groups]).withColumnRenamed("_group", "_of")
+    links = entries.where(F.col(SOURCE_TABLE) == LINK).select(
+        *kept, F.col(SOURCE_ID).alias("_link")
     )
-    is_link = F.col(SOURCE_TABLE) == group.token
-    joined = edges.join(members, is_link & (F.col(SOURCE_ID) == F.col("_group")), "left")
-    kept = [c for c in edges.columns if c not in (SOURCE_TABLE, SOURCE_ID)]
-    # A link without members (their lineage was empty) has no source to report.
-    return joined.where(~is_link | F.col("_id").isNotNull()).select(
-        *kept,
-        F.when(is_link, F.col("_table")).otherwise(F.col(SOURCE_TABLE)).alias(SOURCE_TABLE),
-        F.when(is_link, F.col("_id")).otherwise(F.col(SOURCE_ID)).alias(SOURCE_ID),
+    if sources.grouped_by is None:
+        links = links.distinct()
+    resolved = links.join(members, F.col("_link") == F.col("_of")).select(
+        *kept, SOURCE_TABLE, SOURCE_ID
     )
+    if sources.grouped_by is not None and unique:
+        return resolved
+    if sources.direct:
+        direct = entries.where((F.col(SOURCE_TABLE) != LINK) & F.col(SOURCE_ID).isNotNull())
+        resolved = resolved.unionByName(direct)
+    return resolved.distinct()
 
 
-def open_edges(df: DataFrame, groups: Sequence[GroupLink], target: str) -> DataFrame:
+def open_edges(df: DataFrame, sources: Sources, target: str) -> DataFrame:
     """Edges of the open rows of a table that is about to be stored."""
     rows = df.where(F.col(TO_DATE) == F.lit(OPEN_END).cast("date"))
-    edges = row_sources(rows, groups, [F.col(RECORD_ID).alias(TARGET_ID)])
+    edges = row_sources(rows, sources, [F.col(RECORD_ID).alias(TARGET_ID)], unique=True)
     return edges.select(SOURCE_ID, SOURCE_TABLE, TARGET_ID, F.lit(target).alias(TARGET_TABLE))
 
 

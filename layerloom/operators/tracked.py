@@ -41,7 +41,7 @@ class TrackedFrame:
     workspace: Workspace | None = None
     partition: str = ""
     history: str = "recent"
-    groups: tuple[lineage.GroupLink, ...] = ()
+    origin: lineage.Sources = lineage.Sources()
 
     # -- access -------------------------------------------------------------------------------
 
@@ -64,7 +64,7 @@ class TrackedFrame:
         return self.df.drop(LINEAGE)
 
     def with_df(self, df: DataFrame) -> TrackedFrame:
-        """The same table around other rows."""
+        """The same table around other rows, which must come from these rows one by one."""
         return replace(self, df=df)
 
     def with_columns(self, **columns: Column) -> TrackedFrame:
@@ -135,7 +135,6 @@ class TrackedFrame:
             [_side(a, "l") == _side(b, "r") for a, b in zip(left_keys, right_keys, strict=True)],
         )
         joined = left.join(right, condition, kind)
-        groups = tuple(dict.fromkeys([*self.groups, *other.groups]))
         if kind in ("left_semi", "left_anti"):
             return self.with_df(joined.select("l.*"))
 
@@ -163,7 +162,9 @@ class TrackedFrame:
         elif self.is_tracked or other.is_tracked:
             side = "l" if self.is_tracked else "r"
             columns.append(F.coalesce(F.col(f"{side}.{LINEAGE}"), lineage.no_sources()).alias(LINEAGE))
-        return replace(self, df=joined.select(*columns), groups=groups)
+        return replace(
+            self, df=joined.select(*columns), origin=self.origin.joined(other.origin)
+        )
 
     # -- grouping -----------------------------------------------------------------------------
 
@@ -175,10 +176,8 @@ class TrackedFrame:
         )
         if not self.is_tracked:
             return self.with_df(grouped)
-        link = lineage.group_link(self.df, keys)
-        return replace(
-            self, df=lineage.linked(grouped, keys, link), groups=(*self.groups, link)
-        )
+        linked, origin = lineage.link_groups(self.df, grouped, keys, self.origin)
+        return replace(self, df=linked, origin=origin)
 
     def average(self, columns: Sequence[str], value: str, output: str | None = None) -> TrackedFrame:
         return self.group_by(columns, F.avg(value).alias(output or f"avg({value})"))
@@ -194,14 +193,17 @@ class TrackedFrame:
         if self.is_tracked != other.is_tracked:
             left = left if self.is_tracked else left.withColumn(LINEAGE, lineage.no_sources())
             right = right if other.is_tracked else right.withColumn(LINEAGE, lineage.no_sources())
-        groups = tuple(dict.fromkeys([*self.groups, *other.groups]))
-        return replace(self, df=left.unionByName(right), groups=groups).distinct()
+        both = replace(self, df=left.unionByName(right), origin=self.origin.joined(other.origin))
+        return both.distinct()
 
     # -- lineage ------------------------------------------------------------------------------
 
     def sources(self, *keep: str) -> DataFrame:
         """Source table and record id of every row, next to the columns that identify it."""
-        return lineage.row_sources(self.df, self.groups, keep or (RECORD_ID,))
+        keep = keep or (RECORD_ID,)
+        grouped_by = self.origin.grouped_by
+        unique = grouped_by is not None and set(grouped_by) <= set(keep)
+        return lineage.row_sources(self.df, self.origin, keep, unique)
 
     # -- storage ------------------------------------------------------------------------------
 

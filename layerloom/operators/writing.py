@@ -116,7 +116,7 @@ def _publish_with_lineage(
     except Exception:
         storage.delete(space.spark, ready)
         raise
-    publish_edges(space, frame.table, lineage.open_edges(staged, frame.groups, frame.name))
+    publish_edges(space, frame.table, lineage.open_edges(staged, frame.origin, frame.name))
 
 
 def stored_edges(space: Workspace, target: str) -> DataFrame:

@@ -47,5 +47,5 @@ class Workspace:
         """Rows that are to become the table ``name``; a tracked source keeps its lineage."""
         table = self.catalog.find(name)
         if isinstance(source, TrackedFrame):
-            return TrackedFrame(source.df, table, self, partition, groups=source.groups)
+            return TrackedFrame(source.df, table, self, partition, origin=source.origin)
         return TrackedFrame(source, table, self, partition)
