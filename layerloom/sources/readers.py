@@ -13,9 +13,9 @@ from layerloom.sources import storage
 
 # The CSV dialects, the null tokens and the two history modes.
 CSV_DIALECTS = {
-    "csv": {"sep": ",", "quote": '"'},
-    "csv_pipe_sep": {"sep": "|", "quote": '"'},
-    "multiline": {"sep": ";", "quote": "~"},
+    "csv": {"sep": ",", "quote": '"', "escape": '"'},
+    "csv_pipe_sep": {"sep": "|", "quote": '"', "escape": '"'},
+    "multiline": {"sep": ";", "quote": "~", "escape": "~"},
 }
 NULL_TOKENS = ("NA", "nan")
 HISTORY_MODES = ("recent", "complete")
