@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerloom.catalog import TableDef
-from layerloom.constants import LINEAGE, RECORD_ID, TO_DATE
+from layerloom.constants import HISTORY_COLUMNS, LINEAGE, RECORD_ID, TO_DATE
 from layerloom.operators import lineage, quality
 from layerloom.operators.history import add_record_id, merge_history
 from layerloom.operators.tracked import TrackedFrame
@@ -37,8 +37,19 @@ def compare_with_stored(frame: TrackedFrame, processing_date: dt.date | None = N
 
 def validate_structure(df: DataFrame, table: TableDef) -> None:
     """Names, types and order must be those of the definition; nothing is read."""
-    actual = [(f.name, f.dataType) for f in df.schema.fields if f.name != LINEAGE]
-    declared = [(f.name, f.dataType) for f in table.stored_columns.fields]
+    _require_columns(df, table, ignored=(LINEAGE,))
+
+
+def validate_values(df: DataFrame, table: TableDef) -> None:
+    """The same for rows that have no history yet: a merge would hide a wrong type."""
+    _require_columns(df, table, ignored=(LINEAGE, *HISTORY_COLUMNS))
+
+
+def _require_columns(df: DataFrame, table: TableDef, ignored: tuple[str, ...]) -> None:
+    actual, declared = (
+        [(f.name, f.dataType) for f in schema.fields if f.name not in ignored]
+        for schema in (df.schema, table.stored_columns)
+    )
     if actual != declared:
         raise ValueError(
             f"The structure of {table.name} does not match its definition: "
@@ -77,6 +88,7 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
     if table.partition_column and table.partition_column not in frame.df.columns:
         frame = frame.with_df(frame.df.withColumn(table.partition_column, F.lit(frame.partition)))
 
+    validate_values(frame.df, table)
     merged = add_record_id(
         compare_with_stored(frame, space.processing_date), table.partition_column
     )
