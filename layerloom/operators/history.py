@@ -12,6 +12,8 @@ from layerloom.functions.hashing import row_hash, row_key
 from layerloom.functions.times import date_literal
 from layerloom.operators.lineage import no_sources
 
+COPIES_ERROR = "Not all rows in the table are unique"
+
 
 def value_columns(df: DataFrame) -> list[str]:
     """Columns that make two versions of a row differ."""
@@ -37,17 +39,29 @@ def merge_history(
 
     There is no business key: a changed row closes one version and opens another. The row content is
     hashed once per side, and a single full join on the 32-byte hash decides all three cases. Closed
-    versions are appended without a shuffle. Hash keys are unique per side, so the join cannot skew.
+    versions are appended without a shuffle.
+
+    Incoming copies of one row are an error, raised when the result is computed. They are collapsed
+    before the shuffle, on the key the join needs anyway: however many copies there are, the join sees
+    each key once per side and cannot skew.
     """
     values = value_columns(incoming)
     tracked = LINEAGE in incoming.columns
     today = date_literal(processing_date)
     open_end = F.lit(OPEN_END).cast("date")
 
-    new = incoming.select(
-        row_key(incoming, values, hash_mode).alias("_new_key"),
-        F.struct(*values).alias("_new"),
-        *([F.col(LINEAGE).alias("_new_lineage")] if tracked else []),
+    new = (
+        incoming.select(
+            row_key(incoming, values, hash_mode).alias("_new_key"),
+            F.struct(*values).alias("_new"),
+            *([F.col(LINEAGE).alias("_new_lineage")] if tracked else []),
+        )
+        .groupBy("_new_key")
+        .agg(
+            F.count(F.lit(1)).alias("_copies"),
+            F.first("_new").alias("_new"),
+            *([F.first("_new_lineage").alias("_new_lineage")] if tracked else []),
+        )
     )
     current = stored.where(F.col(TO_DATE) == open_end).select(*values, FROM_DATE)
     old = current.select(
@@ -57,10 +71,14 @@ def merge_history(
     )
     joined = new.join(old, F.col("_new_key") == F.col("_old_key"), "full")
     row = F.coalesce("_new", "_old")
+    copied = F.raise_error(F.lit(COPIES_ERROR)).cast("date")
     merged = joined.select(
         *[row.getField(c).alias(c) for c in values],
         F.when(F.col("_old_key").isNull(), today).otherwise(F.col("_old_from")).alias(FROM_DATE),
-        F.when(F.col("_new_key").isNull(), today).otherwise(open_end).alias(TO_DATE),
+        F.when(F.col("_copies") > 1, copied)
+        .when(F.col("_new_key").isNull(), today)
+        .otherwise(open_end)
+        .alias(TO_DATE),
         *([F.coalesce("_new_lineage", no_sources()).alias(LINEAGE)] if tracked else []),
     )
     closed = stored.where(F.col(TO_DATE) != open_end).select(

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from layerloom.operators.relations import null_safe_join
 
-MAX_BUCKETS = 2048
+MAX_BUCKETS = 8192
 BUCKET = "_bucket"
 
 
@@ -30,7 +30,7 @@ def quantile_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list
         return []
     steps = [i / buckets for i in range(1, buckets)]
     number = df.select(F.col(value).cast("double").alias("v"))
-    found = number.approxQuantile("v", steps, 1 / (4 * buckets))
+    found = number.approxQuantile("v", steps, 1 / (2 * buckets))
     return sorted({c for c in found if abs(c) != float("inf")})
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from layerloom.catalog import TableDef
 from layerloom.constants import HISTORY_COLUMNS, LINEAGE, RECORD_ID, TO_DATE
 from layerloom.operators import lineage, quality
-from layerloom.operators.history import add_record_id, merge_history
+from layerloom.operators.history import COPIES_ERROR, add_record_id, merge_history
 from layerloom.operators.tracked import TrackedFrame
 from layerloom.sources import readers, storage
 from layerloom.workspace import Workspace
@@ -65,7 +66,7 @@ def check_distinct_rows(df: DataFrame) -> None:
     """No row may occur twice. The record id stands for every column but ``to_date``."""
     twice = df.groupBy(RECORD_ID, TO_DATE).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not twice.isEmpty():
-        raise ValueError("Not all rows in the table are unique")
+        raise ValueError(COPIES_ERROR)
 
 
 def validate(df: DataFrame, table: TableDef) -> None:
@@ -97,12 +98,13 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
     target = space.path(table, frame.partition if table.partition_column else "")
     staged_path = storage.staging_path(target)
     # The folder name states the partition, so its column is not stored in the files.
-    merged.drop(table.partition_column).write.parquet(staged_path)
     try:
+        _stage(merged.drop(table.partition_column), staged_path)
         staged = space.spark.read.schema(merged.drop(table.partition_column).schema).parquet(
             staged_path
         )
-        check_distinct_rows(staged)
+        # Incoming copies fail above and stored rows are distinct, so only rows closed today can clash.
+        check_distinct_rows(staged.where(F.col(TO_DATE) == F.lit(space.processing_date)))
         quality.check_blocking(staged, table.quality_checks)
         if frame.is_tracked:
             _publish_with_lineage(space, frame, staged, target)
@@ -117,6 +119,19 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
     return space.read(table.name, frame.partition, frame.history)
 
 
+def _stage(rows: DataFrame, path: str) -> None:
+    try:
+        rows.write.parquet(path)
+    except PySparkException as error:
+        if _mentions(error, COPIES_ERROR):
+            raise ValueError(COPIES_ERROR) from error
+        raise
+
+
+def _mentions(error: BaseException | None, text: str) -> bool:
+    return error is not None and (text in str(error) or _mentions(error.__cause__, text))
+
+
 def _publish_with_lineage(
     space: Workspace, frame: TrackedFrame, staged: DataFrame, target: str
 ) -> None:

@@ -224,7 +224,9 @@ def emission_profile(
         F.avg("profile_ranking").alias("average_profile_ranking"),
         F.avg(co2).alias(f"average_{co2}"),
     )
-    wide = mapping.join(emissions, activity_id)
+    # All other columns are looked up for one activity per ledger entry only.
+    lowest = linked.groupBy(ledger_id).agg(F.min(activity_id).alias(activity_id))
+    wide = null_safe_join(mapping, lowest, [ledger_id, activity_id]).join(emissions, activity_id)
     rest = [c for c in wide.columns if c not in (ledger_id, activity_id)]
     kept = first_per_group(wide, [ledger_id], [activity_id, *rest])
     return (
