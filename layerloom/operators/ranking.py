@@ -4,95 +4,135 @@ A window ordered over a whole table, or over a group that holds a third of it, s
 single task. Here the values are cut into buckets at approximate quantiles. Each (group, bucket) is
 ranked on its own and shifted by the number of distinct values in the lower buckets of its group.
 Quantiles only balance the work: any cut gives the same exact ranks.
+
+A value that alone fills more than a bucket gets a bucket of its own. All its rows have rank 1 there,
+so they can be spread over several tasks. Nulls and NaN are treated the same way.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from layerloom.operators.relations import null_safe_join
+from layerloom.functions.hashing import row_text
 
 MAX_BUCKETS = 8192
-BUCKET = "_bucket"
+EXACT_INTEGERS = 2.0**53
+EXACT_DIGITS = 15
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Limits between buckets, and the values that are frequent enough to stand alone."""
+
+    limits: tuple[float, ...] = ()
+    frequent: tuple[float, ...] = ()
+    spread: int = 1
 
 
-def quantile_cuts(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Inner bucket limits; at most ``MAX_BUCKETS`` numbers reach the driver."""
+def _number(value: str) -> Column:
+    # Adding zero turns -0.0 into 0.0; the two are equal in an ordering but not in a search.
+    return F.col(value).cast("double") + F.lit(0.0)
+
+
+def quantile_cuts(df: DataFrame, value: str, buckets: int | None = None) -> Cuts:
+    """Cuts for any rows of ``df``; at most ``MAX_BUCKETS`` numbers reach the driver."""
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(1, min(buckets, MAX_BUCKETS))
-    if buckets == 1:
-        return []
     steps = [i / buckets for i in range(1, buckets)]
-    number = df.select(F.col(value).cast("double").alias("v"))
-    found = number.approxQuantile("v", steps, 1 / (2 * buckets))
-    return sorted({c for c in found if abs(c) != float("inf")})
-
-
-def add_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
-    """Bucket number of each value; nulls sort first and get a bucket of their own."""
-    if not cuts:
-        return df.withColumn(BUCKET, F.when(F.col(value).isNull(), -1).otherwise(0))
-    infinity = float("inf")
-    bucketizer = Bucketizer(
-        splits=[-infinity, *cuts, infinity],
-        inputCol="_number",
-        outputCol=BUCKET,
-        handleInvalid="keep",
+    number = df.select(_number(value).alias("v"))
+    found = number.approxQuantile("v", steps, 1 / (2 * buckets)) if steps else []
+    found = sorted(c for c in found if math.isfinite(c))
+    repeated = {a for a, b in zip(found, found[1:], strict=False) if a == b}
+    return Cuts(tuple(sorted(set(found))), tuple(sorted(repeated)), buckets)
+
+
+def _stands_alone(df: DataFrame, value: str, cuts: Cuts) -> Column:
+    """Rows whose bucket holds one single value."""
+    kind = df.schema[value].dataType
+    frequent = list(cuts.frequent)
+    if isinstance(kind, T.IntegralType):
+        frequent = [v for v in frequent if abs(v) < EXACT_INTEGERS]
+    elif isinstance(kind, T.DecimalType) and kind.precision > EXACT_DIGITS:
+        frequent = []  # different decimals may share a double
+    number = _number(value)
+    return F.col(value).isNull() | F.isnan(number) | number.isin(frequent)
+
+
+def _bucketed(df: DataFrame, by: Sequence[str], value: str, cuts: Cuts) -> DataFrame:
+    """Add the group key, the bucket and the part of the bucket a row is ranked in."""
+    prepared = df.withColumns(
+        {
+            "_key": row_text(df.schema, by) if by else F.lit(""),
+            "_number": _number(value),
+            "_alone": _stands_alone(df, value, cuts),
+        }
     )
-    bucketed = bucketizer.transform(df.withColumn("_number", F.col(value).cast("double")))
-    number = F.when(F.col(value).isNull(), -1).otherwise(F.col(BUCKET).cast("int"))
-    return bucketed.withColumn(BUCKET, number).drop("_number")
+    infinity = float("inf")
+    if cuts.limits:
+        prepared = Bucketizer(
+            splits=[-infinity, *cuts.limits, infinity],
+            inputCol="_number",
+            outputCol="_range",
+            handleInvalid="keep",
+        ).transform(prepared)
+    else:
+        prepared = prepared.withColumn("_range", F.when(F.isnan("_number"), 1).otherwise(0))
+    # A frequent value is the lower limit of its range, so it comes before the rest of the range.
+    bucket = F.coalesce(F.col("_range").cast("int"), F.lit(0)) * 2 + (~F.col("_alone")).cast("int")
+    return prepared.withColumns(
+        {
+            "_bucket": F.when(F.col(value).isNull(), -1).otherwise(bucket),
+            "_part": F.when(F.col("_alone"), F.spark_partition_id() % cuts.spread).otherwise(0),
+        }
+    ).drop("_number", "_range", "_alone")
+
+
+def _ranked(bucketed: DataFrame, value: str) -> DataFrame:
+    within = Window.partitionBy("_key", "_bucket", "_part").orderBy(value)
+    return bucketed.withColumn("_rank", F.dense_rank().over(within))
 
 
-def value_ranks(
-    df: DataFrame, by: Sequence[str], value: str, cuts: Sequence[float] | None = None
+def with_dense_rank(
+    df: DataFrame, by: Sequence[str], value: str, cuts: Cuts | None = None
 ) -> DataFrame:
-    """One row per distinct (group, value): ``dense_rank``, ``distinct_count``, ``row_count``.
+    """Attach ``dense_rank``, ``distinct_count`` and ``row_count`` of the group to every row.
 
-    The two counts belong to the whole group. A null counts as a value and ranks first.
+    ``value`` is numeric. A null counts as a value and ranks first, NaN ranks last. Two shuffles: one
+    of the keys and values to size the buckets, one of the whole rows to rank them.
     """
     if cuts is None:
         cuts = quantile_cuts(df, value)
-    values = (
-        add_bucket(df.select(*by, value), value, cuts)
-        .groupBy(*by, BUCKET, value)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = (
+        _ranked(_bucketed(df.select(*dict.fromkeys([*by, value])), by, value, cuts), value)
+        .groupBy("_key", "_bucket", "_part")
+        .agg(F.max("_rank").alias("_n"), F.count(F.lit(1)).alias("_m"))
+        .groupBy("_key", "_bucket")
+        .agg(F.max("_n").cast("bigint").alias("_n"), F.sum("_m").alias("_m"))
     )
-    within = Window.partitionBy(*by, BUCKET).orderBy(value)
-    ranked = values.withColumn("_rank", F.row_number().over(within))
-
     # At most one row per group and bucket from here on.
-    group = Window.partitionBy(*by)
-    before = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        values.groupBy(*by, BUCKET)
-        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_rows").alias("_m"))
-        .select(
-            *by,
-            BUCKET,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-            F.sum("_n").over(group).alias("distinct_count"),
-            F.sum("_m").over(group).alias("row_count"),
-        )
+    group = Window.partitionBy("_key")
+    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        F.col("_key").alias("_group_key"),
+        F.col("_bucket").alias("_group_bucket"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(group).alias("distinct_count"),
+        F.sum("_m").over(group).alias("row_count"),
     )
-    joined = null_safe_join(ranked, offsets, [*by, BUCKET])
-    return joined.select(
-        *by,
-        value,
+    rows = _ranked(_bucketed(df, by, value, cuts), value)
+    matches = (F.col("_key") == F.col("_group_key")) & (F.col("_bucket") == F.col("_group_bucket"))
+    return rows.join(offsets, matches).select(
+        *df.columns,
         (F.col("_rank") + F.col("_offset")).alias("dense_rank"),
         "distinct_count",
         "row_count",
     )
-
-
-def with_dense_rank(
-    df: DataFrame, by: Sequence[str], value: str, cuts: Sequence[float] | None = None
-) -> DataFrame:
-    """Attach ``dense_rank``, ``distinct_count`` and ``row_count`` to every row."""
-    return null_safe_join(df, value_ranks(df, by, value, cuts), [*by, value])

@@ -15,7 +15,12 @@ def null_safe_join(
 ) -> DataFrame:
     """Equi-join in which null keys meet; the key columns of the left side are kept."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    matches = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
+    matches = []
+    for key in keys:
+        a, b = left[key], renamed[f"_r_{key}"]
+        # A key that is never null on one side needs no null-safe form, which doubles the join keys.
+        plain = not (left.schema[key].nullable and right.schema[key].nullable)
+        matches.append(a == b if plain else a.eqNullSafe(b))
     condition = reduce(Column.__and__, matches, F.lit(True))
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 

@@ -168,15 +168,22 @@ class TrackedFrame:
 
     # -- grouping -----------------------------------------------------------------------------
 
-    def group_by(self, columns: Sequence[str], *aggregates: Column) -> TrackedFrame:
-        """Any aggregate expressions per group, in one aggregation; null keys form groups."""
+    def group_by(
+        self, columns: Sequence[str], *aggregates: Column, members: TrackedFrame | None = None
+    ) -> TrackedFrame:
+        """Any aggregate expressions per group, in one aggregation; null keys form groups.
+
+        Sources are looked up in ``members`` where it is given: rows with the same keys and lineage
+        that were cheaper to compute, such as these rows before a derived column was joined to them.
+        """
         keys = list(columns)
         grouped = (
             self.df.groupBy(*keys).agg(*aggregates) if aggregates else self.df.select(*keys).distinct()
         )
         if not self.is_tracked:
             return self.with_df(grouped)
-        linked, origin = lineage.link_groups(self.df, grouped, keys, self.origin)
+        rows = members or self
+        linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin)
         return replace(self, df=linked, origin=origin)
 
     def average(self, columns: Sequence[str], value: str, output: str | None = None) -> TrackedFrame:

@@ -15,7 +15,7 @@ from layerloom.functions.bands import RANK_BANDS, REDUCTION_BANDS, clamp_unit, r
 from layerloom.functions.hashing import row_text
 from layerloom.functions.naming import find_column, require_columns
 from layerloom.functions.text import clean_industry_code
-from layerloom.operators.ranking import quantile_cuts, value_ranks, with_dense_rank
+from layerloom.operators.ranking import quantile_cuts, with_dense_rank
 from layerloom.operators.relations import (
     first_per_group,
     first_value_by,
@@ -203,29 +203,29 @@ def emission_profile(
     rows of its group. Of the activities of a ledger entry, the one with the lowest id lends its
     other columns.
     """
-    groups = benchmarks(isic, sector, unit)
-    narrow = [activity_id, co2, *dict.fromkeys([isic, sector, unit])]
-    keys = ["benchmark_group", "_group"]
-    ranks = value_ranks(
-        per_benchmark(emissions.select(*narrow), groups).select(*keys, co2),
-        keys,
+    narrow = emissions.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
+    ranked = with_dense_rank(
+        per_benchmark(narrow, benchmarks(isic, sector, unit)).drop(isic, sector, unit),
+        ["benchmark_group", "_group"],
         co2,
         quantile_cuts(emissions, co2),
     )
     size = F.when(F.col("benchmark_group") == ALL_BENCHMARK, F.col("distinct_count")).otherwise(
         F.col("row_count")
     )
-    # Only ids and the benchmark columns are multiplied by six.
-    linked = mapping.select(ledger_id, activity_id).join(emissions.select(*narrow), activity_id)
-    scored = null_safe_join(
-        per_benchmark(linked, groups).select(ledger_id, *keys, co2), ranks, [*keys, co2]
-    ).withColumn("profile_ranking", F.col("dense_rank") / size)
+    ranked = ranked.withColumn("profile_ranking", F.col("dense_rank") / size)
+    # Only ids, footprints and ranks exist once per benchmark.
+    ids = mapping.select(ledger_id, activity_id)
+    scored = ids.join(
+        ranked.select(activity_id, "benchmark_group", "profile_ranking", co2), activity_id
+    )
     averages = scored.groupBy(ledger_id, "benchmark_group").agg(
         F.avg("profile_ranking").alias("average_profile_ranking"),
         F.avg(co2).alias(f"average_{co2}"),
     )
     # All other columns are looked up for one activity per ledger entry only.
-    lowest = linked.groupBy(ledger_id).agg(F.min(activity_id).alias(activity_id))
+    known = ids.join(narrow.select(activity_id), activity_id, "left_semi")
+    lowest = known.groupBy(ledger_id).agg(F.min(activity_id).alias(activity_id))
     wide = null_safe_join(mapping, lowest, [ledger_id, activity_id]).join(emissions, activity_id)
     rest = [c for c in wide.columns if c not in (ledger_id, activity_id)]
     kept = first_per_group(wide, [ledger_id], [activity_id, *rest])
@@ -255,23 +255,24 @@ def upstream_profile(
     """
     groups = benchmarks(isic, sector, unit, INPUT_PREFIX)
     narrow = upstream.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
+    inputs = narrow.with_df(per_benchmark(narrow.df, groups).drop(isic, sector, unit))
     ranked = with_dense_rank(
-        per_benchmark(narrow.df, groups).drop(isic, sector, unit),
-        ["benchmark_group", "_group"],
-        co2,
-        quantile_cuts(upstream.df, co2),
+        inputs.df, ["benchmark_group", "_group"], co2, quantile_cuts(upstream.df, co2)
     )
-    scored = narrow.with_df(
-        ranked.withColumn("profile_ranking", F.col("dense_rank") / F.col("distinct_count"))
-    ).select(activity_id, co2, "benchmark_group", "profile_ranking")
-    averages = (
-        mapping.select(ledger_id, activity_id)
-        .join(scored, on=activity_id, how="inner")
-        .group_by(
-            [ledger_id, "benchmark_group"],
-            F.avg("profile_ranking").alias("average_input_profile_rank"),
-            F.avg(co2).alias(f"average_{co2}"),
-        )
+    rank = F.col("dense_rank") / F.col("distinct_count")
+    scored = inputs.with_df(ranked.withColumn("profile_ranking", rank))
+    ledger = mapping.select(ledger_id, activity_id)
+
+    def linked(frame: TrackedFrame, *columns: str) -> TrackedFrame:
+        chosen = frame.select(activity_id, "benchmark_group", *columns)
+        return ledger.join(chosen, on=activity_id, how="inner")
+
+    # Ranking adds columns, not rows, so lineage does without it.
+    averages = linked(scored, co2, "profile_ranking").group_by(
+        [ledger_id, "benchmark_group"],
+        F.avg("profile_ranking").alias("average_input_profile_rank"),
+        F.avg(co2).alias(f"average_{co2}"),
+        members=linked(inputs),
     )
     band = risk_band(F.col("average_input_profile_rank"), RANK_BANDS, null_band)
     return averages.with_columns(risk_category=band)
