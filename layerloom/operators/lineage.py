@@ -11,6 +11,7 @@ over many tasks there.
 from __future__ import annotations
 
 import itertools
+import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -183,16 +184,16 @@ def trace(
     raise ValueError(f"Lineage is deeper than {max_depth} steps or has a cycle")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the checkpoint folder the cluster names; pick one only for local runs."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for checkpoints; one of our own only for local runs."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors can reach")
-        import tempfile
+        folder = tempfile.mkdtemp(prefix="layerloom-")
+    return folder.rstrip("/")
+
 
-        folder = tempfile.mkdtemp(prefix="layerloom-checkpoint-")
-    context.setCheckpointDir(folder)
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from typing import TYPE_CHECKING
@@ -64,35 +64,47 @@ class TrackedFrame:
         return self.df.drop(LINEAGE)
 
     def with_df(self, df: DataFrame) -> TrackedFrame:
-        """The same table around other rows, which must come from these rows one by one."""
+        """The same table around other rows that carry the lineage of these rows."""
+        return replace(self, df=df, origin=replace(self.origin, grouped_by=None))
+
+    def _keeping_keys(self, df: DataFrame, changed: Iterable[str] = ()) -> TrackedFrame:
+        """The same rows; group keys still identify them unless one of them was changed."""
+        grouped_by = self.origin.grouped_by
+        if grouped_by is None or set(grouped_by) & set(changed):
+            return self.with_df(df)
         return replace(self, df=df)
 
     def with_columns(self, **columns: Column) -> TrackedFrame:
-        return self.with_df(self.df.withColumns(columns))
+        return self._keeping_keys(self.df.withColumns(columns), columns)
 
     def where(self, condition: Column | str) -> TrackedFrame:
-        return self.with_df(self.df.where(condition))
+        return self._keeping_keys(self.df.where(condition))
 
     # -- columns ------------------------------------------------------------------------------
 
     def select(self, *columns: Key) -> TrackedFrame:
         """The given columns, and always the lineage."""
         kept = [c for c in columns if isinstance(c, Column) or c != LINEAGE]
-        return self.with_df(self.df.select(*kept, *([LINEAGE] if self.is_tracked else [])))
+        chosen = self.df.select(*kept, *([LINEAGE] if self.is_tracked else []))
+        if any(isinstance(c, Column) for c in kept):
+            return self.with_df(chosen)
+        return self._keeping_keys(chosen)
 
     def drop(self, *columns: str) -> TrackedFrame:
         if LINEAGE in columns:
             raise ValueError("The lineage column cannot be dropped")
-        return self.with_df(self.df.drop(*columns))
+        return self._keeping_keys(self.df.drop(*columns))
 
     def rename(self, names: Mapping[str, str]) -> TrackedFrame:
         for name in names:
             if name not in self.df.columns:
                 raise ValueError(f"Value {name} does not exist in the specified schema")
-        return self.with_df(self.df.withColumnsRenamed(dict(names)))
+        renamed = self.df.withColumnsRenamed(dict(names))
+        return self._keeping_keys(renamed, [*names, *names.values()])
 
     def cast(self, columns: Sequence[str], data_type: T.DataType | str) -> TrackedFrame:
-        return self.with_df(self.df.withColumns({c: F.col(c).cast(data_type) for c in columns}))
+        converted = self.df.withColumns({c: F.col(c).cast(data_type) for c in columns})
+        return self._keeping_keys(converted, columns)
 
     def unpivot(
         self, ids: Sequence[str], values: Sequence[str], variable: str, value: str
@@ -136,7 +148,7 @@ class TrackedFrame:
         )
         joined = left.join(right, condition, kind)
         if kind in ("left_semi", "left_anti"):
-            return self.with_df(joined.select("l.*"))
+            return self._keeping_keys(joined.select("l.*"))
 
         left_out, right_out = self.values, other.values
         shared: list[Column] = []

@@ -196,6 +196,20 @@ def test_join_after_grouping_repeats_rows_but_not_edges(left, right):
     assert edges(again, "k") == [(1, "r1"), (2, "r2")]
 
 
+def test_changed_group_keys_do_not_repeat_edges(left):
+    grouped = left.with_columns(h=F.lit(1)).group_by(["k", "v"], F.count(F.lit(1)).alias("n"))
+    once = [(None, "l4"), (1, "l1"), (2, "l2"), (2, "l3")]
+    everything = sorted(e for _, e in once)
+    long = grouped.with_columns(a=F.lit(1), b=F.lit(2)).unpivot(["k", "v"], ["a", "b"], "name", "value")
+    assert len(edges(long, "k", "v")) == 4
+    assert edges(grouped.with_columns(k=F.lit(1), v=F.lit("x")), "k", "v") == [(1, "x", e) for e in everything]
+    assert edges(grouped.rename({"k": "o"}).rename({"n": "k"}), "k", "v") == sorted(
+        (1, v, e) for v, e in zip("abcd", everything)
+    )
+    assert len(edges(grouped.select(F.lit(1).alias("k"), F.lit(1).alias("v")), "k", "v")) == 4
+    assert len(edges(grouped.cast(["k"], "string"), "k", "v")) == 4
+
+
 EDGES = [
     ("a", "1", "b", "10"),
     ("a", "2", "b", "10"),
