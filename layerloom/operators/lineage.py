@@ -145,7 +145,8 @@ def trace(
     ``start_table_name, start_RecordID`` and repeats shared sources for each start.
 
     Each step joins the whole frontier with the edges. Its result is checkpointed: the loop has to
-    know whether it is empty, and a lost executor must not cause all earlier steps to run again.
+    know which tables it reached, and a lost executor must not cause all earlier steps to run again.
+    Only edges into those tables are read, which are single partitions of a stored edge table.
     """
     spark = starts.sparkSession
     ensure_checkpoint_dir(spark)
@@ -160,11 +161,14 @@ def trace(
         F.lit(None).cast("string").alias("parent_RecordID"),
     ).distinct()
     reached = frontier
+    tables = _table_names(frontier)
     for depth in range(1, max_depth + 1):
+        if not tables:
+            return reached
         nodes = frontier.select(*start, "table_name", RECORD_ID).distinct()
         step = (
             nodes.join(
-                edges,
+                edges.where(F.col(TARGET_TABLE).isin(tables)),
                 (F.col("table_name") == F.col(TARGET_TABLE)) & (F.col(RECORD_ID) == F.col(TARGET_ID)),
             )
             .select(
@@ -178,12 +182,16 @@ def trace(
             .distinct()
         )
         frontier = step.checkpoint()
-        if frontier.isEmpty():
-            return reached
+        tables = _table_names(frontier)
         reached = reached.unionByName(frontier)
     raise ValueError(f"Lineage is deeper than {max_depth} steps or has a cycle")
 
 
+def _table_names(records: DataFrame) -> list[str]:
+    """The tables the records belong to; there are no more than the catalog holds."""
+    return [row[0] for row in records.select("table_name").distinct().collect()]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; one of our own only for local runs."""
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)

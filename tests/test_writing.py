@@ -250,3 +250,17 @@ def test_no_staging_folder_remains(items):
     for name in ("items_raw", "items_datamodel", "record_tracing"):
         assert not [p for p in _folder(items, name).parent.iterdir() if p.name.startswith(".")]
     assert storage.exists(items.spark, items.path(items.catalog.find("record_tracing"), "items_datamodel"))
+
+
+def test_filters_reach_the_files(items):
+    day = items.on(DAY1)
+    put(day, "items_raw", [("a", 1)])
+    day.frame("items_datamodel", day.read("items_raw")).write()
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    narrow = plan(day.read("items_raw").select("code").df)
+    assert "EqualTo(to_date,2099-12-31)" in narrow and "size" not in narrow.split("ReadSchema")[1]
+    edges = plan(writing.stored_edges(day, "items_datamodel"))
+    assert "PartitionFilters: [isnotnull(target_table_name" in edges
