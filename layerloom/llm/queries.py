@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import block_names
+from layerloom.llm import block_names, packing, token_counts
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    vocab = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(load(spark, folder, "documents"), vocab)
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    vocab = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(load(spark, folder, "documents"), vocab)
+
+
 def op9_block_names(spark: SparkSession, folder: str) -> DataFrame:
     found = block_names.duplicates(load(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
+    "op7_packing": op7_packing,
     "op9_block_names": op9_block_names,
 }
 
