@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import block_names, packing, token_counts
+from layerloom.llm import block_names, packing, simhash, token_counts
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(load(spark, folder, "documents"), vocab)
 
 
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, folder, "documents"))
+
+
 def op9_block_names(spark: SparkSession, folder: str) -> DataFrame:
     found = block_names.duplicates(load(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -31,6 +35,7 @@ def op9_block_names(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
+    "op8_simhash": op8_simhash,
     "op9_block_names": op9_block_names,
 }
 
