@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import block_names, packing, simhash, token_counts
+from layerloom.llm import block_names, packing, simhash, token_counts, toxicity
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -32,11 +32,19 @@ def op9_block_names(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.train(docs, load(spark, folder, "labels"), taught=~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_block_names": op9_block_names,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
