@@ -6,13 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import block_names, packing, simhash, token_counts, toxicity
+from layerloom.llm import block_names, languages, packing, simhash, token_counts, toxicity
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    filters = languages.train(docs, taught=~held_out)
+    found = languages.identify(docs, filters)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     vocab = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(load(spark, folder, "documents"), vocab)
@@ -40,6 +50,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language": op3_language,
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
