@@ -6,13 +6,80 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import block_names, languages, packing, simhash, token_counts, toxicity
+from layerloom.llm import (
+    block_names,
+    contamination,
+    languages,
+    packing,
+    simhash,
+    token_counts,
+    tool_calls,
+    toxicity,
+)
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contained_items(
+        load(spark, folder, "documents"), load(spark, folder, "benchmark")
+    )
+
+
+#: The tools that the turns of a conversation are read as calls of.
+TOOLS = [
+    (
+        "measure",
+        '{"properties": {"of": {"type": "object"}, "words": {"type": "integer", "minimum": 1, "maximum": 60}, '
+        '"unit": {"type": "string", "enum": ["word", "line"]}}, "required": ["of", "words"], '
+        '"additionalProperties": false}',
+    ),
+    ("answer", '{"properties": {"text": {"type": "string"}}, "required": ["text", "turn"]}'),
+]
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Conversations as tool transcripts: every turn of the table becomes a call or a result.
+
+    A user's turn asks for two calls, the first of which uses the second; an assistant's turn is the result of
+    the second call of the turn before; a system turn calls a tool that has no schema.
+    """
+    call_id = lambda turn, which: F.concat_ws("-", F.lit("call"), turn.cast("string"), F.lit(which))
+    turn, text = F.col("turn"), F.coalesce(F.col("text"), F.lit(""))
+    measure = F.to_json(
+        F.struct(
+            F.size(F.split(text, r"\s+")).alias("words"),
+            F.when(turn % 4 == 0, F.lit("line")).otherwise(F.lit("letter")).alias("unit"),
+            F.struct(call_id(turn, "b").alias("$ref")).alias("of"),
+        )
+    )
+    answer = F.to_json(F.struct(turn.alias("turn"), text.alias("text")))
+    one = lambda which, name, arguments: F.concat(
+        F.lit('{"id": "'), call_id(turn, which), F.lit(f'", "name": "{name}", "arguments": '), arguments, F.lit("}")
+    )
+    calls = F.concat(
+        F.lit('{"tool_calls": ['), one("a", "measure", measure), F.lit(", "), one("b", "answer", answer), F.lit("]}")
+    )
+    configure = F.concat(F.lit('{"tool_calls": ['), one("s", "configure", answer), F.lit("]}"))
+    result = F.to_json(F.struct(call_id(turn - 1, "b").alias("tool_call_id"), text.alias("content")))
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("role") == "assistant", "tool").otherwise("assistant").alias("role"),
+        F.when(F.col("role") == "user", calls)
+        .when(F.col("role") == "assistant", result)
+        .otherwise(configure)
+        .alias("text"),
+    )
+
+
+def op2_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    schemas = spark.createDataFrame(TOOLS, "name string, schema string")
+    return tool_calls.link_calls(transcripts(load(spark, folder, "conversations")), schemas)
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
@@ -50,6 +117,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_contamination": op1_contamination,
+    "op2_tool_calls": op2_tool_calls,
     "op3_language": op3_language,
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
@@ -59,6 +128,53 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_contamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents
+        ), i AS (
+            SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark
+        ), ish AS (
+            SELECT DISTINCT item_id, least(len(w), 5) AS width, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS s
+            FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p FROM i WHERE len(w) > 0)
+        ), n AS (SELECT item_id, count(*) AS n FROM ish GROUP BY item_id),
+        widths AS (SELECT DISTINCT width FROM ish),
+        dsh AS (
+            SELECT DISTINCT doc_id, array_to_string(w[p:p + width - 1], ' ') AS s
+            FROM (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS p FROM d, widths WHERE len(w) >= width)
+        )
+        SELECT doc_id, item_id, CAST(n AS INTEGER) AS n_shingles, CAST(count(*) AS INTEGER) AS n_found,
+               count(*) / n AS containment
+        FROM dsh JOIN ish USING (s) JOIN n USING (item_id)
+        GROUP BY doc_id, item_id, n HAVING count(*) >= n * 0.8
+    """,
+    "op2_tool_calls": r"""
+        WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations),
+        r AS (
+            SELECT conv_id, turn - 1 AS asked, turn AS result_turn, t AS result FROM c WHERE role = 'assistant'
+        ), calls AS (
+            SELECT conv_id, turn, 1 AS level, 0 AS place, 'call-' || turn || '-a' AS call_id, 'measure' AS name,
+                   '{"of":{"$ref":"call-' || turn || '-b"},"unit":"' || CASE WHEN turn % 4 = 0 THEN 'line' ELSE 'letter' END
+                   || '","words":' || len(regexp_split_to_array(t, '\s+')) || '}' AS arguments,
+                   concat_ws(',', CASE WHEN turn % 4 <> 0 THEN 'enum:unit' END,
+                             CASE WHEN len(regexp_split_to_array(t, '\s+')) > 60 THEN 'range:words' END) AS errors
+            FROM c WHERE role = 'user'
+            UNION ALL
+            SELECT conv_id, turn, 0, CASE role WHEN 'user' THEN 1 ELSE 0 END,
+                   'call-' || turn || CASE role WHEN 'user' THEN '-b' ELSE '-s' END,
+                   CASE role WHEN 'user' THEN 'answer' ELSE 'configure' END,
+                   '{"text":' || CAST(to_json(t) AS VARCHAR) || ',"turn":' || turn || '}',
+                   CASE role WHEN 'user' THEN '' ELSE 'unknown_tool' END
+            FROM c WHERE role <> 'assistant'
+        )
+        SELECT calls.conv_id, calls.turn, level, place, call_id, name, arguments, errors,
+               CAST(1 AS BIGINT) AS n_calls_of_id, CAST(CASE WHEN r.asked IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_results,
+               result_turn, result
+        FROM calls LEFT JOIN r
+          ON calls.conv_id = r.conv_id AND calls.turn = r.asked AND call_id = 'call-' || r.asked || '-b'
+        UNION ALL
+        SELECT r.conv_id, NULL, NULL, NULL, 'call-' || asked || '-b', NULL, NULL, NULL, 0, 1, result_turn, result
+        FROM r LEFT JOIN c ON c.conv_id = r.conv_id AND c.turn = asked AND c.role = 'user' WHERE c.turn IS NULL
+    """,
     "op9_block_names": r"""
         WITH d AS (
             SELECT doc_id,
