@@ -10,6 +10,7 @@ from layerloom.llm import (
     block_names,
     contamination,
     languages,
+    line_chunks,
     packing,
     simhash,
     token_counts,
@@ -90,6 +91,11 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_chunks.drop_repeated_chunks(load(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     vocab = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.count_tokens(load(spark, folder, "documents"), vocab)
@@ -120,6 +126,7 @@ QUERIES = {
     "op1_contamination": op1_contamination,
     "op2_tool_calls": op2_tool_calls,
     "op3_language": op3_language,
+    "op4_line_chunks": op4_line_chunks,
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
@@ -175,6 +182,31 @@ ORACLE_SQL = {
         SELECT r.conv_id, NULL, NULL, NULL, 'call-' || asked || '-b', NULL, NULL, NULL, 0, 1, result_turn, result
         FROM r LEFT JOIN c ON c.conv_id = r.conv_id AND c.turn = asked AND c.role = 'user' WHERE c.turn IS NULL
     """,
+    "op4_line_chunks": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+            FROM documents
+        ), h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
+        e AS (
+            SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0 AS ends FROM h
+        ), n AS (
+            SELECT *, coalesce(sum(CAST(ends AS INTEGER)) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+            FROM e
+        ), c AS (
+            SELECT doc_id, place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk
+            FROM n GROUP BY doc_id, place
+        ), r AS (
+            SELECT doc_id, place, n > 1 AND trim(chunk) <> ''
+                   AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS gone
+            FROM c
+        )
+        SELECT doc_id, CAST(count(*) AS INTEGER) AS n_lines,
+               CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM n JOIN r USING (doc_id, place) GROUP BY doc_id
+    """,
     "op9_block_names": r"""
         WITH d AS (
             SELECT doc_id,
