@@ -13,6 +13,7 @@ from layerloom.llm import (
     line_chunks,
     packing,
     simhash,
+    substrings,
     token_counts,
     tool_calls,
     toxicity,
@@ -101,6 +102,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, folder, "documents"), vocab)
 
 
+def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.drop_shared_strings(load(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     vocab = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(load(spark, folder, "documents"), vocab)
@@ -128,6 +134,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_line_chunks": op4_line_chunks,
     "op5_token_counts": op5_token_counts,
+    "op6_substrings": op6_substrings,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_block_names": op9_block_names,
