@@ -183,8 +183,12 @@ def train(
     """
     scratch = Scratch(docs.sparkSession)
     counts = count_characters(docs, text_column)
+    # Labels grow with the documents, so they are never sent to all tasks.
     known = (
-        labels.where("toxic IS NOT NULL").groupBy(F.col(id_column).alias("_id")).agg(F.max("toxic").alias("_toxic"))
+        labels.where("toxic IS NOT NULL")
+        .groupBy(F.col(id_column).alias("_id"))
+        .agg(F.max("toxic").alias("_toxic"))
+        .hint("merge")
     )
     texts = docs.where(F.lit(True) if taught is None else taught).select(
         F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
