@@ -1,7 +1,7 @@
 """Exact duplicates by deterministic block naming.
 
-A text is cut into blocks of a fixed number of bytes. All blocks of the corpus are sorted and each
-distinct block gets its place in that order as an integer name. Then the names of neighbouring blocks
+A text is cut into blocks of a fixed number of bytes. All blocks of the corpus are sorted (by a hash, then
+by their bytes) and each distinct block gets its place in that order as an integer name. Then the names of neighbouring blocks
 are paired, and the pairs are sorted and named the same way, until each document has one name left. Two
 texts of the same number of blocks have the same last name exactly when they are equal: names come
 from comparing bytes, never from a hash.
@@ -94,9 +94,11 @@ def _labels(keys: Sequence[str], rest: Sequence[str]):
 
 
 def name_keys(scratch: Scratch, df: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """Adds ``name``: the dense rank of ``keys`` (never null) from 0, and drops the keys.
+    """Adds ``name``, a number from 0 for each distinct ``keys`` (never null), and drops the keys.
 
-    ``tie`` columns identify a row; they spread equal keys over partitions.
+    Names follow the order of a 128-bit hash of the keys, then the keys, so they do not depend on partitions.
+    Only keys compared byte by byte share a name. ``tie`` columns identify a row; they spread equal keys
+    over partitions.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     rest = [c for c in df.columns if c not in keys]
@@ -105,10 +107,11 @@ def name_keys(scratch: Scratch, df: DataFrame, keys: Sequence[str], tie: Sequenc
         + ["part int", "number bigint", "edge int"]
         + [f"`{k}` {kinds[k]}" for k in keys]
     )
-    order = [*keys, *tie]
+    # Ranges are cut by hashes of the keys and the tie: their samples are small, whatever the keys are.
+    hashes = [F.xxhash64(*keys), F.xxhash64(F.lit(1), *keys)]
     labelled = scratch.write(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*hashes, *tie)
+        .sortWithinPartitions(*hashes, *keys, *tie)
         .mapInArrow(_labels(keys, rest), schema)
     )
     edges = labelled.where(F.col("edge").isNotNull())
@@ -227,10 +230,12 @@ def duplicates(
     )
 
 
-def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    number = "_row_of_block_names"
-    numbered = docs.withColumn(number, F.monotonically_increasing_id())
-    gone = duplicates(numbered, row_column=number, **options).where("NOT kept")
-    gone = Scratch(docs.sparkSession).write(gone.select(F.col("row_id").alias(number)))
-    return numbered.join(gone, number, "left_anti").select(*docs.columns)
+def drop_duplicates(
+    docs: DataFrame, *, row_column: str | None = None, **options
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; ``row_column`` as in ``Scratch.numbered``."""
+    scratch, number = Scratch(docs.sparkSession), "_row_of_block_names"
+    rows = scratch.numbered(docs, number, row_column)
+    gone = duplicates(rows, row_column=number, **options).where("NOT kept")
+    gone = scratch.write(gone.select(F.col("row_id").alias(number)))
+    return rows.join(gone, number, "left_anti").select(*docs.columns)

@@ -82,21 +82,24 @@ def drop_repeated_chunks(
     *,
     id_column: str = "doc_id",
     text_column: str = "text",
+    row_column: str | None = None,
     mean_lines: int = MEAN_LINES,
 ) -> DataFrame:
     """One row per input row: doc_id, text without repeated chunks, n_lines and n_removed (lines before, removed).
 
     Lines end at line feeds. Of equal chunks of at least two lines that are not blank throughout, the one of the smallest
-    doc_id stays (a null id comes last, then the order of reading, then the place), wherever the others are.
+    doc_id stays (a null id comes last, then the order of rows, then the place), wherever the others are.
+    ``row_column`` is as in ``Scratch.numbered``.
     A null text counts as empty and stays empty. Repeated rows are rows of their own, so the later ones
     lose their chunks. Other columns are ignored, whatever their names. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
+    taken = docs.select(
+        *([F.col(row_column).alias("row")] if row_column else []),
         F.col(id_column).alias("doc_id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
+    rows = scratch.numbered(taken, "row_id", "row" if row_column else None)
     repeated = repeated_chunks(rows, scratch, mean_lines=mean_lines)
     by_row = scratch.write(
         repeated.groupBy("row_id").agg(

@@ -18,6 +18,7 @@ from layerloom.llm import (
     tool_calls,
     toxicity,
 )
+from layerloom.llm.scratch import ROW, numbered_scan
 
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -93,7 +94,8 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_chunks.drop_repeated_chunks(load(spark, folder, "documents"))
+    docs = numbered_scan(load(spark, folder, "documents"))
+    found = line_chunks.drop_repeated_chunks(docs, row_column=ROW)
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -103,7 +105,8 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_substrings(spark: SparkSession, folder: str) -> DataFrame:
-    found = substrings.drop_shared_strings(load(spark, folder, "documents"))
+    docs = numbered_scan(load(spark, folder, "documents"))
+    found = substrings.drop_shared_strings(docs, row_column=ROW)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 

@@ -7,6 +7,16 @@ import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+#: The name of the column that ``numbered_scan`` adds.
+ROW = "_row"
+
+
+def numbered_scan(table: DataFrame) -> DataFrame:
+    """A table read from files, with its rows numbered; reading the same files again numbers them alike."""
+    return table.withColumn(ROW, F.monotonically_increasing_id())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,6 +49,16 @@ class Scratch:
         table._scratch_path = path  # keeps the table's place with the table
         return table
 
+    def numbered(self, docs: DataFrame, name: str, row_column: str | None) -> DataFrame:
+        """``docs`` with a unique integer ``name`` that is the same each time the rows are read.
+
+        ``row_column`` is such a column already. Without it rows are numbered in a stored copy, since a
+        plan that shuffles may deal its rows out anew when it runs again.
+        """
+        if row_column:
+            return docs.withColumn(name, F.col(row_column).cast("long"))
+        return self.write(docs.withColumn(name, F.monotonically_increasing_id()))
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             self._delete(table._scratch_path)

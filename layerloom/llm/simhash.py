@@ -48,21 +48,30 @@ def fingerprint(text: str, words: int = WORDS) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, words: int = WORDS, *, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    words: int = WORDS,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    row_column: str | None = None,
 ) -> DataFrame:
-    """doc_id and fp of each row; a null text counts as empty and has fingerprint 0."""
+    """row_id, doc_id and fp of each row; a null text counts as empty and has fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t.as_py(), words) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fp"]
+                [batch.column("row_id"), batch.column("doc_id"), pa.array(found, pa.int64())],
+                names=["row_id", "doc_id", "fp"],
             )
 
     rows = docs.select(
-        F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
+        (F.col(row_column) if row_column else F.monotonically_increasing_id()).alias("row_id"),
+        F.col(id_column).alias("doc_id"),
+        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp bigint")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row_id bigint, doc_id {kind}, fp bigint")
 
 
 def _masks(max_bits: int) -> list[int]:
@@ -184,39 +193,65 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
+def _grouped(
+    docs: DataFrame, scratch: Scratch, words: int, max_bits: int, **columns
+) -> tuple[DataFrame, DataFrame]:
+    """(row_id, doc_id, fp) of each row, and (fp, root, n_same, component_id) of each fingerprint."""
+    rows = scratch.write(fingerprints(docs, words, **columns))
+    distinct = scratch.write(
+        rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_same"))
+    )
+    roots = scratch.write(components(links(distinct.select("fp"), max_bits), scratch))
+    rooted = scratch.write(
+        distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+            "root", F.coalesce("root", "fp")
+        )
+    )
+    lowest = scratch.write(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    return rows, scratch.write(rooted.join(lowest, "root"))
+
+
 def near_duplicates(
-    docs: DataFrame,
-    *,
-    words: int = WORDS,
-    max_bits: int = MAX_BITS,
-    id_column: str = "doc_id",
-    text_column: str = "text",
+    docs: DataFrame, *, words: int = WORDS, max_bits: int = MAX_BITS, **columns
 ) -> DataFrame:
     """One row per input row: doc_id, fingerprint (hex), component_id, n_same.
 
-    Fingerprints are linked when they differ in at most ``max_bits`` bits, ``component_id`` is the smallest id
-    reachable over links; a null id is never taken while there is another. ``n_same`` counts the rows of the same
-    fingerprint. A null text counts as empty; texts without words share fingerprint 0. Repeated rows are
-    rows of their own; other columns are ignored, whatever their names. An empty table gives no rows.
+    Fingerprints are linked when they differ in at most ``max_bits`` bits; ``component_id`` is the smallest id
+    reachable over links, and null only if no other is. ``n_same`` counts the rows of the same fingerprint. A
+    null text counts as empty; texts without words share fingerprint 0. Repeated rows are rows of their
+    own. ``columns``: id_column and text_column; others are ignored, whatever their names. An empty table
+    gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.write(
-        fingerprints(docs, words, id_column=id_column, text_column=text_column)
-    )
-    distinct = scratch.write(
-        rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_same"))
-    )
-    roots = scratch.write(components(links(distinct.select("fp"), max_bits), scratch))
-    linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp")
-    lowest = scratch.write(linked.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    groups = scratch.write(
-        distinct.join(
-            roots.join(lowest, "root").select(F.col("node").alias("fp"), "component_id"), "fp", "left"
-        ).select("fp", "n_same", F.coalesce("component_id", "first_id").alias("component_id"))
-    )
+    rows, groups = _grouped(docs, scratch, words, max_bits, **columns)
     return rows.join(groups, "fp").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
         "n_same",
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    *,
+    words: int = WORDS,
+    max_bits: int = MAX_BITS,
+    row_column: str | None = None,
+    **columns,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each component that of the smallest id.
+
+    A null id comes last; of rows with the same id the first by ``row_column`` stays (see
+    ``Scratch.numbered``).
+    """
+    scratch, number = Scratch(docs.sparkSession), "_row_of_simhash"
+    numbered = scratch.numbered(docs, number, row_column)
+    rows, groups = _grouped(numbered, scratch, words, max_bits, row_column=number, **columns)
+    rooted = scratch.write(rows.join(groups.select("fp", "root"), "fp"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), "row_id")
+    stays = scratch.write(rooted.groupBy("root").agg(F.min(order)["row_id"].alias("stays")))
+    gone = scratch.write(
+        rooted.join(stays, "root").where("row_id != stays").select(F.col("row_id").alias(number))
+    )
+    return numbered.join(gone, number, "left_anti").select(*docs.columns)
