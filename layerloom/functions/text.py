@@ -15,22 +15,26 @@ INDUSTRY_CODE_LENGTH = 4
 
 
 def structure_postcode(postcode: Column) -> Column:
-    """Bring a Dutch postcode into the form ``1234 AB``; text without one gives a single space."""
-    digits = F.regexp_extract(postcode, POSTCODE_DIGITS, 1)
-    letters = F.regexp_extract(postcode, POSTCODE_LETTERS, 1)
-    return F.concat(digits, F.lit(" "), F.upper(letters))
+    """``1234 AB`` from a Dutch postcode in any spacing and case.
+
+    A part that is missing stays empty, so a text with neither gives a single space and null stays null.
+    """
+    parts = [F.regexp_extract(postcode, pattern, 1) for pattern in (POSTCODE_DIGITS, POSTCODE_LETTERS)]
+    return F.when(postcode.isNotNull(), F.upper(F.array_join(F.array(*parts), " ")))
 
 
 def postcode_from_address(
     postcode: Column, city: Column, cities: Sequence[str] = CITIES_WITHOUT_POSTCODE
 ) -> Column:
-    """Postcode when its letters may sit in front of the city name (``1234`` + ``ab city``).
+    """The postcode of an address whose city field may begin with its letters (``1234``, ``ab city``).
 
-    A bare city name, or nothing at all, gives an empty text.
+    The first word of both fields together holds it. Fields that say the same count once. Where a field
+    is null, or there is nothing but one of ``cities``, the text is empty.
     """
-    joined = F.when(postcode == city, postcode).otherwise(F.concat(postcode, city))
-    usable = joined.isNotNull() & ~joined.isin(*cities)
-    return F.when(usable, structure_postcode(F.split(joined, " ")[0])).otherwise(F.lit(""))
+    both = F.concat(postcode, F.when(postcode != city, city).otherwise(""))
+    first_word = F.substring_index(both, " ", 1)
+    only_city = both.isin(*cities)
+    return F.coalesce(F.when(~only_city, structure_postcode(first_word)), F.lit(""))
 
 
 def preferred_name(default_name: Column, statutory_name: Column) -> Column:
@@ -39,5 +43,7 @@ def preferred_name(default_name: Column, statutory_name: Column) -> Column:
 
 
 def clean_industry_code(code: Column) -> Column:
-    """Strip quotes and pad with zeros to four characters; longer codes are cut to four."""
-    return F.lpad(F.regexp_replace(code, "'", ""), INDUSTRY_CODE_LENGTH, "0")
+    """Without single quotes, short codes filled up with leading zeros; longer codes stay whole."""
+    bare = F.translate(code, "'", "")
+    missing = F.lit(INDUSTRY_CODE_LENGTH) - F.length(bare)
+    return F.concat(F.repeat(F.lit("0"), F.greatest(missing, F.lit(0))), bare)

@@ -11,7 +11,6 @@ over many tasks there.
 from __future__ import annotations
 
 import itertools
-import tempfile
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -134,10 +133,8 @@ def new_edges(edges: DataFrame, stored: DataFrame) -> DataFrame:
     return edges.join(stored, list(EDGE_COLUMNS), "left_anti").select(*EDGE_COLUMNS)
 
 
-def trace(
-    edges: DataFrame, starts: DataFrame, per_start: bool = False, max_depth: int = 100
-) -> DataFrame:
-    """Follow records back to their sources, any depth.
+def trace(edges: DataFrame, starts: DataFrame, per_start: bool = False) -> DataFrame:
+    """Follow records back to their sources, any depth; a cycle of edges is an error.
 
     ``starts`` has ``table_name`` and ``RecordID``. The result holds every reached record once per
     depth and parent: ``depth, table_name, RecordID, parent_table_name, parent_RecordID``. It grows
@@ -149,7 +146,7 @@ def trace(
     Only edges into those tables are read, which are single partitions of a stored edge table.
     """
     spark = starts.sparkSession
-    ensure_checkpoint_dir(spark)
+    shared_folder(spark)
     start = ["start_table_name", "start_RecordID"] if per_start else []
     origin = [F.col("table_name").alias(start[0]), F.col(RECORD_ID).alias(start[1])] if start else []
     frontier = starts.select(
@@ -160,11 +157,16 @@ def trace(
         F.lit(None).cast("string").alias("parent_table_name"),
         F.lit(None).cast("string").alias("parent_RecordID"),
     ).distinct()
+    frontier = frontier.checkpoint()
     reached = frontier
-    tables = _table_names(frontier)
-    for depth in range(1, max_depth + 1):
-        if not tables:
-            return reached
+    tables, depth = _table_names(frontier), 0
+    while tables:
+        depth += 1
+        # A way without a cycle has one record more than steps. Counted at 1, 2, 4, 8 ... steps.
+        if depth & (depth - 1) == 0:
+            records = reached.select("table_name", RECORD_ID).distinct().count()
+            if depth > records:
+                raise ValueError(f"The lineage of these records has a cycle of at most {records} steps")
         nodes = frontier.select(*start, "table_name", RECORD_ID).distinct()
         step = (
             nodes.join(
@@ -184,7 +186,7 @@ def trace(
         frontier = step.checkpoint()
         tables = _table_names(frontier)
         reached = reached.unionByName(frontier)
-    raise ValueError(f"Lineage is deeper than {max_depth} steps or has a cycle")
+    return reached
 
 
 def _table_names(records: DataFrame) -> list[str]:
@@ -193,15 +195,12 @@ def _table_names(records: DataFrame) -> list[str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; one of our own only for local runs."""
-    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="layerloom-")
-    return folder.rstrip("/")
-
+    """The folder driver and executors share for checkpoints and tables of one run.
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    ``spark.checkpoint.dir`` names it; a folder given to the context counts as well.
+    """
+    context = spark.sparkContext
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        raise ValueError("Set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder.rstrip("/")

@@ -8,6 +8,8 @@ rows are never joined back and no group has to fit into a task.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -40,7 +42,6 @@ CHECK_ALIASES = {"values in list": "values within list"}
 BLOCKING_CHECKS = ("values in range", "values are unique", "values have format")
 UNFILLED_TOKENS = ("NA", "nan")
 SUM_LIMITS = (0.98, 1.02)
-LIST_TEXT_LENGTH = 100
 METRIC_COLUMNS = (
     "signalling_id",
     "check_id",
@@ -83,7 +84,26 @@ def describe(check: Check) -> str:
 
 
 def _listed(values: Sequence[object]) -> str:
-    return '","'.join(str(v) for v in values)[:LIST_TEXT_LENGTH]
+    return '","'.join(str(v) for v in values)
+
+
+def labels(checks: Sequence[Check]) -> list[str]:
+    """The text of each check, made different where checks on the same columns share one.
+
+    The first check keeps the plain text; a later one gets a hash of all its parameters behind it.
+    """
+    found, seen = [], set()
+    for check in checks:
+        text = describe(check)
+        key = CHECK_IDS[check_name(check)], ",".join(check["columns"])
+        if (*key, text) in seen:
+            parameters = json.dumps(check, sort_keys=True, default=str)
+            text = f"{text} [{hashlib.sha256(parameters.encode()).hexdigest()[:16]}]"
+        if (*key, text) in seen:
+            raise ValueError(f"The same check is listed twice: {describe(check)}")
+        seen.add((*key, text))
+        found.append(text)
+    return found
 
 
 # -- checks on single rows ----------------------------------------------------------------------
@@ -292,16 +312,16 @@ def signalling_metrics(
     """Fill grade of every column plus the configured checks, as metric rows without ids."""
     by_row = _filled(df)
     grouped = []
-    for check in checks:
+    for check, text in zip(checks, labels(checks), strict=True):
         name = check_name(check)
         label = ",".join(check["columns"])
         if name in ROW_CHECKS:
-            by_row.append((CHECK_IDS[name], label, describe(check), ROW_CHECKS[name](check)))
+            by_row.append((CHECK_IDS[name], label, text, ROW_CHECKS[name](check)))
         else:
             counts = measure_group_check(df, check, trace)
             total, valid = F.col("total_count"), F.col("valid_count")
             grouped.append(
-                counts.select(*_metric(CHECK_IDS[name], label, describe(check), total, valid))
+                counts.select(*_metric(CHECK_IDS[name], label, text, total, valid))
             )
     return union_all([*([_row_metrics(df, by_row)] if by_row else []), *grouped])
 

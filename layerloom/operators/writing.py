@@ -1,9 +1,12 @@
 """Store a table: merge history, add record ids, validate, publish, measure.
 
 The merged rows are computed once, into a staging folder next to the table. Gates run on the staged
-files, so a violation leaves table, edges and metrics untouched. Then the table is swapped in, new
-lineage edges are appended and metrics are written. Running the same write again is harmless: rows
-are recognised as unchanged, and only edges that are missing get appended.
+files, so a violation leaves table, edges and metrics untouched. The new lineage edges are staged with the
+rows, in a folder Spark does not read as part of the table, while the sources are still as they were: a
+table may be its own source. One rename publishes both; then the edges are appended to the edge table
+and metrics are written. Edges left behind by a writer that died are appended by the next one. Running
+the same write again is harmless: rows are recognised as unchanged, and only edges that are missing
+get appended.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from layerloom.workspace import Workspace
 
 METRICS_TABLE = "monitoring_values"
 EDGES_TABLE = "record_tracing"
+EDGE_SCHEMA = ", ".join(f"`{c}` string" for c in lineage.EDGE_COLUMNS)
 
 
 def compare_with_stored(frame: TrackedFrame, processing_date: dt.date | None = None) -> DataFrame:
@@ -97,6 +101,8 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
 
     target = space.path(table, frame.partition if table.partition_column else "")
     staged_path = storage.staging_path(target)
+    storage.recover(space.spark, target)
+    _append_edges(space, table, target)
     # The folder name states the partition, so its column is not stored in the files.
     try:
         _stage(merged.drop(table.partition_column), staged_path)
@@ -135,15 +141,31 @@ def _mentions(error: BaseException | None, text: str) -> bool:
 def _publish_with_lineage(
     space: Workspace, frame: TrackedFrame, staged: DataFrame, target: str
 ) -> None:
-    """Publish the rows without their lineage column, then the edges it describes."""
+    """Publish the rows without their lineage column together with the edges it describes."""
     ready = storage.staging_path(target)
     try:
         staged.drop(LINEAGE).write.parquet(ready)
+        edges = lineage.open_edges(staged, frame.origin, frame.name)
+        fresh = lineage.new_edges(edges, stored_edges(space, frame.table.name))
+        fresh.write.parquet(_edges_of(ready))
         storage.swap_in(space.spark, ready, target)
     except Exception:
         storage.delete(space.spark, ready)
         raise
-    publish_edges(space, frame.table, lineage.open_edges(staged, frame.origin, frame.name))
+    _append_edges(space, frame.table, target)
+
+
+def _edges_of(path: str) -> str:
+    """Edges that belong to the rows of a folder; Spark does not read it with the rows."""
+    return storage.join(path, "_edges")
+
+
+def _append_edges(space: Workspace, table: TableDef, target: str) -> None:
+    """Bring edges that were published with the rows into the edge table."""
+    staged = _edges_of(target)
+    if storage.exists(space.spark, staged):
+        publish_edges(space, table, space.spark.read.schema(EDGE_SCHEMA).parquet(staged))
+        storage.delete(space.spark, staged)
 
 
 def stored_edges(space: Workspace, target: str) -> DataFrame:
@@ -157,7 +179,7 @@ def stored_edges(space: Workspace, target: str) -> DataFrame:
 def publish_edges(space: Workspace, table: TableDef, edges: DataFrame) -> None:
     """Append the edges that are not stored yet to the partition of their target table.
 
-    Edges are never rewritten: the cost of a write follows its new edges, not all edges so far.
+    Edges are never rewritten, but new ones are told apart by a join with the stored edges of the table.
     """
     edge_table = space.catalog.find(EDGES_TABLE)
     fresh = lineage.new_edges(edges, stored_edges(space, table.name))

@@ -56,18 +56,23 @@ def keep_history(df: DataFrame, history: str) -> DataFrame:
 
 
 def _load(spark: SparkSession, table: TableDef, path: str, partition: str) -> DataFrame:
-    if table.partition_column and partition != ALL_PARTITIONS:
-        storage.recover(spark, partition_path(path, table, partition))
-    else:
-        storage.recover(spark, path)
-    if not storage.exists(spark, path):
+    single = bool(table.partition_column) and partition != ALL_PARTITIONS
+    if single and table.file_format == "parquet":
+        # The folder of the partition itself, so that a swap under way does not hide it.
+        place = storage.readable(spark, partition_path(path, table, partition))
+        if place is None:
+            return empty(spark, table.stored_columns)
+        kinds = {f.name: f.dataType for f in table.stored_columns.fields}
+        inside = T.StructType([f for f in table.stored_columns.fields if f.name != table.partition_column])
+        value = F.lit(partition).cast(kinds[table.partition_column])
+        df = spark.read.schema(inside).parquet(place).withColumn(table.partition_column, value)
+        return df.select(*table.stored_columns.names)
+    place = storage.readable(spark, path)
+    if place is None:
         return empty(spark, table.stored_columns)
     if table.file_format == "parquet":
-        df = spark.read.schema(table.stored_columns).parquet(path)
-        if table.partition_column and partition != ALL_PARTITIONS:
-            df = df.where(F.col(table.partition_column) == partition)
-        return df
-    return read_csv(spark, path, table.columns, table.file_format, table.multiline)
+        return spark.read.schema(table.stored_columns).parquet(place)
+    return read_csv(spark, place, table.columns, table.file_format, table.multiline)
 
 
 def read_csv(

@@ -25,6 +25,9 @@ def delete(spark: SparkSession, path: str) -> None:
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _open(spark, source)
     _, target_path = _open(spark, target)
+    # A rename onto a directory would move the source into it.
+    if fs.exists(target_path):
+        raise OSError(f"Could not move {source}: {target} exists")
     fs.mkdirs(target_path.getParent())
     if not fs.rename(source_path, target_path):
         raise OSError(f"Could not move {source} to {target}")
@@ -45,8 +48,13 @@ def staging_path(path: str) -> str:
     return f"{sibling(path, 'staging')}-{uuid.uuid4().hex}"
 
 
+def readable(spark: SparkSession, path: str) -> str | None:
+    """Where the data of ``path`` is now: between the two renames of a swap, the previous copy. Moves nothing."""
+    return next((p for p in (path, sibling(path, "previous")) if exists(spark, p)), None)
+
+
 def recover(spark: SparkSession, path: str) -> None:
-    """Put the previous copy back if a swap was cut off between its two renames."""
+    """Put the previous copy back if a swap was cut off between its two renames; for writers only."""
     previous = sibling(path, "previous")
     if not exists(spark, path) and exists(spark, previous):
         rename(spark, previous, path)

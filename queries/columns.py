@@ -240,7 +240,7 @@ FROM customer
 
 
 def industry_codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Quoted, short and too long codes."""
+    """Quoted, short and long codes."""
     from layerloom.plans.climate import clean_codes
 
     key = F.col("l_partkey").cast("string")
@@ -254,7 +254,7 @@ def industry_codes(spark: SparkSession, folder: str) -> DataFrame:
 INDUSTRY_CODES_SQL = """
 WITH r AS (SELECT l_orderkey, l_linenumber,
   CASE l_returnflag WHEN 'N' THEN '98765' || l_partkey ELSE cast(l_partkey AS varchar) END AS code FROM lineitem)
-SELECT l_orderkey, l_linenumber, lpad(left(code, 4), 4, '0') AS isic_code FROM r
+SELECT l_orderkey, l_linenumber, CASE WHEN length(code) < 4 THEN lpad(code, 4, '0') ELSE code END AS isic_code FROM r
 """
 
 

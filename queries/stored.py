@@ -35,6 +35,7 @@ TABLES = (
         {"check": "values have format", "columns": ["o_orderstatus"], "format": "^[FOP]$"},
     ),
     _table("customers_raw", "long c_custkey\nstring segment"),
+    _table("counts_datamodel", "string segment\nlong n"),
     _table("orders_datamodel", "long o_orderkey\nstring segment o_orderstatus"),
 )
 
@@ -79,6 +80,35 @@ def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _workspace(spark, folder).read("monitoring_values", "orders_raw", history="complete").data
 
 
+def stored_self_update(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges of a grouped table that is written back to itself, into files that replace its own source."""
+    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    space = Workspace(spark, root, catalog=TableCatalog.default().register(*TABLES))
+    customers = load(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    space.on(DAY1).frame("customers_raw", customers).write()
+    counted = space.on(DAY1).read("customers_raw").group_by(["segment"], F.count(F.lit(1)).alias("n"))
+    space.on(DAY1).frame("counts_datamodel", counted).write()
+    doubled = (
+        space.on(DAY2)
+        .read("counts_datamodel")
+        .group_by(["segment"], (F.sum("n") * 2).alias("n"))
+    )
+    space.on(DAY2).frame("counts_datamodel", doubled).write()
+    return writing.stored_edges(space.on(DAY2), "counts_datamodel")
+
+
+_SEGMENT_IDS = f"""
+WITH s AS (SELECT c_mktsegment AS segment, count(*) AS n, 2 * count(*) AS twice FROM customer GROUP BY c_mktsegment),
+ids AS (SELECT segment, {sql_hash("segment", "n", f"date '{DAY1}'")} AS early,
+               {sql_hash("segment", "twice", f"date '{DAY2}'")} AS late FROM s)"""
+
+STORED_SELF_UPDATE_SQL = f"""{_SEGMENT_IDS}
+SELECT {sql_hash("c_custkey", "c_mktsegment", f"date '{DAY1}'")} AS "source_RecordID",
+       'customers_raw' AS source_table_name, early AS "target_RecordID", 'counts_datamodel' AS target_table_name
+FROM customer JOIN ids ON segment = c_mktsegment
+UNION ALL SELECT early, 'counts_datamodel', late, 'counts_datamodel' FROM ids
+"""
+
 _STATES = f"""
 WITH o AS (SELECT *, nullif(o_orderpriority, '5-LOW') AS o_priority FROM orders),
 d1 AS (SELECT {", ".join(ORDER_COLUMNS)} FROM o WHERE o_orderdate < timestamp '2001-01-01'),
@@ -125,5 +155,6 @@ SELECT *, {_METRIC_ID} AS "RecordID" FROM m
 QUERIES = {
     "stored_history": (stored_history, f"{_STATES} SELECT * FROM stored"),
     "stored_edges": (stored_edges, STORED_EDGES_SQL),
+    "stored_self_update": (stored_self_update, STORED_SELF_UPDATE_SQL),
     "stored_metrics": (stored_metrics, STORED_METRICS_SQL),
 }

@@ -250,9 +250,18 @@ def test_row_checks_share_one_scan(spark, tmp_path):
     assert plan.count("FileScan") == 1
 
 
-def test_list_texts_are_cut(spark):
+def test_list_texts_are_whole():
     check = {"check": "values within list", "columns": ["c"], "value_list": ["x" * 60, "y" * 60]}
-    assert len(quality.describe(check)) == len('values within list of: ""') + 100
+    assert quality.describe(check) == f'values within list of: "{"x" * 60}","{"y" * 60}"'
+
+
+def test_checks_with_one_text_get_labels_of_their_own():
+    same = {"check": "values are consistent", "columns": ["c"], "join_columns": ["k"]}
+    first, second = quality.labels([same | {"compare_table": "a"}, same | {"compare_table": "b"}])
+    assert first == quality.describe(same)
+    assert second.startswith(f"{first} [") and second != first
+    with pytest.raises(ValueError, match="twice"):
+        quality.labels([same, same, same])
 
 
 STORED = "signalling_id long, check_id string, column_name string, check_name string, total_count long, valid_count long, table_name string"

@@ -247,4 +247,11 @@ def test_trace_of_a_cycle_raises(spark):
     )
     starts = spark.createDataFrame([("a", "1")], "table_name string, RecordID string")
     with pytest.raises(ValueError, match="cycle"):
-        lineage.trace(loop, starts, max_depth=4)
+        lineage.trace(loop, starts)
+
+
+def test_trace_of_a_long_chain_ends(spark):
+    chain = [("a", str(i), "a", str(i + 1)) for i in range(102)]
+    edges = spark.createDataFrame(chain, trace_edges(spark).schema)
+    starts = spark.createDataFrame([("a", "102")], "table_name string, RecordID string")
+    assert lineage.trace(edges, starts).count() == 103
