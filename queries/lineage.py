@@ -141,9 +141,19 @@ GROUP BY 1
 """
 
 
+def _customers(spark: SparkSession, folder: str):
+    """All customers; the key of those in debt is negative and has no partner."""
+    key = F.when(F.col("c_acctbal") > 0, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    return load_tracked(spark, folder, "customer", "c_custkey").with_columns(c_custkey=key)
+
+
+_CUSTOMERS_SQL = """(SELECT c_custkey AS id, c_mktsegment,
+        CASE WHEN c_acctbal > 0 THEN c_custkey ELSE -c_custkey END AS c_custkey FROM customer)"""
+
+
 def join_left_on(spark: SparkSession, folder: str) -> DataFrame:
     orders = load_tracked(spark, folder, "orders", "o_orderkey").select("o_orderkey", "o_custkey")
-    customers = load_tracked(spark, folder, "customer", "c_custkey").where("c_acctbal > 0")
+    customers = _customers(spark, folder)
     joined = orders.join(
         customers.select("c_custkey", "c_mktsegment"),
         left_on=["o_custkey"],
@@ -153,22 +163,30 @@ def join_left_on(spark: SparkSession, folder: str) -> DataFrame:
     return lineage_text(joined)
 
 
-JOIN_LEFT_ON_SQL = """
+JOIN_LEFT_ON_SQL = f"""
 SELECT o_orderkey, o_custkey, c_mktsegment,
-       coalesce('customer_raw:' || c_custkey || ',', '') || 'orders_raw:' || o_orderkey AS sources
-FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
+       coalesce('customer_raw:' || id || ',', '') || 'orders_raw:' || o_orderkey AS sources
+FROM orders LEFT JOIN {_CUSTOMERS_SQL} ON o_custkey = c_custkey
 """
 
 
 def _two_sides(spark: SparkSession, folder: str):
-    customers = load_tracked(spark, folder, "customer", "c_custkey").where("c_acctbal > 0")
-    orders = load_tracked(spark, folder, "orders", "o_orderkey").where("o_orderstatus = 'P'")
+    # All rows of both sides; orders that are not pending belong to customers of another range of keys.
+    customers = _customers(spark, folder)
+    key = F.when(F.col("o_orderstatus") == "P", F.col("o_custkey")).otherwise(
+        -1_000_000_000 - F.col("o_custkey")
+    )
+    orders = load_tracked(spark, folder, "orders", "o_orderkey").with_columns(o_custkey=key)
     return (
         customers.rename({"c_custkey": "custkey"}).select("custkey", "c_mktsegment"),
         orders.rename({"o_custkey": "custkey"}).select("custkey", "o_orderkey"),
     )
 
 
+_ORDERS_SQL = """(SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_custkey
+        ELSE -1000000000 - o_custkey END AS o_custkey FROM orders)"""
+
+
 def _join_query(how: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         customers, orders = _two_sides(spark, folder)
@@ -180,17 +198,15 @@ def _join_query(how: str):
 def _join_sql(how: str) -> str:
     return f"""
 SELECT coalesce(c_custkey, o_custkey) AS custkey, c_mktsegment, o_orderkey,
-       concat_ws(',', 'customer_raw:' || c_custkey, 'orders_raw:' || o_orderkey) AS sources
-FROM (SELECT * FROM customer WHERE c_acctbal > 0) {how} JOIN
-     (SELECT * FROM orders WHERE o_orderstatus = 'P') ON c_custkey = o_custkey
+       concat_ws(',', 'customer_raw:' || id, 'orders_raw:' || o_orderkey) AS sources
+FROM {_CUSTOMERS_SQL} {how} JOIN {_ORDERS_SQL} ON c_custkey = o_custkey
 """
 
 
 def _filter_join_sql(word: str) -> str:
     return f"""
-SELECT c_custkey AS custkey, c_mktsegment, 'customer_raw:' || c_custkey AS sources
-FROM customer WHERE c_acctbal > 0 AND {word} EXISTS
-     (SELECT 1 FROM orders WHERE o_orderstatus = 'P' AND o_custkey = c_custkey)
+SELECT c_custkey AS custkey, c_mktsegment, 'customer_raw:' || id AS sources
+FROM {_CUSTOMERS_SQL} WHERE {word} EXISTS (SELECT 1 FROM {_ORDERS_SQL} WHERE o_custkey = c_custkey)
 """
 
 
