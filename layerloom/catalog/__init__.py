@@ -23,8 +23,8 @@ class TableDef:
     partition_column: str = ""
     quality_checks: tuple[dict, ...] = ()
     signalling_checks: tuple[dict, ...] = ()
-    # Quoted line breaks need whole-file tasks; switch off for large plain CSVs so they split.
-    multiline: bool = True
+    # Quoted line breaks need whole-file tasks. None: only the dialect made for them has any.
+    multiline: bool | None = None
 
     @property
     def source_name(self) -> str:

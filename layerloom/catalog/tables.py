@@ -106,7 +106,6 @@ def _table(topic: str, layer: str, columns: T.StructType) -> TableDef:
         columns=columns if landing else with_history(columns),
         quality_checks=BLOCKING_CHECKS.get(name, ()),
         signalling_checks=signalling_rules(name),
-        multiline=topic != "flights",
     )
 
 

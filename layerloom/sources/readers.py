@@ -80,11 +80,12 @@ def read_csv(
     path: str,
     schema: T.StructType,
     dialect: str = "csv",
-    multiline: bool = True,
+    multiline: bool | None = None,
 ) -> DataFrame:
     """CSV with a header; a value that does not fit the declared type is an error.
 
-    ``multiline=False`` lets Spark split one file over many tasks. Quoted line breaks then fail
+    Unless ``multiline`` says otherwise only the dialect of that name has line breaks in quotes; files
+    of the others split over many tasks. Without ``multiline`` quoted line breaks fail
     instead of being misread.
     """
     return (
@@ -92,7 +93,7 @@ def read_csv(
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "FAILFAST")
-        .option("multiLine", multiline)
+        .option("multiLine", dialect == "multiline" if multiline is None else multiline)
         .options(**CSV_DIALECTS[dialect])
         .csv(path)
     )

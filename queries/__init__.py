@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from queries import climate, columns, flights, history, lineage, quality, stored
+from queries import climate, columns, flights, history, lineage, quality, sources, stored
 
-_MODULES = (lineage, columns, history, quality, flights, climate, stored)
+_MODULES = (lineage, columns, history, quality, flights, climate, sources, stored)
 
 QUERIES = {name: run for module in _MODULES for name, (run, _) in module.QUERIES.items()}
 ORACLE_SQL = {

@@ -38,7 +38,7 @@ def test_preferred_name_and_codes(spark):
     df = spark.createDataFrame([("Shop", "Shop BV"), ("Shop", None)], "d string, s string")
     assert column(df, text.preferred_name(F.col("d"), F.col("s"))) == ["shop bv", "shop"]
     codes = values(spark, ["'12'", "1234", "12345", None]).toDF("isic_code")
-    assert column(climate.clean_codes(codes), F.col("isic_code")) == ["0012", "1234", "1234", None]
+    assert column(climate.clean_codes(codes), F.col("isic_code")) == ["0012", "1234", "12345", None]
     with pytest.raises(ValueError, match="isic_code"):
         climate.clean_codes(values(spark, ["x"]))
 

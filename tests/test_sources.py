@@ -59,14 +59,14 @@ def test_wrong_header_raises(space, tmp_path):
 def test_csv_dialects(space, tmp_path, dialect, text):
     path = tmp_path / "d.csv"
     path.write_text(text)
-    df = readers.read_csv(space.spark, str(path), struct_of("long a\nstring b"), dialect)
+    df = readers.read_csv(space.spark, str(path), struct_of("long a\nstring b"), dialect, multiline=True)
     assert rows(df) == [(1, 'x, "y"\nz'), (2, "w")]
 
 
 def test_plain_csv_splits_and_rejects_line_breaks(space, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text('a,b\n1,"x\nz"\n')
-    df = readers.read_csv(space.spark, str(path), struct_of("long a\nstring b"), multiline=False)
+    df = readers.read_csv(space.spark, str(path), struct_of("long a\nstring b"))
     with pytest.raises(Exception, match="(?i)malformed"):
         df.collect()
 
@@ -155,3 +155,22 @@ def test_interrupted_swap_is_recovered(spark, tmp_path):
     with pytest.raises(Exception):
         storage.swap_in(spark, str(tmp_path / "nothing"), path)
     assert spark.read.parquet(path).count() == 3
+
+
+def test_a_reader_between_two_renames_moves_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    storage.rename(spark, path, storage.sibling(path, "previous"))
+    assert storage.readable(spark, path) == storage.sibling(path, "previous")
+    assert not storage.exists(spark, path)
+    spark.range(5).write.parquet(str(tmp_path / "new"))
+    storage.rename(spark, str(tmp_path / "new"), path)
+    assert spark.read.parquet(storage.readable(spark, path)).count() == 5
+
+
+def test_a_rename_onto_a_folder_is_refused(spark, tmp_path):
+    spark.range(1).write.parquet(str(tmp_path / "a"))
+    spark.range(1).write.parquet(str(tmp_path / "b"))
+    with pytest.raises(OSError, match="exists"):
+        storage.rename(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert storage.exists(spark, str(tmp_path / "a"))
