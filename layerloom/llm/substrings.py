@@ -6,8 +6,9 @@ takes four steps.
 1. Anchors. In each window of 50 bytes the 24-byte string of the smallest hash is an anchor, so equal windows
    have equal anchors. Anchors travel as compressed blocks per hash range; those that only one document has need
    nothing more.
-2. Contexts. Around a shared anchor lie the at most 76 bytes of all windows that contain it. Equal contexts
-   are one, with the smallest id of their documents, however many copies there are.
+2. Contexts. Runs of shared anchors are cut into chunks where the content says so, and equal chunks become
+   one with the smallest id of their documents, however many copies there are. Around an anchor of a chunk lie the
+   at most 76 bytes of all windows that contain it; equal contexts become one as well.
 3. Expansion. Of contexts that differ around the same anchor, the common strings are found on the Burrows-Wheeler
    transform of a batch of them: from the interval of all suffixes, all intervals are extended backwards by one byte
    at a time, breadth first, so each level holds the strings of one length more. Intervals of one context
@@ -22,6 +23,8 @@ Spark instead, which splits and pre-aggregates them; this is the exact way for f
 from __future__ import annotations
 
 import hashlib
+import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,22 +43,25 @@ BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 20, 500_000
 #: Contexts of one transform, and the most that may differ around one anchor for it.
 BATCH_CONTEXTS, MOST_CONTEXTS = 20_000, 20_000
 
+#: Anchors of a chunk on average; a run without a boundary is cut at four times as many.
+CHUNK_ANCHORS = 16
+
 NO_ID = (1 << 63) - 1
 
 
 def _hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 24 bytes from each place on."""
+    """A hash of the anchor's bytes from each place on, eight at a time."""
     one = data.astype(np.uint64)
     two = one[:-1] << np.uint64(8) | one[1:]
     four = two[:-2] << np.uint64(16) | two[2:]
     eight = four[:-4] << np.uint64(32) | four[4:]
     n = len(data) - ANCHOR + 1
-    x = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x = (x ^ eight[8 : 8 + n]) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(32)
-    x = (x ^ eight[16 : 16 + n]) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = np.zeros(n, dtype=np.uint64)
+    for at in range(0, ANCHOR, 8):
+        x = (x ^ eight[at : at + n]) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
 
 def _sliding(x: np.ndarray, width: int, step: np.ufunc, filler: int) -> np.ndarray:
@@ -143,7 +149,8 @@ def _shared(table: pa.Table) -> pa.Table:
     parts = []
     for r in table.to_pylist():
         h = np.cumsum(_unpacked(r["hashes"]), dtype=np.uint64)
-        parts.append((h, _unpacked(r["rows"]).astype(np.int64) + r["first_row"], _unpacked(r["places"]).astype(np.int64)))
+        rows = _unpacked(r["rows"]).astype(np.int64) + r["first_row"]
+        parts.append((h, rows, _unpacked(r["places"]).astype(np.int64)))
     h, rows, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
     order = np.argsort(h, kind="stable")
     h, rows, at = h[order], rows[order], at[order]
@@ -154,7 +161,7 @@ def _shared(table: pa.Table) -> pa.Table:
     order = np.argsort(rows, kind="stable")
     rows, at = rows[order], at[order]
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    places = [at[a:b].tolist() for a, b in zip(starts, [*starts[1:], len(rows)], strict=True)]
+    places = [x.tolist() for x in np.split(at, starts[1:])] if len(starts) else []
     return pa.table(
         {
             "row_id": pa.array(rows[starts], pa.int64()),
@@ -163,131 +170,186 @@ def _shared(table: pa.Table) -> pa.Table:
     )
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes around each shared anchor, with the place of the first of them."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of shared anchors with the bytes around them, cut behind every 16th anchor by content."""
     side = LENGTH - ANCHOR
     for batch in batches:
-        keys, contexts, offsets, rows, ids, starts = [], [], [], [], [], []
+        out = []
         for row, doc, text, places in zip(
             *(batch.column(c).to_pylist() for c in ("row_id", "id", "text", "places")), strict=True
         ):
-            data = text.encode()
-            for at in places:
-                start = max(0, at - side)
-                context = data[start : at + LENGTH]
-                keys.append(hashlib.md5(context + bytes([at - start])).digest())
-                contexts.append(context)
-                offsets.append(at - start)
-                rows.append(row)
-                ids.append(doc)
-                starts.append(start)
+            data, places = text.encode(), sorted(places)
+            first = 0
+            for i, at in enumerate(places):
+                follows = i + 1 < len(places) and places[i + 1] - at <= side + 1
+                if (
+                    follows
+                    and zlib.crc32(data[at : at + ANCHOR]) % CHUNK_ANCHORS
+                    and i + 1 - first < 4 * CHUNK_ANCHORS
+                ):
+                    continue
+                start = max(0, places[first] - side)
+                chunk = data[start : at + LENGTH]
+                offsets = [p - start for p in places[first : i + 1]]
+                key = hashlib.md5(chunk + array("i", offsets).tobytes()).digest()
+                out.append((key, chunk, offsets, row, doc, start))
+                first = i + 1
+        columns = list(zip(*out, strict=True)) if out else [()] * 6
+        kinds = [pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int32()]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys, pa.binary()),
-                pa.array(contexts, pa.binary()),
-                pa.array(offsets, pa.int32()),
-                pa.array(rows, pa.int64()),
-                pa.array(ids, pa.int64()),
-                pa.array(starts, pa.int32()),
-            ],
-            names=["key", "context", "offset", "row_id", "id", "start"],
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["chunk_key", "chunk", "offsets", "row_id", "id", "start"],
         )
 
 
+def _contexts(chunks: DataFrame) -> DataFrame:
+    """The bytes around each anchor of a chunk: where they begin, and a hash of the anchor to meet by."""
+    side = LENGTH - ANCHOR
+    at = F.greatest(F.col("offset") - side, F.lit(0))
+    return chunks.select("chunk_id", "id", "chunk", F.explode("offsets").alias("offset")).select(
+        F.xxhash64(F.substring(F.col("chunk"), F.col("offset") + 1, F.lit(ANCHOR))).alias("anchor"),
+        "chunk_id",
+        at.alias("at"),
+        F.substring(F.col("chunk"), at + 1, F.col("offset") + LENGTH - at).alias("context"),
+        "id",
+    )
+
+
 def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
-    """Order of all suffixes by their first ``length`` symbols at least, by doubling."""
-    n = len(text)
-    rank = text.astype(np.int64)
-    step = 1
+    """Order of all suffixes by their first ``length`` symbols (0 to 257) at least, by doubling."""
+    n, step = len(text), 7
+    padded = np.append(text, np.zeros(step, dtype=np.int64))
+    key = np.zeros(n, dtype=np.int64)
+    for i in range(step):
+        key = key << 9 | padded[i : n + i]
     while True:
-        following = np.zeros(n, dtype=np.int64)
-        following[: n - step] = rank[step:] + 1
-        key = rank * (int(rank.max()) + 2) + following
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
-        step *= 2
         if step >= length or rank[order[-1]] == n - 1:
             return order
+        key = rank << 32
+        key[: n - step] |= rank[step:] + 1
+        step *= 2
+
 
+def common_strings(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where strings of ``length`` bytes lie that several of the contexts have: string, context, place.
 
-def common_strings(
-    contexts: list[bytes], length: int
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(contexts, places) of each string of ``length`` bytes that several of the contexts have."""
+    Places of one string stand next to each other and have its number.
+    """
     # Bytes are 2 to 257, 1 ends a context, 0 ends the text: no string runs over an end.
     joined = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     sizes = np.array([len(c) for c in contexts])
     n = len(joined) + len(contexts) + 1
-    text = np.ones(n, dtype=np.int64)
     owner = np.repeat(np.arange(len(contexts)), sizes + 1)
     place = np.arange(n - 1) - np.repeat(np.cumsum(sizes + 1) - sizes - 1, sizes + 1)
+    text = np.ones(n, dtype=np.int64)
     text[:-1][place < sizes[owner]] = joined.astype(np.int64) + 2
     text[-1] = 0
     order = suffix_array(text, length + 1)
-    before = text[order - 1]  # the transform: the symbol ahead of each suffix
+    before = text[order - 1].astype(np.uint16)  # the transform: the symbol ahead of each suffix
     # Where the suffix that begins one symbol earlier stands: equal symbols keep their order.
     earlier = np.empty(n, dtype=np.int64)
     earlier[np.argsort(before, kind="stable")] = np.arange(n)
-    # Rows of live intervals in order, and the first row of the interval of each.
-    rows, interval = np.arange(n), np.zeros(n, dtype=np.int64)
     of_row = np.append(owner, len(contexts))[order]
+    # Rows of live intervals in order, and the number of the interval of each.
+    rows, interval = np.arange(n), np.zeros(n, dtype=np.int64)
     for _ in range(length):
         symbol = before[rows]
-        inside = symbol > 1
-        rows, interval, symbol = rows[inside], interval[inside], symbol[inside]
+        inside = np.flatnonzero(symbol > 1)
         # Rows of one interval and symbol move to a new interval side by side.
-        to = earlier[rows]
-        by_place = np.argsort(to, kind="stable")
-        rows, old, symbol = to[by_place], interval[by_place], symbol[by_place]
+        moved = inside[np.argsort(symbol[inside], kind="stable")]
+        rows, old, symbol = earlier[rows[moved]], interval[moved], symbol[moved]
+        if not len(rows):
+            break
         new = np.ones(len(rows), dtype=bool)
-        new[1:] = (np.diff(old) != 0) | (np.diff(symbol) != 0) | (np.diff(rows) != 1)
+        new[1:] = (old[1:] != old[:-1]) | (symbol[1:] != symbol[:-1])
         starts = np.flatnonzero(new)
-        if not len(starts):
-            return
         # An interval of a single context has nothing in common with another.
         owners = of_row[rows]
         several = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
-        counts = np.diff(starts, append=len(rows))
-        live = np.repeat(several, counts)
-        interval = np.repeat(rows[starts], counts)[live]
-        rows = rows[live]
+        interval = np.cumsum(new) - 1
+        live = several[interval]
+        rows, interval = rows[live], interval[live]
     places = order[rows]
-    bounds = np.flatnonzero(np.diff(interval, prepend=-1, append=-1))
-    for a, b in zip(bounds, bounds[1:], strict=False):
-        yield owner[places[a:b]], place[places[a:b]]
+    return interval, owner[places], place[places]
 
 
-def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each context of sorted anchors the smallest id of each of its windows."""
+#: Windows ``low`` to ``high`` of a context, whose smallest id is ``least``.
+RUNS = "array<struct<low: int, high: int, least: bigint>>"
+
+
+def _runs(lowest: list[int]) -> list[tuple[int, int, int]]:
+    starts = [i for i, x in enumerate(lowest) if not i or x != lowest[i - 1]]
+    ends = [*starts[1:], len(lowest)]
+    return [(a, b - 1, lowest[a]) for a, b in zip(starts, ends, strict=True)]
 
-    def solved(rows: list[tuple]) -> pa.RecordBatch:
-        lowest = [[i] * (len(c) - LENGTH + 1) for _, _, c, i in rows]
+
+def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each context of sorted anchors the smallest ids of its windows."""
+
+    def solved(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        contexts, ids = table.column("context").to_pylist(), table.column("id").to_numpy()
+        anchor = table.column("anchor").to_numpy()
+        # Equal contexts are one, with the smallest id.
+        number: dict[tuple, int] = {}
+        which = np.array([number.setdefault(k, len(number)) for k in zip(anchor.tolist(), contexts, strict=True)])
+        least = np.full(len(number), NO_ID, dtype=np.int64)
+        np.minimum.at(least, which, ids)
+        anchors, texts = np.array([a for a, _ in number]), [c for _, c in number]
         # Contexts alone around their anchor share no window with another.
-        alone = [a != b for a, b in zip([None, *[r[0] for r in rows]], [r[0] for r in rows], strict=False)]
-        alone = [a and b for a, b in zip(alone, [*alone[1:], True], strict=True)]
-        several = [i for i, one in enumerate(alone) if not one]
-        if several:
-            ids = np.array([rows[i][3] for i in several])
-            for owners, places in common_strings([rows[i][2] for i in several], LENGTH):
-                least = int(ids[owners].min())
-                for o, p in zip(owners.tolist(), places.tolist(), strict=True):
-                    if least < lowest[several[o]][p]:
-                        lowest[several[o]][p] = least
+        changes = np.flatnonzero(np.diff(anchors) != 0) + 1
+        sizes = np.diff(np.concatenate([[0], changes, [len(anchors)]]))
+        several = np.flatnonzero(np.repeat(sizes > 1, sizes))
+        runs = [[(0, len(c) - LENGTH, i)] for c, i in zip(texts, least.tolist(), strict=True)]
+        if len(several):
+            lowest = np.repeat(least[several][:, None], LENGTH - ANCHOR + 1, axis=1)
+            string, owners, places = common_strings([texts[i] for i in several], LENGTH)
+            if len(string):
+                starts = np.flatnonzero(np.diff(string, prepend=-1))
+                of_string = np.minimum.reduceat(least[several][owners], starts)
+                found = np.repeat(of_string, np.diff(starts, append=len(string)))
+                lowest[owners, places] = np.minimum(lowest[owners, places], found)
+            for k in np.flatnonzero((lowest != lowest[:, :1]).any(axis=1)).tolist():
+                i = int(several[k])
+                runs[i] = _runs(lowest[k, : len(texts[i]) - LENGTH + 1].tolist())
+            same = np.flatnonzero((lowest == lowest[:, :1]).all(axis=1))
+            for k, x in zip(same.tolist(), lowest[same, 0].tolist(), strict=True):
+                i = int(several[k])
+                runs[i] = [(0, len(texts[i]) - LENGTH, x)]
+        out = [runs[i] for i in which.tolist()]
+        flat = [r for rs in out for r in rs]
+        low, high, ids_of = zip(*flat, strict=True)
+        struct = pa.StructArray.from_arrays(
+            [pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(ids_of, pa.int64())],
+            names=["low", "high", "least"],
+        )
+        bounds = np.concatenate([[0], np.cumsum([len(rs) for rs in out])])
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[1] for r in rows], pa.binary()), pa.array(lowest, pa.list_(pa.int64()))],
-            names=["key", "lowest"],
+            [
+                table.column("chunk_id").combine_chunks(),
+                table.column("at").combine_chunks(),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), struct),
+            ],
+            names=["chunk_id", "at", "runs"],
         )
 
-    held: list[tuple] = []
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "key", "context", "id")), strict=True):
-            # Contexts of an anchor stay together.
-            if len(held) >= BATCH_CONTEXTS and held[-1][0] != row[0]:
-                yield solved(held)
-                held = []
-            held.append(row)
+        if not batch.num_rows:
+            continue
+        anchor = batch.column("anchor").to_numpy()
+        # Contexts of an anchor stay together: a batch is cut where the last anchor begins.
+        cut = int(np.searchsorted(anchor, anchor[-1]))
+        if held and (cut or held[-1].column("anchor")[-1].as_py() != anchor[0]) and size + cut >= BATCH_CONTEXTS:
+            yield solved([*held, batch.slice(0, cut)])
+            held, size, batch = [], 0, batch.slice(cut)
+        held.append(batch)
+        size += batch.num_rows
     if held:
         yield solved(held)
 
@@ -299,34 +361,32 @@ def _windows(context: str) -> Column:
     )
 
 
-def _lowest_of_frequent(contexts: DataFrame) -> DataFrame:
-    """(key, lowest) as ``_smallest`` gives, by grouping the windows."""
-    windows = contexts.select("key", "id", "anchor", F.posexplode(_windows("context")).alias("at", "window"))
+def _smallest_of_frequent(contexts: DataFrame) -> DataFrame:
+    """(chunk_id, at, runs) as ``_smallest`` gives, by grouping the windows."""
+    windows = contexts.select("chunk_id", "id", "at", F.posexplode(_windows("context")).alias("low", "window"))
     least = windows.groupBy("window").agg(F.min("id").alias("least"))
-    found = windows.join(least, "window").select("key", F.struct("at", "least").alias("w"))
-    return found.groupBy("key").agg(
-        F.transform(F.array_sort(F.collect_list("w")), lambda w: w["least"]).alias("lowest")
-    )
+    run = F.struct("low", F.col("low").alias("high"), "least")
+    return windows.join(least, "window").groupBy("chunk_id", "at").agg(F.collect_list(run).alias("runs"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removes what the windows from ``starts`` on cover."""
+    """Removes the spans from each text and gives their union."""
     for batch in batches:
         out = []
-        for row, text, starts in zip(
-            *(batch.column(c).to_pylist() for c in ("row_id", "text", "starts")), strict=True
+        for row, text, spans in zip(
+            *(batch.column(c).to_pylist() for c in ("row_id", "text", "spans")), strict=True
         ):
-            data, kept, spans, removed, end = text.encode(), [], [], 0, 0
-            for s in sorted(starts):
-                if spans and s <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], s + LENGTH)
+            data, kept, union, removed, end = text.encode(), [], [], 0, 0
+            for a, b in sorted((s["a"], s["b"]) for s in spans):
+                if union and a <= union[-1][1]:
+                    union[-1][1] = max(union[-1][1], b)
                 else:
-                    spans.append([s, s + LENGTH])
-            for a, b in spans:
+                    union.append([a, b])
+            for a, b in union:
                 kept.append(data[end:a])
                 removed, end = removed + b - a, b
             kept.append(data[end:])
-            out.append((row, removed, spans, b"".join(kept)))
+            out.append((row, removed, union, b"".join(kept)))
         columns = list(zip(*out, strict=True)) if out else [()] * 4
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.binary()]
         yield pa.RecordBatch.from_arrays(
@@ -336,25 +396,31 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def drop_shared_strings(
-    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    row_column: str | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, spans, kept.
 
     A byte is removed if a 50-byte string that covers it also starts in a document with a smaller id,
-    judged on the input texts as UTF-8. ``spans`` are the maximal removed runs as [start, end); ``kept`` is null where
-    nothing is removed (the text is kept), else the remaining bytes. A null text counts as empty. A null id is larger than all others;
-    rows with the same id are not smaller than each other, so repeated rows keep their bytes. Ids are integers; other
-    columns are ignored, whatever their names. An empty table gives no rows.
+    judged on the input texts as UTF-8. ``spans`` are the maximal removed runs as [start, end); ``kept`` is
+    null where nothing is removed (the text is kept), else the remaining bytes. A null text counts as empty.
+    A null id is larger than all others; rows with the same id are not smaller than each other, so repeated
+    rows keep their bytes. Ids are integers; other columns are ignored, whatever their names. An empty table
+    gives no rows. ``row_column`` is as in ``Scratch.numbered``.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
+    taken = docs.select(
+        *([F.col(row_column).alias("row")] if row_column else []),
         F.col(id_column).alias("doc_id"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
+    rows = scratch.numbered(taken, "row_id", "row" if row_column else None)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # About 2 anchors per window of 27 places.
+    # About 2 anchors per window's width of places.
     ranges = 1 + int(total * 2 / (LENGTH - ANCHOR + 2) / RANGE_ANCHORS)
     blocks = rows.select("row_id", "text").mapInArrow(
         _blocks(ranges), "bucket int, first_row bigint, hashes binary, rows binary, places binary"
@@ -366,32 +432,52 @@ def drop_shared_strings(
     marked = scratch.write(rows.join(places, "row_id").select("row_id", "id", "text", "places"))
     found = scratch.write(
         marked.mapInArrow(
-            _contexts,
-            "key binary, context binary, offset int, row_id bigint, id bigint, start int",
+            _chunks,
+            "chunk_key binary, chunk binary, offsets array<int>, row_id bigint, id bigint, start int",
         )
     )
-    contexts = scratch.write(
-        found.groupBy("key", "context", "offset")
-        .agg(F.min("id").alias("id"), F.max("id").alias("most"))
-        .select("key", "context", "id", "most", F.substring(F.col("context"), F.col("offset") + 1, F.lit(ANCHOR)).alias("anchor"))
-    )
-    sizes = scratch.write(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")))
-    frequent = contexts.join(sizes.where(F.col("n") > MOST_CONTEXTS), "anchor")
-    usual = contexts.join(sizes.where(F.col("n") <= MOST_CONTEXTS), "anchor")
-    lowest = scratch.write(
-        usual.select("anchor", "key", "context", "id")
+    scratch.drop(shared)
+    # Read from files, chunks are numbered alike each time.
+    chunks = scratch.write(
+        found.groupBy("chunk_key", "chunk", "offsets").agg(F.min("id").alias("id"))
+    ).withColumn("chunk_id", F.monotonically_increasing_id())
+    contexts = _contexts(chunks)
+    sizes = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    many = scratch.write(sizes.where(F.col("n") > MOST_CONTEXTS).select("anchor"))
+    runs = (
+        contexts.join(many, "anchor", "left_anti")
+        .select("anchor", "chunk_id", "at", "context", "id")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(_smallest, "key binary, lowest array<bigint>")
-        .unionByName(_lowest_of_frequent(frequent))
+        .mapInArrow(_smallest, f"chunk_id bigint, at int, runs {RUNS}")
+        .unionByName(_smallest_of_frequent(contexts.join(many, "anchor")))
+    )
+    # What a run of windows covers in the chunk, and the smallest id that has it.
+    covers = lambda r: F.struct(
+        (F.col("at") + r["low"]).alias("a"),
+        (F.col("at") + r["high"] + LENGTH).alias("b"),
+        r["least"].alias("least"),
+    )
+    of_chunk = runs.groupBy("chunk_id").agg(
+        F.flatten(F.collect_list(F.transform("runs", covers))).alias("covers")
+    )
+    of_chunk = scratch.write(
+        chunks.select("chunk_id", "chunk_key").join(of_chunk, "chunk_id").drop("chunk_id")
+    )
+    smaller = F.filter("covers", lambda c: c["least"] < F.col("id"))
+    spans = F.transform(
+        smaller,
+        lambda c: F.struct(
+            (F.col("start") + c["a"]).alias("a"), (F.col("start") + c["b"]).alias("b")
+        ),
     )
     starts = (
-        found.select("key", "row_id", "id", "start")
-        .join(lowest, "key")
-        .select("row_id", "start", "id", F.posexplode("lowest").alias("at", "least"))
-        .where("least < id")
+        found.select("chunk_key", "row_id", "id", "start")
+        .join(of_chunk, "chunk_key")
+        .select("row_id", spans.alias("spans"))
+        .where(F.size("spans") > 0)
         .groupBy("row_id")
-        .agg(F.collect_set(F.col("start") + F.col("at")).alias("starts"))
+        .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
     cut = scratch.write(
         marked.select("row_id", "text")
