@@ -46,7 +46,9 @@ def chunks(
         docs.select(*rest, _lines(text_column).alias("_lines"))
         .withColumn("_hashes", F.transform("_lines", _line_hash))
         .withColumn("_ends", _ends("_hashes", mean_lines))
-        .select(*rest, "_lines", "_ends", F.posexplode("_ends").alias("place", "_end"))
+        # There always is an end. The outer form keeps the optimizer from testing so ahead of the
+        # projections, where it would compute the hashes anew for each line.
+        .select(*rest, "_lines", "_ends", F.posexplode_outer("_ends").alias("place", "_end"))
         .withColumn("start", F.coalesce(F.get("_ends", F.col("place") - 1) + 1, F.lit(0)))
         .withColumn("n_lines", F.col("_end") - F.col("start") + 1)
     )
