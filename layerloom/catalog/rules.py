@@ -25,7 +25,6 @@ SIGNALLING_RULES: dict[str, tuple[dict, ...]] = {
         {
             "check": "record has expected history",
             "columns": ["all"],
-            "table_name": "flights_datamodel",
             "expected_trace": {
                 "source_table_name": ["flights_raw", "timezone_raw"],
                 "amount_records": [1, 2],

@@ -98,7 +98,7 @@ class TrackedFrame:
     def rename(self, names: Mapping[str, str]) -> TrackedFrame:
         for name in names:
             if name not in self.df.columns:
-                raise ValueError(f"Value {name} does not exist in the specified schema")
+                raise ValueError(f"There is no column {name} to rename")
         renamed = self.df.withColumnsRenamed(dict(names))
         return self._keeping_keys(renamed, [*names, *names.values()])
 
@@ -130,7 +130,7 @@ class TrackedFrame:
         skew splitting) is left to the planner, which knows the sizes.
         """
         if how not in JOIN_KINDS:
-            raise ValueError(f"Please specify the type of join, one of {sorted(JOIN_KINDS)}")
+            raise ValueError(f"Unknown type of join; known are {sorted(JOIN_KINDS)}")
         kind = JOIN_KINDS[how]
         if on is not None:
             left_keys = right_keys = _listed(on)

@@ -137,24 +137,23 @@ def require_none(violations: DataFrame, message: str) -> None:
 
 def assert_sectors_present(df: DataFrame, **columns: str) -> None:
     require_none(
-        sector_violations(df, **columns), "For every isic there should be a sector and a subsector"
+        sector_violations(df, **columns), "Industry codes without a sector or subsector were found"
     )
 
 
 def assert_product_names(df: DataFrame, product_name: str = "product_name") -> None:
-    require_none(product_name_violations(df, product_name), "`product_name` can't have any null value")
+    require_none(product_name_violations(df, product_name), f"Column {product_name} (product_name) holds nulls")
 
 
 def assert_one_geography(df: DataFrame, product: str = "input_activity_uuid_product_uuid") -> None:
     found = geography_violations(df, product)
     require_none(
         found.where("rule = 'geography'"),
-        "Any input product should not belong to different geographies at the same priority "
-        f"`{GEOGRAPHY_PRIORITY}`",
+        f"Products lie in several geographies at one and the same priority `{GEOGRAPHY_PRIORITY}`",
     )
     require_none(
         found.where("rule = 'no priority'"),
-        "Any input product should not have more than one NA input priority for an NA input geography",
+        "Products without a geography have several rows without a priority (NA input priority)",
     )
 
 

@@ -173,5 +173,5 @@ def generate(
     elif table_name in LATER_TABLES:
         frame = LATER_TABLES[table_name](space)
     else:
-        raise ValueError(f"The table: {table_name} is not specified in the processing functions")
+        raise ValueError(f"No job makes {table_name}: it is not specified")
     return space.frame(table_name, frame).write()

@@ -254,8 +254,8 @@ GEOGRAPHY = "input_activity_uuid_product_uuid string, input_geography string, in
 @pytest.mark.parametrize(
     ("extra", "message"),
     [
-        (("A", "DE", "p", 16, 2), "different geographies"),
-        (("B", None, "q", None, 2), "more than one NA"),
+        (("A", "DE", "p", 16, 2), "several geographies"),
+        (("B", None, "q", None, 2), "several rows without a priority"),
         (("A", "DE", "p", 16, 3), None),
         (("A", "NL", "p", 16, 2), None),
         (("A", "DE", "p", 15, 2), None),
