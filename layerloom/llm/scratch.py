@@ -39,6 +39,7 @@ class Scratch:
         self.spark = spark
         self.folder = f"{shared_folder(spark).rstrip('/')}/layerloom-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
+        self.tables: list[str] = []
         atexit.register(self.close)
 
     def write(self, df: DataFrame) -> DataFrame:
@@ -49,6 +50,14 @@ class Scratch:
         table._scratch_path = path  # keeps the table's place with the table
         return table
 
+    def write_buckets(self, df: DataFrame, column: str, n: int) -> DataFrame:
+        """A table in the warehouse in ``n`` buckets of ``column``, so that joins by it need no shuffle."""
+        name = f"layerloom_{uuid.uuid4().hex}"
+        writer = df.write.format("parquet").option("compression", "zstd").bucketBy(n, column)
+        writer.sortBy(column).saveAsTable(name)
+        self.tables.append(name)
+        return self.spark.table(name)
+
     def numbered(self, docs: DataFrame, name: str, row_column: str | None) -> DataFrame:
         """``docs`` with a unique integer ``name`` that is the same each time the rows are read.
 
@@ -65,6 +74,8 @@ class Scratch:
 
     def close(self) -> None:
         with contextlib.suppress(Exception):  # the session may be gone already
+            for name in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self._delete(self.folder)
 
     def _delete(self, path: str) -> None:

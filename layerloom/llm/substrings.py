@@ -10,10 +10,10 @@ takes four steps.
    one with the smallest id of their documents, however many copies there are. Around an anchor of a chunk lie the
    at most 76 bytes of all windows that contain it; equal contexts become one as well.
 3. Expansion. Of contexts that differ around the same anchor, the common strings are found on the Burrows-Wheeler
-   transform of a batch of them: from the interval of all suffixes, all intervals are extended backwards by one byte
-   at a time, breadth first, so each level holds the strings of one length more. Intervals of one context
-   end there, and the search ends at 50 bytes; an interval left is a string that contexts share, and its
-   smallest id counts for each of them.
+   transform of a batch of them. Sorting its suffixes by doubling gives the intervals of strings of 28 bytes;
+   from there all intervals are extended backwards by one byte at a time, breadth first, so each level holds
+   the strings of one length more. Intervals of one context end there, and the search ends at 50 bytes; an
+   interval left is a string that contexts share, and its smallest id counts for each of them.
 4. Removal. What the windows of its contexts cover is cut from each document.
 
 An anchor around which more contexts differ than one batch may hold has its windows grouped by their bytes in
@@ -159,13 +159,10 @@ def _shared(table: pa.Table) -> pa.Table:
     kept = np.repeat(several, np.diff(starts, append=len(h)))
     rows, at = rows[kept], at[kept]
     order = np.argsort(rows, kind="stable")
-    rows, at = rows[order], at[order]
-    starts = np.flatnonzero(np.diff(rows, prepend=-1))
-    places = [x.tolist() for x in np.split(at, starts[1:])] if len(starts) else []
     return pa.table(
         {
-            "row_id": pa.array(rows[starts], pa.int64()),
-            "places": pa.array(places, pa.list_(pa.int32())),
+            "row_id": pa.array(rows[order], pa.int64()),
+            "place": pa.array(at[order].astype(np.int32), pa.int32()),
         }
     )
 
@@ -215,9 +212,14 @@ def _contexts(chunks: DataFrame) -> DataFrame:
     )
 
 
-def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
-    """Order of all suffixes by their first ``length`` symbols (0 to 257) at least, by doubling."""
+def suffix_array(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Order of all suffixes by their first ``length`` symbols (0 to 257) at least, by doubling.
+
+    Also the rank of each suffix by its first symbols alone, and how many those are: fewer than ``length``,
+    as many as the last doubling ahead of it knew.
+    """
     n, step = len(text), 7
+    shorter, known = np.zeros(n, dtype=np.int64), 0
     padded = np.append(text, np.zeros(step, dtype=np.int64))
     key = np.zeros(n, dtype=np.int64)
     for i in range(step):
@@ -227,8 +229,9 @@ def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
         ordered = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
-        if step >= length or rank[order[-1]] == n - 1:
-            return order
+        if step >= length:
+            return order, shorter, known
+        shorter, known = rank, step
         key = rank << 32
         key[: n - step] |= rank[step:] + 1
         step *= 2
@@ -248,15 +251,19 @@ def common_strings(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.n
     text = np.ones(n, dtype=np.int64)
     text[:-1][place < sizes[owner]] = joined.astype(np.int64) + 2
     text[-1] = 0
-    order = suffix_array(text, length + 1)
+    order, shorter, known = suffix_array(text, length)
     before = text[order - 1].astype(np.uint16)  # the transform: the symbol ahead of each suffix
     # Where the suffix that begins one symbol earlier stands: equal symbols keep their order.
     earlier = np.empty(n, dtype=np.int64)
     earlier[np.argsort(before, kind="stable")] = np.arange(n)
     of_row = np.append(owner, len(contexts))[order]
     # Rows of live intervals in order, and the number of the interval of each.
-    rows, interval = np.arange(n), np.zeros(n, dtype=np.int64)
-    for _ in range(length):
+    left = np.zeros(n, dtype=np.int64)
+    left[:-1] = sizes[owner] - place  # symbols up to the end of the context
+    rows = np.flatnonzero(left[order] >= known)
+    of_rows = shorter[order[rows]]
+    interval = np.cumsum(np.diff(of_rows, prepend=of_rows[:1]) != 0)
+    for _ in range(length - known):
         symbol = before[rows]
         inside = np.flatnonzero(symbol > 1)
         # Rows of one interval and symbol move to a new interval side by side.
@@ -426,10 +433,16 @@ def drop_shared_strings(
         _blocks(ranges), "bucket int, first_row bigint, hashes binary, rows binary, places binary"
     )
     shared = scratch.write(
-        blocks.groupBy("bucket").applyInArrow(_shared, "row_id bigint, places array<int>")
+        blocks.groupBy("bucket").applyInArrow(_shared, "row_id bigint, place int")
+    )
+    places = shared.groupBy("row_id").agg(F.collect_list("place").alias("places"))
+    # Texts move once: they are kept in buckets by row, which the last join finds in place.
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marked = scratch.write_buckets(
+        rows.repartition(n, "row_id").join(places, "row_id").select("row_id", "id", "text", "places"),
+        "row_id",
+        n,
     )
-    places = shared.groupBy("row_id").agg(F.flatten(F.collect_list("places")).alias("places"))
-    marked = scratch.write(rows.join(places, "row_id").select("row_id", "id", "text", "places"))
     found = scratch.write(
         marked.mapInArrow(
             _chunks,
