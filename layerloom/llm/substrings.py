@@ -4,8 +4,8 @@ Of each 50-byte string that also starts in a document with a smaller id, all byt
 takes four steps.
 
 1. Anchors. In each window of 50 bytes the 24-byte string of the smallest hash is an anchor, so equal windows
-   have equal anchors. Anchors travel as compressed blocks per hash range; those that only one document has need
-   nothing more.
+   have equal anchors. Anchors travel as compressed blocks per hash range, first once for each block and hash
+   with the smallest and the largest row; those that only one document has need nothing more.
 2. Contexts. Runs of shared anchors are cut into chunks where the content says so, and equal chunks become
    one with the smallest id of their documents, however many copies there are. Around an anchor of a chunk lie the
    at most 76 bytes of all windows that contain it; equal contexts become one as well.
@@ -98,8 +98,11 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
-def _blocks(ranges: int):
-    """Anchors of a task's documents as blocks per hash range: differences of hashes, rows, places."""
+def _blocks(ranges: int, ends: bool = False):
+    """Anchors of a task's documents as blocks per hash range: differences of hashes, rows, places.
+
+    With ``ends`` each hash is in a block once, and its smallest and largest rows stand for rows and places.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -113,18 +116,22 @@ def _blocks(ranges: int):
             bounds = np.flatnonzero(np.diff(number, prepend=-1, append=ranges))
             out = []
             for lo, hi in zip(bounds, bounds[1:], strict=False):
-                first = int(rows[lo:hi].min())
+                first, x, own, places = int(rows[lo:hi].min()), h[lo:hi], rows[lo:hi], at[lo:hi]
+                if ends:
+                    x, own, places = _ends(x, own, own)
+                    places = places - first
                 out.append(
                     (
                         int(number[lo]),
+                        int(hi - lo),
                         first,
-                        _packed(np.diff(h[lo:hi], prepend=np.uint64(0))),
-                        _packed((rows[lo:hi] - first).astype(np.uint64)),
-                        _packed(at[lo:hi].astype(np.uint64)),
+                        _packed(np.diff(x, prepend=np.uint64(0))),
+                        _packed((own - first).astype(np.uint64)),
+                        _packed(places.astype(np.uint64)),
                     )
                 )
-            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            names = ["bucket", "first_row", "hashes", "rows", "places"]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            names = ["bucket", "n", "first_row", "hashes", "rows", "places"]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names
             )
@@ -144,26 +151,77 @@ def _blocks(ranges: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of one hash range: rows and places of the anchors that several rows have."""
-    parts = []
-    for r in table.to_pylist():
-        h = np.cumsum(_unpacked(r["hashes"]), dtype=np.uint64)
-        rows = _unpacked(r["rows"]).astype(np.int64) + r["first_row"]
-        parts.append((h, rows, _unpacked(r["places"]).astype(np.int64)))
-    h, rows, at = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    order = np.argsort(h, kind="stable")
-    h, rows, at = h[order], rows[order], at[order]
+def _ends(h: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each of the sorted hashes once, the smallest and the largest row."""
     starts = np.flatnonzero(np.diff(h, prepend=~h[:1]))
-    several = np.minimum.reduceat(rows, starts) != np.maximum.reduceat(rows, starts)
-    kept = np.repeat(several, np.diff(starts, append=len(h)))
-    rows, at = rows[kept], at[kept]
-    order = np.argsort(rows, kind="stable")
-    return pa.table(
-        {
-            "row_id": pa.array(rows[order], pa.int64()),
-            "place": pa.array(at[order].astype(np.int32), pa.int32()),
-        }
+    return h[starts], np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)
+
+
+def _several(table: pa.Table) -> pa.Table:
+    """Of one hash range: its number of anchors, and the hashes that several rows have.
+
+    Blocks are added one by one, so what is held are the distinct hashes of the range.
+    """
+    held, n = None, 0
+    for i in range(table.num_rows):
+        r = {c: table.column(c)[i].as_py() for c in table.column_names}
+        n += r["n"]
+        h = np.cumsum(_unpacked(r["hashes"]), dtype=np.uint64)
+        new = h, *(_unpacked(r[c]).astype(np.int64) + r["first_row"] for c in ("rows", "places"))
+        if held:
+            new = [np.concatenate(x) for x in zip(held, new, strict=True)]
+            order = np.argsort(new[0], kind="stable")
+            new = _ends(*(x[order] for x in new))
+        held = new
+    h, low, high = held
+    found = _packed(np.diff(h[low != high], prepend=np.uint64(0)))
+    bucket = table.column("bucket")[:1].combine_chunks()
+    return pa.table({"bucket": bucket, "n": pa.array([n], pa.int64()), "shared": pa.array([found], pa.binary())})
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows and places of shared anchors; ahead of the blocks of a range comes a row with its shared hashes."""
+    shared = np.zeros(0, np.uint64)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            r = {c: batch.column(c)[i].as_py() for c in ("shared", "first_row", "hashes", "rows", "places")}
+            if r["shared"] is not None:
+                shared = np.cumsum(_unpacked(r["shared"]), dtype=np.uint64)
+                continue
+            if not len(shared):
+                continue
+            h = np.cumsum(_unpacked(r["hashes"]), dtype=np.uint64)
+            kept = shared[np.minimum(np.searchsorted(shared, h), len(shared) - 1)] == h
+            rows = _unpacked(r["rows"])[kept].astype(np.int64) + r["first_row"]
+            at = _unpacked(r["places"])[kept].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(at)], names=["row_id", "place"])
+
+
+def _shared_anchors(texts: DataFrame, ranges: int, scratch: Scratch) -> DataFrame:
+    """(row_id, place) of the anchors that several rows have; ``texts`` has row_id and text.
+
+    No task holds all places of an anchor: a range is judged by one entry for each block and hash, and its
+    blocks are then read one by one, by several tasks where the range is large.
+    """
+    kinds = "bucket int, n bigint, first_row bigint, hashes binary, rows binary, places binary"
+    ends = texts.mapInArrow(_blocks(ranges, ends=True), kinds)
+    several = scratch.write(
+        ends.groupBy("bucket").applyInArrow(_several, "bucket int, n bigint, shared binary")
+    ).withColumn("parts", (1 + F.floor(F.col("n") / (4 * RANGE_ANCHORS))).cast("int"))
+    sent = several.select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "shared"
+    )
+    blocks = (
+        texts.mapInArrow(_blocks(ranges), kinds)
+        .join(F.broadcast(several.where("parts > 1").select("bucket", "parts")), "bucket", "left")
+        .withColumn("part", F.pmod(F.xxhash64("hashes", "rows", "places"), F.coalesce("parts", F.lit(1))).cast("int"))
+        .drop("n", "parts")
+    )
+    return (
+        blocks.unionByName(sent, allowMissingColumns=True)
+        .repartition("bucket", "part")
+        .sortWithinPartitions("bucket", "part", F.col("shared").isNull())
+        .mapInArrow(_shared, "row_id bigint, place int")
     )
 
 
@@ -429,12 +487,7 @@ def drop_shared_strings(
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About 2 anchors per window's width of places.
     ranges = 1 + int(total * 2 / (LENGTH - ANCHOR + 2) / RANGE_ANCHORS)
-    blocks = rows.select("row_id", "text").mapInArrow(
-        _blocks(ranges), "bucket int, first_row bigint, hashes binary, rows binary, places binary"
-    )
-    shared = scratch.write(
-        blocks.groupBy("bucket").applyInArrow(_shared, "row_id bigint, place int")
-    )
+    shared = scratch.write(_shared_anchors(rows.select("row_id", "text"), ranges, scratch))
     places = shared.groupBy("row_id").agg(F.collect_list("place").alias("places"))
     # Texts move once: they are kept in buckets by row, which the last join finds in place.
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
