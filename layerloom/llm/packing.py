@@ -5,8 +5,10 @@ on a table of lengths and counts that has the same bound whatever the corpus. Ar
 left it completes one bin: it walks the fillings of the space beside it, leaves out those dominated by a
 filling with a longer last piece, and prunes those that must waste as much as the best so far, the
 best-fit filling being the first incumbent. The chosen filling is used for
-as many bins as its lengths allow, then the next is searched. Spark numbers the pieces of each length and
-looks up their bins.
+as many bins as its lengths allow, then the next is searched. This packing is the incumbent of the whole. If it has more
+bins than the lower bound, all lengths over the capacity, the search branches over the undominated fillings of each bin and
+the number of bins that take them, and prunes what wastes more in total than one bin less leaves. Spark numbers the
+pieces of each length and looks up their bins.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ CAPACITY = 2048
 #: Search nodes per bin; a filling without waste ends the search at once.
 NODES = 2000
 
+#: Steps of the search over whole packings, and those that list the fillings of one bin; beyond, the best packing so far
+#: may not be the best of all.
+STEPS, LISTED = 200_000, 5_000
+
 
 class _Supply:
     """Lengths that are left, sorted, with their counts."""
@@ -102,22 +108,117 @@ def complete(supply: _Supply, capacity: int, nodes: int = NODES) -> Counter:
     return first + Counter(incumbent)
 
 
+def _greedy(counts: dict[int, int], capacity: int, nodes: int) -> list[tuple[Counter, int]]:
+    """Fillings and the numbers of their bins, one bin of least waste after the other."""
+    supply, blocks = _Supply(counts), []
+    while supply.lengths:
+        filling = complete(supply, capacity, nodes)
+        bins = min(supply.count[n] // c for n, c in filling.items())
+        blocks.append((filling, bins))
+        supply.take(filling, bins)
+    return blocks
+
+
+class _Search:
+    """Packings within a total waste, by fillings in falling order for each longest length."""
+
+    def __init__(self, capacity: int, steps: int):
+        self.capacity, self.steps, self.whole = capacity, steps, True
+
+    def _dominated(self, lengths: list[int], count: dict[int, int], filling: tuple, waste: int) -> bool:
+        """Whether a longer piece that is left fits in place of one of the filling, or beside it."""
+        used = Counter(filling)
+        for n in {0, *filling[1:]}:
+            at = bisect.bisect_right(lengths, n)
+            while at < len(lengths) and lengths[at] <= n + waste:
+                if used[lengths[at]] < count[lengths[at]]:
+                    return True
+                at += 1
+        return False
+
+    def fillings(self, count: dict[int, int], below: tuple | None, slack: int) -> list[tuple]:
+        """Undominated fillings around the longest length that waste at most ``slack``, the least waste first."""
+        lengths = sorted(count)
+        totals = list(accumulate(n * count[n] for n in lengths))
+        found, stack = [], [((lengths[-1],), self.capacity - lengths[-1], len(lengths) - 1)]
+        listed = 0
+        while stack and self.steps > 0:
+            if listed == LISTED:
+                self.whole = False
+                break
+            self.steps -= 1
+            listed += 1
+            filling, space, top = stack.pop()
+            if space <= slack and (below is None or filling < below):
+                if not self._dominated(lengths, count, filling, space):
+                    found.append((space, filling))
+            at = min(top, bisect.bisect_right(lengths, space) - 1)
+            while at >= 0 and space - totals[at] <= slack:
+                n = lengths[at]
+                if filling.count(n) < count[n]:
+                    stack.append(((*filling, n), space - n, at))
+                at -= 1
+        return [f for _, f in sorted(found, key=lambda x: (x[0], [-n for n in x[1]]))]
+
+    def _choices(self, count: dict[int, int], below: tuple | None, slack: int):
+        for filling in self.fillings(count, below, slack):
+            used, waste = Counter(filling), self.capacity - sum(filling)
+            most = min(count[n] // c for n, c in used.items())
+            if waste:
+                most = min(most, slack // waste)
+            for bins in range(most, 0, -1):
+                self.steps -= 1
+                if self.steps <= 0:
+                    return
+                left = {n: c - used[n] * bins for n, c in count.items() if c > used[n] * bins}
+                yield used, bins, filling, left, slack - waste * bins
+
+    def within(self, counts: dict[int, int], slack: int) -> list[tuple[Counter, int]] | None:
+        """A packing that wastes at most ``slack``, or None: there is none, or the steps ran out."""
+        levels, blocks = [self._choices(counts, None, slack)], []
+        while levels and self.steps > 0:
+            choice = next(levels[-1], None)
+            if choice is None:
+                levels.pop()
+                if blocks:
+                    blocks.pop()
+                continue
+            used, bins, filling, left, rest = choice
+            blocks.append((used, bins))
+            if not left:
+                return blocks
+            levels.append(self._choices(left, filling if max(left) == filling[0] else None, rest))
+        return None
+
+
+def best_blocks(
+    counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS
+) -> tuple[list[tuple[Counter, int]], bool]:
+    """Fillings with the numbers of their bins, and whether fewer bins are known to be impossible."""
+    counts = {n: c for n, c in counts.items() if c > 0}
+    best, total = _greedy(counts, capacity, nodes), sum(n * c for n, c in counts.items())
+    search = _Search(capacity, steps)
+    while (fewer := sum(b for _, b in best) - 1) >= -(-total // capacity):
+        found = search.within(counts, fewer * capacity - total)
+        if found is None:
+            return best, search.whole and search.steps > 0
+        best = found
+    return best, True
+
+
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple]:
     """(length, first rank, copies, offset, bins, first bin) of each place, in blocks of like bins.
 
     Bins ``first bin`` and on, ``bins`` of them, hold the pieces of that length with ranks from
     ``first rank``, ``copies`` next to each other from ``offset``.
     """
-    supply, rank, next_bin, places = _Supply(counts), Counter(), 0, []
-    while supply.lengths:
-        filling = complete(supply, capacity, nodes)
-        bins = min(supply.count[n] // c for n, c in filling.items())
+    rank, next_bin, places = Counter(), 0, []
+    for filling, bins in best_blocks(counts, capacity, nodes)[0]:
         offset = 0
         for n, copies in sorted(filling.items(), reverse=True):
             places.append((n, rank[n], copies, offset, bins, next_bin))
             rank[n] += copies * bins
             offset += n * copies
-        supply.take(filling, bins)
         next_bin += bins
     return places
 
@@ -201,7 +302,7 @@ def pack(
     # At most ``capacity`` rows reach the driver.
     totals = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r["length"]: r["n"] for r in totals}
-    # Each block of bins uses up one length and holds a few distinct ones, so the places are bounded too.
+    # Each block of bins uses up one length or is a step of the search, so the places are bounded too.
     places = spark.createDataFrame(
         plan_bins(counts, capacity),
         "length bigint, first bigint, copies bigint, at bigint, bins bigint, first_bin bigint",
