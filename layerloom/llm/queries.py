@@ -10,6 +10,7 @@ from layerloom.llm import (
     block_names,
     contamination,
     languages,
+    lexical_search,
     line_chunks,
     packing,
     simhash,
@@ -131,6 +132,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_contamination": op1_contamination,
     "op2_tool_calls": op2_tool_calls,
@@ -142,6 +147,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_block_names": op9_block_names,
     "op10_toxicity": op10_toxicity,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -226,4 +232,32 @@ ORACLE_SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op12_lexical_search": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), v AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+        d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM v GROUP BY doc_id),
+        c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+        m AS (SELECT doc_id, 50 + (50 * n * docs) // terms AS m FROM d, c),
+        w AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM v, c GROUP BY term
+        ), i AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), s AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM i JOIN v USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+        ), r AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score
+            FROM s WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+    """,
 }
