@@ -18,6 +18,8 @@ from layerloom.llm import (
     token_counts,
     tool_calls,
     toxicity,
+    vector_codes,
+    vector_search,
 )
 from layerloom.llm.scratch import ROW, numbered_scan
 
@@ -132,10 +134,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(numbered_scan(load(spark, folder, "embeddings")), row_column=ROW)[0]
+
+
 def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(load(spark, folder, "documents"), load(spark, folder, "benchmark"))
 
 
+def op13_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = numbered_scan(load(spark, folder, "embeddings"))
+    return vector_search.search(vectors, F.col("vec_id") % 50 == 0, row_column=ROW)
+
+
 QUERIES = {
     "op1_contamination": op1_contamination,
     "op2_tool_calls": op2_tool_calls,
@@ -147,9 +158,61 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_block_names": op9_block_names,
     "op10_toxicity": op10_toxicity,
+    "op11_vector_codes": op11_vector_codes,
     "op12_lexical_search": op12_lexical_search,
+    "op13_vector_search": op13_vector_search,
 }
 
+#: Vectors of ``embeddings`` that take part, as whole numbers in doubles.
+USABLE_VECTORS = """
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+"""
+
+
+def codebook_sql() -> str:
+    """Four rounds of assignment and means over each of four parts; a distance and its entry are one number."""
+    steps = [
+        f"v AS MATERIALIZED ({USABLE_VECTORS.format(scale=1024)})",
+        """p AS MATERIALIZED (
+            SELECT vec_id, part, v[part * len(v) // 4 + 1:(part + 1) * len(v) // 4] AS x FROM v, range(4) t(part)
+        )""",
+        """b0 AS MATERIALIZED (
+            SELECT part, entry, x AS y FROM p JOIN (
+                SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT 256
+            ) USING (vec_id)
+        )""",
+    ]
+    for i in range(5):
+        steps.append(f"""a{i} AS MATERIALIZED (
+            SELECT vec_id, part, any_value(x) AS x, CAST(min(
+                (list_dot_product(x, x) - 2 * list_dot_product(x, y) + list_dot_product(y, y)) * 256 + entry) AS BIGINT) AS best
+            FROM p JOIN b{i} USING (part) GROUP BY vec_id, part
+        )""")
+        steps.append(f"""b{i + 1} AS MATERIALIZED (
+            WITH m AS (
+                SELECT part, entry, i, floor(sum(c) / count(*)) AS c
+                FROM (SELECT part, best % 256 AS entry, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM a{i})
+                GROUP BY part, entry, i
+            ), n AS (SELECT part, entry, list(c ORDER BY i) AS y FROM m GROUP BY part, entry)
+            SELECT part, entry, coalesce(n.y, b.y) AS y FROM b{i} b LEFT JOIN n USING (part, entry)
+        )""")
+    return f"""
+        WITH {", ".join(steps[:-1])},
+        c AS (
+            SELECT vec_id, string_agg(printf('%02x', best % 256), '' ORDER BY part) AS code,
+                   CAST(sum(best // 256) AS BIGINT) AS error
+            FROM a4 GROUP BY vec_id
+        ), h AS (
+            SELECT sha256(string_agg(array_to_string(list_transform(y, lambda z: CAST(z AS BIGINT)), ','), ',' ORDER BY part, entry))
+                   AS codebooks_sha256
+            FROM b4
+        )
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+        FROM c JOIN v USING (vec_id), h
+    """
+
 ORACLE_SQL = {
     "op1_contamination": r"""
         WITH d AS (
@@ -232,6 +295,7 @@ ORACLE_SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM d JOIN g USING (t)
     """,
+    "op11_vector_codes": codebook_sql(),
     "op12_lexical_search": r"""
         WITH t AS (
             SELECT doc_id, unnest(regexp_extract_all(
@@ -260,4 +324,16 @@ ORACLE_SQL = {
         )
         SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
     """,
+    "op13_vector_search": f"""
+        WITH v AS MATERIALIZED ({USABLE_VECTORS.format(scale=256)}),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+        ), r AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
 }
