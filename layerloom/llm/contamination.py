@@ -163,8 +163,16 @@ def contained_items(
     )
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns."""
-    found = contained_items(docs, items, id_column=id_column, **options)
-    hit = Scratch(docs.sparkSession).write(found.select(F.col("doc_id").alias("_hit")).distinct())
-    return docs.join(hit, docs[id_column].eqNullSafe(hit["_hit"]), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, row_column: str | None = None, **options) -> DataFrame:
+    """The rows of ``docs`` that contain no item, with all their columns.
+
+    Rows are judged one by one: a clean row stays whatever other rows share its id, null or not, and repeated rows
+    stay or go together. Null and empty texts contain nothing and stay; texts count whole, however long. Without
+    items, or items without words, all rows stay; an empty table stays empty. Columns of ``docs`` may have any
+    names. ``row_column`` numbers the rows (see ``Scratch.numbered``).
+    """
+    scratch, number = Scratch(docs.sparkSession), "_row_of_contamination"
+    numbered = scratch.numbered(docs, number, row_column)
+    found = contained_items(numbered, items, id_column=number, **options)
+    hit = scratch.write(found.select(F.col("doc_id").alias(number)).distinct())
+    return numbered.join(hit, number, "left_anti").select(*docs.columns)

@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 ROW = "_row"
 
 
-def numbered_scan(table: DataFrame) -> DataFrame:
+def numbered_scan(table: DataFrame, name: str = ROW) -> DataFrame:
     """A table read from files, with its rows numbered; reading the same files again numbers them alike."""
-    return table.withColumn(ROW, F.monotonically_increasing_id())
+    return table.withColumn(name, F.monotonically_increasing_id())
+
+
+def free_name(table: DataFrame, name: str = ROW) -> str:
+    """``name``, with as many underscores before it as no column of the table has."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def shared_folder(spark: SparkSession) -> str:
