@@ -5,7 +5,8 @@ as the next stage's docs; so docs are always read from files. All but the last k
 
 1. toxicity: documents predicted toxic go. The model learns from all labelled documents.
 2. exact_dedup: of equal texts (runs of white space count as one space) the smallest doc_id stays.
-3. near_dedup: of each group linked by a similarity of 0.8 or more (five-word shingles) the smallest doc_id stays.
+3. near_dedup: of each group of documents linked by fingerprints of three-word shingles that differ in at most 3 bits the smallest
+   doc_id stays.
 4. decontamination: documents that contain a benchmark item go.
 5. packing: what is left is packed into sequences of 2048 tokens.
 """
@@ -17,8 +18,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from layerloom.llm import block_names, contamination, near_copies, packing, toxicity
-from layerloom.llm.scratch import ROW, Scratch, numbered_scan
+from layerloom.llm import block_names, contamination, packing, simhash, toxicity
+from layerloom.llm.scratch import Scratch, free_name, numbered_scan
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,15 +30,20 @@ def without_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return block_names.drop_duplicates(numbered_scan(docs), row_column=ROW).drop(ROW)
+    row = free_name(docs)
+    return block_names.drop_duplicates(numbered_scan(docs, row), row_column=row).drop(row)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return near_copies.drop_near_copies(numbered_scan(docs), row_column=ROW).drop(ROW)
+    row = free_name(docs)
+    numbered = numbered_scan(docs, row)
+    kept = simhash.drop_near_duplicates(numbered, words=simhash.WORDS, max_bits=simhash.MAX_BITS, row_column=row)
+    return kept.drop(row)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return contamination.drop_contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    row, items = free_name(docs), spark.read.parquet(f"{folder}/benchmark.parquet")
+    return contamination.drop_contaminated(numbered_scan(docs, row), items, row_column=row).drop(row)
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
