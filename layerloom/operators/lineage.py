@@ -3,21 +3,29 @@
 While rows keep their identity (select, filter, join) each row carries its sources in one small array
 column: one entry per joined source. Grouping would collect every source id of a group into a single
 row, which no task can hold for a hot group. A grouped row therefore carries one *link* entry, the
-key of its group, and the members of the groups stay a DataFrame of their own. Links are turned into
+key of its group, and the rows that were grouped stay a DataFrame of their own. Links are turned into
 plain (source, target) edges by an inner join when edges are asked for; Spark can split a hot group
-over many tasks there.
+over many tasks there. While all groups are there and only their keys are asked for, no link is
+needed: the grouped rows hold keys and sources themselves.
+
+Aggregates and members are computed from one DataFrame, ``GroupLink.rows``. Whoever needs both holds it
+for as long (``held``): it is then evaluated once, and both read the result.
+
+In shuffles a group is 16 bytes and a record id that is a SHA-256 in hexadecimal digits 33 bytes.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import LINEAGE, LINEAGE_TYPE, OPEN_END, RECORD_ID, TO_DATE
+from layerloom.constants import FROM_DATE, LINEAGE, LINEAGE_TYPE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.functions.hashing import row_text
 from layerloom.operators.relations import union_all
 
@@ -26,6 +34,8 @@ SOURCE_ID = "source_RecordID"
 TARGET_TABLE = "target_table_name"
 TARGET_ID = "target_RecordID"
 EDGE_COLUMNS = (SOURCE_ID, SOURCE_TABLE, TARGET_ID, TARGET_TABLE)
+#: The day a target row appeared: stored edges of a table are kept apart by it.
+TARGET_DAY = "target_from"
 
 LINK = "(group)"
 _tokens = itertools.count(1)
@@ -37,7 +47,13 @@ class GroupLink:
 
     token: str
     keys: tuple[str, ...]
-    members: DataFrame  # _group, source_table_name, source_RecordID
+    rows: DataFrame  # what was grouped, with its lineage
+    sources: Sources  # what that lineage may hold
+
+    @property
+    def members(self) -> DataFrame:
+        """_group, source_table_name, _id: the sources of each group."""
+        return _entries_of(self.rows, self.sources, [_group_key(self.rows, self.keys, self.token).alias("_group")])
 
 
 @dataclass(frozen=True)
@@ -46,13 +62,25 @@ class Sources:
 
     groups: tuple[GroupLink, ...] = ()
     direct: bool = True
-    # Every row holds exactly one link and differs from all other rows in the group keys.
-    grouped_by: tuple[str, ...] | None = None
+    # Every row holds exactly one link and differs from all other rows in the group keys. Pairs of a
+    # key's name now and in the grouping.
+    grouped_by: tuple[tuple[str, str], ...] | None = None
+    # No group of that grouping is missing.
+    complete: bool = False
 
     def joined(self, other: Sources) -> Sources:
         groups = tuple(dict.fromkeys([*self.groups, *other.groups]))
         return Sources(groups, self.direct or other.direct)
 
+    def renamed(self, names: Mapping[str, str]) -> Sources:
+        """The same after columns got other names."""
+        if self.grouped_by is None:
+            return self
+        kept = {now for now, _ in self.grouped_by if now not in names}
+        if kept & set(names.values()):
+            return replace(self, grouped_by=None)
+        return replace(self, grouped_by=tuple((names.get(now, now), then) for now, then in self.grouped_by))
+
 
 def entry(source: Column, record_id: Column) -> Column:
     return F.array(
@@ -74,63 +102,120 @@ def merged(left: Column, right: Column) -> Column:
     return F.array_union(F.coalesce(left, no_sources()), F.coalesce(right, no_sources()))
 
 
-def _group_key(df: DataFrame, keys: Sequence[str], token: str) -> Column:
-    """128 bits that name a group among the groups of all groupings."""
+def _group_name(df: DataFrame, keys: Sequence[str], token: str) -> Column:
+    """128 bits in hexadecimal digits that name a group among the groups of all groupings."""
     return F.md5(F.concat(F.lit(token), row_text(df.schema, keys)))
 
 
+def _group_key(df: DataFrame, keys: Sequence[str], token: str) -> Column:
+    return F.unhex(_group_name(df, keys, token))
+
+
+def _packed(record_id: Column) -> Column:
+    """A record id in bytes, half as many for a SHA-256; the first byte says which."""
+    plain = F.concat(F.lit(b"\0"), F.encode(record_id, "UTF-8"))
+    return F.when(record_id.rlike("^[0-9a-f]{64}$"), F.concat(F.lit(b"\1"), F.unhex(record_id))).otherwise(plain)
+
+
+def _unpacked(packed: Column) -> Column:
+    kind, rest = F.substring(packed, 1, 1), packed.substr(F.lit(2), F.length(packed))
+    return F.when(kind == F.lit(b"\1"), F.lower(F.hex(rest))).otherwise(F.decode(rest, "UTF-8"))
+
+
 def link_groups(
     df: DataFrame, grouped: DataFrame, keys: Sequence[str], sources: Sources
 ) -> tuple[DataFrame, Sources]:
     """Give the grouped rows their link entry and describe the members of the groups."""
     token = f"{next(_tokens)}:"
-    members = row_sources(df, sources, [_group_key(df, keys, token).alias("_group")])
-    link = GroupLink(token, tuple(keys), members)
-    linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_key(grouped, keys, token)))
-    return linked, Sources((link,), direct=False, grouped_by=tuple(keys))
+    link = GroupLink(token, tuple(keys), df, sources)
+    linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_name(grouped, keys, token)))
+    return linked, Sources((link,), False, tuple((k, k) for k in keys), complete=True)
 
 
-def row_sources(
+def _entries_of(
     df: DataFrame, sources: Sources, keep: Sequence[Column | str], unique: bool = False
 ) -> DataFrame:
-    """One row per (row of ``df``, source): the kept columns, source table and source id.
-
-    ``unique`` says that the kept columns identify a row, which saves the last shuffle after a
-    grouping. Members hold plain sources only, so one join resolves all links.
-    """
+    """One row per (row of ``df``, source): the kept columns, source table and packed source id."""
     # The outer form of explode keeps the optimizer from computing the entries a second time.
     entries = df.select(*keep, F.explode_outer(LINEAGE).alias("_e"))
     kept = entries.columns[:-1]
-    entries = entries.select(*kept, f"_e.{SOURCE_TABLE}", f"_e.{SOURCE_ID}")
+    name, record_id = F.col(f"_e.{SOURCE_TABLE}"), F.col(f"_e.{SOURCE_ID}")
+    found = record_id.isNotNull()
     if not sources.groups:
-        return entries.where(F.col(SOURCE_ID).isNotNull()).distinct()
+        return entries.where(found).select(*kept, name, _packed(record_id).alias("_id")).distinct()
     members = union_all([g.members for g in sources.groups]).withColumnRenamed("_group", "_of")
-    links = entries.where(F.col(SOURCE_TABLE) == LINK).select(
-        *kept, F.col(SOURCE_ID).alias("_link")
-    )
+    links = entries.where(name == LINK).select(*kept, F.unhex(record_id).alias("_link"))
     if sources.grouped_by is None:
         links = links.distinct()
-    resolved = links.join(members, F.col("_link") == F.col("_of")).select(
-        *kept, SOURCE_TABLE, SOURCE_ID
-    )
+    resolved = links.join(members, F.col("_link") == F.col("_of")).select(*kept, SOURCE_TABLE, "_id")
     if sources.grouped_by is not None and unique:
         return resolved
     if sources.direct:
-        direct = entries.where((F.col(SOURCE_TABLE) != LINK) & F.col(SOURCE_ID).isNotNull())
+        direct = entries.where((name != LINK) & found).select(*kept, name, _packed(record_id).alias("_id"))
         resolved = resolved.unionByName(direct)
     return resolved.distinct()
 
 
+def row_sources(
+    df: DataFrame, sources: Sources, keep: Sequence[Column | str], unique: bool = False
+) -> DataFrame:
+    """One row per (row of ``df``, source): the kept columns, source table and source id.
+
+    ``unique`` says that the kept columns identify a row, which saves the last shuffle after a
+    grouping. Members hold plain sources only, so one join resolves all links.
+    """
+    names = dict(sources.grouped_by or ())
+    if sources.complete and names and all(isinstance(c, str) and c in names for c in keep):
+        # The rows that were grouped know the keys of their group: neither groups nor links are computed.
+        link = sources.groups[0]
+        entries = _entries_of(link.rows, link.sources, [F.col(names[c]).alias(c) for c in keep])
+    else:
+        entries = _entries_of(df, sources, keep, unique)
+    kept = [c for c in entries.columns if c not in (SOURCE_TABLE, "_id")]
+    return entries.select(*kept, SOURCE_TABLE, _unpacked(F.col("_id")).alias(SOURCE_ID))
+
+
+@contextmanager
+def held(*frames: DataFrame, origin: Sources | None = None) -> Iterator[None]:
+    """Evaluate frames, and what the groupings of ``origin`` were computed from, once while this lasts.
+
+    The rows stand on the disks of executors; those of a lost executor are computed again.
+    """
+    wanted = [*frames, *(link.rows for link in _all_groups(origin or Sources()))]
+    new = [f for f in wanted if f.storageLevel == StorageLevel.NONE]
+    for frame in new:
+        frame.persist(StorageLevel.DISK_ONLY)
+    try:
+        yield
+    finally:
+        for frame in new:
+            frame.unpersist()
+
+
+def _all_groups(origin: Sources) -> list[GroupLink]:
+    """Groupings and those they were computed from."""
+    found = [*origin.groups]
+    for link in origin.groups:
+        found += _all_groups(link.sources)
+    return list({link.token: link for link in found}.values())
+
+
 def open_edges(df: DataFrame, sources: Sources, target: str) -> DataFrame:
-    """Edges of the open rows of a table that is about to be stored."""
+    """Edges of the open rows of a table that is about to be stored, with the day each target appeared."""
     rows = df.where(F.col(TO_DATE) == F.lit(OPEN_END).cast("date"))
-    edges = row_sources(rows, sources, [F.col(RECORD_ID).alias(TARGET_ID)], unique=True)
-    return edges.select(SOURCE_ID, SOURCE_TABLE, TARGET_ID, F.lit(target).alias(TARGET_TABLE))
+    keep = [F.col(RECORD_ID).alias(TARGET_ID), F.col(FROM_DATE).alias(TARGET_DAY)]
+    edges = row_sources(rows, replace(sources, complete=False), keep, unique=True)
+    return edges.select(SOURCE_ID, SOURCE_TABLE, TARGET_ID, F.lit(target).alias(TARGET_TABLE), TARGET_DAY)
+
+
+def _edge_key() -> Column:
+    return F.unhex(F.md5(F.concat_ws("|", SOURCE_ID, TARGET_ID, SOURCE_TABLE, TARGET_TABLE)))
 
 
 def new_edges(edges: DataFrame, stored: DataFrame) -> DataFrame:
-    """Edges that are not stored yet."""
-    return edges.join(stored, list(EDGE_COLUMNS), "left_anti").select(*EDGE_COLUMNS)
+    """Edges that are not stored yet; 16 bytes of each stored edge are compared."""
+    known = stored.select(_edge_key().alias("_edge"))
+    return edges.withColumn("_edge", _edge_key()).join(known, "_edge", "left_anti").drop("_edge")
 
 
 def trace(edges: DataFrame, starts: DataFrame, per_start: bool = False) -> DataFrame:

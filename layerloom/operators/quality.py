@@ -2,18 +2,20 @@
 
 A check is a dict with ``check`` (its name), ``columns`` and its parameters. Every check counts valid
 rows and is measured as one row ``total_count, valid_count``. All checks that look at single rows share
-one aggregation. Checks on groups first shrink each group to a count and then add the counts up, so
+one aggregation, or are counted by the job that writes the rows (``RowCounter``). Checks on groups first shrink each group to a count and then add the counts up, so
 rows are never joined back and no group has to fit into a task.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import json
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -50,6 +52,9 @@ METRIC_COLUMNS = (
     "total_count",
     "valid_count",
 )
+METRIC_SCHEMA = (
+    "signalling_id bigint, check_id string, column_name string, check_name string, total_count bigint, valid_count bigint"
+)
 METRIC_KEY = ("table_name", "column_name", "check_name", "check_id")
 
 
@@ -307,23 +312,83 @@ def filled_values(df: DataFrame) -> DataFrame:
 
 
 def signalling_metrics(
-    df: DataFrame, checks: Sequence[Check], trace: DataFrame | None = None
+    df: DataFrame,
+    checks: Sequence[Check],
+    trace: DataFrame | None = None,
+    seen: RowCounts | None = None,
 ) -> DataFrame:
-    """Fill grade of every column plus the configured checks, as metric rows without ids."""
-    by_row = _filled(df)
+    """Fill grade of every column plus the configured checks, as metric rows without ids.
+
+    What concerns single rows is taken from ``seen`` where these rows were counted already.
+    """
     grouped = []
+    for check, text in zip(checks, labels(checks), strict=True):
+        if check_name(check) in ROW_CHECKS:
+            continue
+        counts = measure_group_check(df, check, trace)
+        total, valid = F.col("total_count"), F.col("valid_count")
+        identity = CHECK_IDS[check_name(check)], ",".join(check["columns"]), text
+        grouped.append(counts.select(*_metric(*identity, total, valid)))
+    if seen is not None:
+        rows = [(None, *identity, seen.total, valid) for identity, valid in seen.metrics.items()]
+        by_row = df.sparkSession.createDataFrame(rows, METRIC_SCHEMA)
+    else:
+        by_row = _row_metrics(df, _row_predicates(df, checks))
+    return union_all([by_row, *grouped])
+
+
+def _row_predicates(df: DataFrame, checks: Sequence[Check]) -> list[tuple[str, str, str, Column]]:
+    """Fill grades and checks on single rows."""
+    found = _filled(df)
     for check, text in zip(checks, labels(checks), strict=True):
         name = check_name(check)
-        label = ",".join(check["columns"])
         if name in ROW_CHECKS:
-            by_row.append((CHECK_IDS[name], label, text, ROW_CHECKS[name](check)))
-        else:
-            counts = measure_group_check(df, check, trace)
-            total, valid = F.col("total_count"), F.col("valid_count")
-            grouped.append(
-                counts.select(*_metric(CHECK_IDS[name], label, text, total, valid))
-            )
-    return union_all([*([_row_metrics(df, by_row)] if by_row else []), *grouped])
+            found.append((CHECK_IDS[name], ",".join(check["columns"]), text, ROW_CHECKS[name](check)))
+    return found
+
+
+# -- counting while rows are written ----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class RowCounts:
+    """What was counted about single rows while they were written."""
+
+    total: int  # open rows
+    closed: int  # rows closed on the processing date
+    metrics: dict[tuple[str, str, str], int]  # (check id, column, text): valid open rows
+    violated: tuple[int, ...]  # positions of gate checks that some open row violates
+
+
+class RowCounter:
+    """Row checks, fill grades and gates of a table, counted by the job that writes its rows."""
+
+    def __init__(
+        self, df: DataFrame, gates: Sequence[Check], checks: Sequence[Check], closing_day: dt.date
+    ):
+        is_open = F.col(TO_DATE) == F.lit(OPEN_END).cast("date")
+        predicates = _row_predicates(df, checks)
+        self.identities = [identity for *identity, _ in predicates]
+        self.gates = [i for i, c in enumerate(gates) if check_name(c) in ROW_CHECKS]
+        fails = [~F.coalesce(ROW_CHECKS[check_name(gates[i])](gates[i]), F.lit(False)) for i in self.gates]
+        self.counts = [
+            F.count_if(is_open).alias("total"),
+            F.count_if(F.col(TO_DATE) == F.lit(closing_day)).alias("closed"),
+            *[F.count_if(is_open & valid).alias(f"v{i}") for i, (*_, valid) in enumerate(predicates)],
+            *[F.count_if(is_open & failed).alias(f"g{i}") for i, failed in zip(self.gates, fails, strict=True)],
+        ]
+        self.observation = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        """The same rows; counted when an action has read all of them."""
+        return df.observe(self.observation, *self.counts)
+
+    def result(self) -> RowCounts:
+        seen = self.observation.get
+        number = lambda name: seen.get(name) or 0
+        metrics = {tuple(identity): number(f"v{i}") for i, identity in enumerate(self.identities)}
+        violated = tuple(i for i in self.gates if number(f"g{i}"))
+        return RowCounts(number("total"), number("closed"), metrics, violated)
 
 
 def assign_signalling_ids(metrics: DataFrame, stored: DataFrame) -> DataFrame:
@@ -347,9 +412,7 @@ def assign_signalling_ids(metrics: DataFrame, stored: DataFrame) -> DataFrame:
 
 def blocking_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``position, check, total_count, valid_count`` of each gate check on the open rows."""
-    for check in checks:
-        if check_name(check) not in BLOCKING_CHECKS:
-            raise ValueError(f"Not a blocking check: {check['check']}")
+    _require_blocking(checks)
     current = df.where(F.col(TO_DATE) == F.lit(OPEN_END).cast("date"))
 
     def labelled(position: int, check: Check, total: Column, valid: Column) -> list[Column]:
@@ -378,15 +441,26 @@ def blocking_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return union_all(frames)
 
 
-def check_blocking(df: DataFrame, checks: Sequence[Check]) -> None:
-    """Raise for the first gate check that some open row violates."""
-    if not checks:
-        return
-    violated = (
-        blocking_counts(df, checks)
-        .where(F.col("valid_count") != F.col("total_count"))
-        .orderBy("position")
-        .first()
-    )
-    if violated is not None:
-        raise ValueError(f"Blocking issue violation detected: {violated['check']}")
+def _require_blocking(checks: Sequence[Check]) -> None:
+    for check in checks:
+        if check_name(check) not in BLOCKING_CHECKS:
+            raise ValueError(f"Not a blocking check: {check['check']}")
+
+
+def check_blocking(
+    df: DataFrame, checks: Sequence[Check], seen: RowCounts | None = None
+) -> None:
+    """Raise for the first gate check that some open row violates.
+
+    With ``seen`` only checks on groups read the rows, and only those ahead of a violated one.
+    """
+    _require_blocking(checks)
+    first = min(seen.violated, default=None) if seen is not None else None
+    unread = checks[:first] if seen is None else [c for c in checks[:first] if check_name(c) not in ROW_CHECKS]
+    found = None
+    if unread:
+        violated = F.col("valid_count") != F.col("total_count")
+        found = blocking_counts(df, unread).where(violated).orderBy("position").first()
+    name = found["check"] if found is not None else None if first is None else checks[first]["check"]
+    if name is not None:
+        raise ValueError(f"Blocking issue violation detected: {name}")

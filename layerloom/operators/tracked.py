@@ -67,18 +67,18 @@ class TrackedFrame:
         """The same table around other rows that carry the lineage of these rows."""
         return replace(self, df=df, origin=replace(self.origin, grouped_by=None))
 
-    def _keeping_keys(self, df: DataFrame, changed: Iterable[str] = ()) -> TrackedFrame:
-        """The same rows; group keys still identify them unless one of them was changed."""
+    def _keeping_keys(self, df: DataFrame, changed: Iterable[str] = (), fewer: bool = False) -> TrackedFrame:
+        """The same rows, or fewer; group keys still identify them unless one of them was changed."""
         grouped_by = self.origin.grouped_by
-        if grouped_by is None or set(grouped_by) & set(changed):
+        if grouped_by is None or {now for now, _ in grouped_by} & set(changed):
             return self.with_df(df)
-        return replace(self, df=df)
+        return replace(self, df=df, origin=replace(self.origin, complete=self.origin.complete and not fewer))
 
     def with_columns(self, **columns: Column) -> TrackedFrame:
         return self._keeping_keys(self.df.withColumns(columns), columns)
 
     def where(self, condition: Column | str) -> TrackedFrame:
-        return self._keeping_keys(self.df.where(condition))
+        return self._keeping_keys(self.df.where(condition), fewer=True)
 
     # -- columns ------------------------------------------------------------------------------
 
@@ -99,8 +99,7 @@ class TrackedFrame:
         for name in names:
             if name not in self.df.columns:
                 raise ValueError(f"There is no column {name} to rename")
-        renamed = self.df.withColumnsRenamed(dict(names))
-        return self._keeping_keys(renamed, [*names, *names.values()])
+        return replace(self, df=self.df.withColumnsRenamed(dict(names)), origin=self.origin.renamed(names))
 
     def cast(self, columns: Sequence[str], data_type: T.DataType | str) -> TrackedFrame:
         converted = self.df.withColumns({c: F.col(c).cast(data_type) for c in columns})
@@ -148,7 +147,7 @@ class TrackedFrame:
         )
         joined = left.join(right, condition, kind)
         if kind in ("left_semi", "left_anti"):
-            return self._keeping_keys(joined.select("l.*"))
+            return self._keeping_keys(joined.select("l.*"), fewer=True)
 
         left_out, right_out = self.values, other.values
         shared: list[Column] = []
@@ -178,6 +177,21 @@ class TrackedFrame:
             self, df=joined.select(*columns), origin=self.origin.joined(other.origin)
         )
 
+    # -- order --------------------------------------------------------------------------------
+
+    def order_by(self, *columns: Key) -> TrackedFrame:
+        """The same rows in order, with their lineage; Spark sorts by range partitions."""
+        return self._keeping_keys(self.df.orderBy(*columns))
+
+    def head(self, n: int, *columns: Key) -> TrackedFrame:
+        """The first ``n`` rows in order of the columns, with their lineage.
+
+        Each task sends its first ``n`` rows only. Ties are cut at ``n``: give columns that decide.
+        """
+        if not columns:
+            raise ValueError("Give the columns that order the rows")
+        return self._keeping_keys(self.df.orderBy(*columns).limit(n), fewer=True)
+
     # -- grouping -----------------------------------------------------------------------------
 
     def group_by(
@@ -203,16 +217,26 @@ class TrackedFrame:
 
     def distinct(self) -> TrackedFrame:
         """Distinct by values; a kept row has the sources of all rows it stands for."""
-        return self.group_by(self.values)
+        return self._with_copies().group_by(self.values)
+
+    def _with_copies(self) -> TrackedFrame:
+        """The rows this frame is the distinct form of, if it is one: a second distinct needs no first."""
+        names = dict(self.origin.grouped_by or ())
+        if not names or not self.origin.complete or set(names) != set(self.values):
+            return self
+        link = self.origin.groups[0]
+        rows = link.rows.select(*[F.col(f"`{names[c]}`").alias(c) for c in self.values], LINEAGE)
+        return replace(self, df=rows, origin=link.sources)
 
     def union(self, other: TrackedFrame) -> TrackedFrame:
         """Union by name, distinct by values; same column names and types are required."""
         same_schema(self.data, other.data)
-        left, right = self.df, other.df
+        first, second = self._with_copies(), other._with_copies()
+        left, right = first.df, second.df
         if self.is_tracked != other.is_tracked:
             left = left if self.is_tracked else left.withColumn(LINEAGE, lineage.no_sources())
             right = right if other.is_tracked else right.withColumn(LINEAGE, lineage.no_sources())
-        both = replace(self, df=left.unionByName(right), origin=self.origin.joined(other.origin))
+        both = replace(self, df=left.unionByName(right), origin=first.origin.joined(second.origin))
         return both.distinct()
 
     # -- lineage ------------------------------------------------------------------------------
@@ -221,7 +245,7 @@ class TrackedFrame:
         """Source table and record id of every row, next to the columns that identify it."""
         keep = keep or (RECORD_ID,)
         grouped_by = self.origin.grouped_by
-        unique = grouped_by is not None and set(grouped_by) <= set(keep)
+        unique = grouped_by is not None and {now for now, _ in grouped_by} <= set(keep)
         return lineage.row_sources(self.df, self.origin, keep, unique)
 
     # -- storage ------------------------------------------------------------------------------

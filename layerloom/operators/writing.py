@@ -1,17 +1,24 @@
 """Store a table: merge history, add record ids, validate, publish, measure.
 
-The merged rows are computed once, into a staging folder next to the table. Gates run on the staged
-files, so a violation leaves table, edges and metrics untouched. The new lineage edges are staged with the
-rows, in a folder Spark does not read as part of the table, while the sources are still as they were: a
-table may be its own source. One rename publishes both; then the edges are appended to the edge table
-and metrics are written. Edges left behind by a writer that died are appended by the next one. Running
-the same write again is harmless: rows are recognised as unchanged, and only edges that are missing
-get appended.
+The merged rows are computed once and written once, into a staging folder next to the table. The job that
+writes them counts row checks, fill grades and closed rows on its way; checks on groups read the staged
+columns they need. A violation leaves table, edges and metrics untouched. Rows with lineage are held on
+executors meanwhile, and so is what their groupings were computed from, so that the new edges come from
+the same evaluation; they are staged with the rows, in a folder Spark does not read as part of the table,
+while the sources are still as they were: a table may be its own source. One rename publishes both; then
+the edge files move into the edge table and metrics are written. Edges left behind by a writer that died
+are moved by the next one. Running the same write again is harmless: rows are recognised as unchanged,
+and only edges that are missing get added.
+
+Edges of a table are kept apart by the day their target row appeared, which never changes. A write compares
+its edges with those of the days its open rows come from; rows of the day itself meet only what an
+earlier run of that day left.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
@@ -19,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerloom.catalog import TableDef
-from layerloom.constants import HISTORY_COLUMNS, LINEAGE, RECORD_ID, TO_DATE
+from layerloom.constants import FROM_DATE, HISTORY_COLUMNS, LINEAGE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.operators import lineage, quality
 from layerloom.operators.history import COPIES_ERROR, add_record_id, merge_history
 from layerloom.operators.tracked import TrackedFrame
@@ -28,7 +35,7 @@ from layerloom.workspace import Workspace
 
 METRICS_TABLE = "monitoring_values"
 EDGES_TABLE = "record_tracing"
-EDGE_SCHEMA = ", ".join(f"`{c}` string" for c in lineage.EDGE_COLUMNS)
+EDGE_SCHEMA = ", ".join([*[f"`{c}` string" for c in lineage.EDGE_COLUMNS], f"`{lineage.TARGET_DAY}` date"])
 
 
 def compare_with_stored(frame: TrackedFrame, processing_date: dt.date | None = None) -> DataFrame:
@@ -104,24 +111,29 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
     storage.recover(space.spark, target)
     _append_edges(space, table, target)
     # The folder name states the partition, so its column is not stored in the files.
+    hidden = [c for c in (table.partition_column, LINEAGE) if c]
+    kept = [merged] if frame.is_tracked else []
     try:
-        _stage(merged.drop(table.partition_column), staged_path)
-        staged = space.spark.read.schema(merged.drop(table.partition_column).schema).parquet(
-            staged_path
-        )
-        # Incoming copies fail above and stored rows are distinct, so only rows closed today can clash.
-        check_distinct_rows(staged.where(F.col(TO_DATE) == F.lit(space.processing_date)))
-        quality.check_blocking(staged, table.quality_checks)
-        if frame.is_tracked:
-            _publish_with_lineage(space, frame, staged, target)
-            storage.delete(space.spark, staged_path)
-        else:
-            storage.swap_in(space.spark, staged_path, target)
+        with lineage.held(*kept, origin=frame.origin):
+            counter = quality.RowCounter(
+                merged, table.quality_checks, table.signalling_checks, space.processing_date
+            )
+            _stage(counter.watch(merged).drop(*hidden), staged_path)
+            seen = counter.result()
+            staged = space.spark.read.schema(merged.drop(*hidden).schema).parquet(staged_path)
+            if seen.closed:
+                # Incoming copies fail above and stored rows are distinct, so only rows closed today can clash.
+                check_distinct_rows(staged.where(F.col(TO_DATE) == F.lit(space.processing_date)))
+            quality.check_blocking(staged, table.quality_checks, seen)
+            if frame.is_tracked:
+                _stage_edges(space, frame, merged, staged, staged_path)
+        storage.swap_in(space.spark, staged_path, target)
     except Exception:
         storage.delete(space.spark, staged_path)
         raise
+    _append_edges(space, table, target)
     if table.name != METRICS_TABLE:
-        publish_metrics(space, table.name, frame.partition)
+        publish_metrics(space, table.name, frame.partition, seen)
     return space.read(table.name, frame.partition, frame.history)
 
 
@@ -138,21 +150,15 @@ def _mentions(error: BaseException | None, text: str) -> bool:
     return error is not None and (text in str(error) or _mentions(error.__cause__, text))
 
 
-def _publish_with_lineage(
-    space: Workspace, frame: TrackedFrame, staged: DataFrame, target: str
+def _stage_edges(
+    space: Workspace, frame: TrackedFrame, merged: DataFrame, staged: DataFrame, path: str
 ) -> None:
-    """Publish the rows without their lineage column together with the edges it describes."""
-    ready = storage.staging_path(target)
-    try:
-        staged.drop(LINEAGE).write.parquet(ready)
-        edges = lineage.open_edges(staged, frame.origin, frame.name)
-        fresh = lineage.new_edges(edges, stored_edges(space, frame.table.name))
-        fresh.write.parquet(_edges_of(ready))
-        storage.swap_in(space.spark, ready, target)
-    except Exception:
-        storage.delete(space.spark, ready)
-        raise
-    _append_edges(space, frame.table, target)
+    """Put the edges that are not stored yet next to the staged rows, by the day of their target."""
+    is_open = F.col(TO_DATE) == F.lit(OPEN_END).cast("date")
+    days = [row[0] for row in staged.where(is_open).select(FROM_DATE).distinct().collect()]
+    edges = lineage.open_edges(merged, frame.origin, frame.name)
+    fresh = lineage.new_edges(edges, stored_edges(space, frame.table.name, days))
+    fresh.drop(lineage.TARGET_TABLE).write.partitionBy(lineage.TARGET_DAY).parquet(_edges_of(path))
 
 
 def _edges_of(path: str) -> str:
@@ -164,37 +170,47 @@ def _append_edges(space: Workspace, table: TableDef, target: str) -> None:
     """Bring edges that were published with the rows into the edge table."""
     staged = _edges_of(target)
     if storage.exists(space.spark, staged):
-        publish_edges(space, table, space.spark.read.schema(EDGE_SCHEMA).parquet(staged))
+        publish_edges(space, table, staged)
         storage.delete(space.spark, staged)
 
 
-def stored_edges(space: Workspace, target: str) -> DataFrame:
-    """Stored edges into one table, or into all tables for ``all``."""
-    table = space.catalog.find(EDGES_TABLE)
-    return readers.read_table(space.spark, table, space.path(table), target).select(
-        *lineage.EDGE_COLUMNS
-    )
+def stored_edges(
+    space: Workspace, target: str, days: Sequence[dt.date] | None = None
+) -> DataFrame:
+    """Stored edges into one table, or into all tables for ``all``.
 
+    ``days`` names the days on which the targets appeared; only the folders of these days are read.
+    """
+    table = space.catalog.find(EDGES_TABLE)
+    edges = readers.read_table(space.spark, table, space.path(table), target)
+    if days is not None:
+        if lineage.TARGET_DAY not in edges.columns:
+            return edges.select(*lineage.EDGE_COLUMNS)
+        edges = edges.where(F.col(lineage.TARGET_DAY).isin([*days]) if days else F.lit(False))
+    return edges.select(*lineage.EDGE_COLUMNS)
 
-def publish_edges(space: Workspace, table: TableDef, edges: DataFrame) -> None:
-    """Append the edges that are not stored yet to the partition of their target table.
 
-    Edges are never rewritten, but new ones are told apart by a join with the stored edges of the table.
-    """
+def publish_edges(space: Workspace, table: TableDef, staged: str) -> None:
+    """Move staged edge files into the folder of their target table; what has been moved is not moved again."""
     edge_table = space.catalog.find(EDGES_TABLE)
-    fresh = lineage.new_edges(edges, stored_edges(space, table.name))
     # Straight into the partition folder: writes of other tables share nothing with this one.
-    path = space.path(edge_table, table.name)
-    fresh.drop(edge_table.partition_column).write.mode("append").parquet(path)
+    storage.move_files(space.spark, staged, space.path(edge_table, table.name))
     space.spark.catalog.refreshByPath(space.path(edge_table))
 
 
-def publish_metrics(space: Workspace, name: str, partition: str = "") -> None:
-    """Measure the open rows of a stored table and record the result with history."""
+def publish_metrics(
+    space: Workspace, name: str, partition: str = "", seen: quality.RowCounts | None = None
+) -> None:
+    """Measure the open rows of a stored table and record the result with history.
+
+    ``seen`` holds what was counted while these rows were written.
+    """
     table = space.catalog.find(name)
     rows = readers.read_table(space.spark, table, space.path(table), partition)
+    if rows.columns != table.stored_columns.names:
+        seen = None  # counted under the declared names, not under those the rows are read by
     metrics = quality.signalling_metrics(
-        rows, table.signalling_checks, stored_edges(space, name)
+        rows, table.signalling_checks, stored_edges(space, name), seen
     ).withColumn("table_name", F.lit(name))
     known = space.read(METRICS_TABLE, partition=name, history="complete").df
     numbered = quality.assign_signalling_ids(metrics, known)

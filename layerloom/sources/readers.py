@@ -66,7 +66,9 @@ def _load(spark: SparkSession, table: TableDef, path: str, partition: str) -> Da
         inside = T.StructType([f for f in table.stored_columns.fields if f.name != table.partition_column])
         value = F.lit(partition).cast(kinds[table.partition_column])
         df = spark.read.schema(inside).parquet(place).withColumn(table.partition_column, value)
-        return df.select(*table.stored_columns.names)
+        # Folders inside the partition may state more columns.
+        more = [c for c in df.columns if c not in table.stored_columns.names]
+        return df.select(*table.stored_columns.names, *more)
     place = storage.readable(spark, path)
     if place is None:
         return empty(spark, table.stored_columns)

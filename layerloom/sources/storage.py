@@ -33,6 +33,20 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"Could not move {source} to {target}")
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files below ``source`` to the same places below ``target``; files there stay."""
+    fs, folder = _open(spark, source)
+    root = fs.makeQualified(folder).toString().rstrip("/")
+    found, files = fs.listFiles(folder, True), []
+    while found.hasNext():
+        place = found.next().getPath().toString()
+        inside = place[len(root) + 1 :]
+        if not any(part.startswith(("_", ".")) for part in inside.split("/")):
+            files.append((place, join(target, inside)))
+    for place, moved in files:
+        rename(spark, place, moved)
+
+
 def join(*parts: str) -> str:
     head, *tail = parts
     return "/".join([head.rstrip("/"), *[p.strip("/") for p in tail if p]])

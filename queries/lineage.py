@@ -220,7 +220,8 @@ def lineage_edges(spark: SparkSession, folder: str) -> DataFrame:
     rows = totals.df.withColumns(
         {FROM_DATE: F.lit(PROCESSING_DAY), TO_DATE: F.lit(OPEN_END).cast("date")}
     )
-    return lineage.open_edges(add_record_id(rows), totals.origin, "customer_totals_enriched")
+    edges = lineage.open_edges(add_record_id(rows), totals.origin, "customer_totals_enriched")
+    return edges.select(*lineage.EDGE_COLUMNS)
 
 
 LINEAGE_EDGES_SQL = f"""
