@@ -104,7 +104,7 @@ def merged(left: Column, right: Column) -> Column:
 
 def _group_name(df: DataFrame, keys: Sequence[str], token: str) -> Column:
     """128 bits in hexadecimal digits that name a group among the groups of all groupings."""
-    return F.md5(F.concat(F.lit(token), row_text(df.schema, keys)))
+    return F.md5(F.concat(F.lit(token), row_text(df.schema, keys) if keys else F.lit("")))
 
 
 def _group_key(df: DataFrame, keys: Sequence[str], token: str) -> Column:
@@ -127,8 +127,9 @@ def link_groups(
 ) -> tuple[DataFrame, Sources]:
     """Give the grouped rows their link entry and describe the members of the groups."""
     token = f"{next(_tokens)}:"
-    link = GroupLink(token, tuple(keys), df, sources)
-    linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_name(grouped, keys, token)))
+    known = tuple(k for k in keys if k in df.columns)
+    link = GroupLink(token, known, df, sources)
+    linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_name(grouped, known, token)))
     return linked, Sources((link,), False, tuple((k, k) for k in keys), complete=True)
 
 
@@ -165,9 +166,9 @@ def row_sources(
     grouping. Members hold plain sources only, so one join resolves all links.
     """
     names = dict(sources.grouped_by or ())
-    if sources.complete and names and all(isinstance(c, str) and c in names for c in keep):
+    link = sources.groups[0] if sources.complete and names else None
+    if link and all(isinstance(c, str) and names.get(c) in link.keys for c in keep):
         # The rows that were grouped know the keys of their group: neither groups nor links are computed.
-        link = sources.groups[0]
         entries = _entries_of(link.rows, link.sources, [F.col(names[c]).alias(c) for c in keep])
     else:
         entries = _entries_of(df, sources, keep, unique)

@@ -1,21 +1,21 @@
 """Dense ranks of large groups without sorting a group in one task.
 
 A window ordered over a whole table, or over a group that holds a third of it, sorts that group in a
-single task. Here the values are cut into buckets at approximate quantiles. Each (group, bucket) is
-ranked on its own and shifted by the number of distinct values in the lower buckets of its group.
-Quantiles only balance the work: any cut gives the same exact ranks.
+single task. Here the rows are cut into ranges of (group, value) instead and sorted in each. Rows of one
+value may lie in several ranges, so a value that fills most of the table is spread, too. The part of a group
+inside a range is a run. A row knows its rank within its run; what comes before the run, and the size of
+the whole group, follow from sums over the runs, of which there are no more than groups and ranges
+together.
 
-A value that alone fills more than a bucket gets a bucket of its own. All its rows have rank 1 there,
-so they can be spread over several tasks. Nulls and NaN are treated the same way.
+Both the ranks and the runs read one shuffle of the rows; Spark finds the cuts when it runs.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,116 +23,97 @@ from pyspark.sql.window import Window
 
 from layerloom.functions.hashing import row_text
 
-MAX_BUCKETS = 8192
-EXACT_INTEGERS = 2.0**53
-EXACT_DIGITS = 15
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Limits between buckets, and the values that are frequent enough to stand alone."""
-
-    limits: tuple[float, ...] = ()
-    frequent: tuple[float, ...] = ()
-    spread: int = 1
-
-
-def _number(value: str) -> Column:
-    # Adding zero turns -0.0 into 0.0; the two are equal in an ordering but not in a search.
-    return F.col(value).cast("double") + F.lit(0.0)
-
-
-def quantile_cuts(df: DataFrame, value: str, buckets: int | None = None) -> Cuts:
-    """Cuts for any rows of ``df``; at most ``MAX_BUCKETS`` numbers reach the driver."""
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(1, min(buckets, MAX_BUCKETS))
-    steps = [i / buckets for i in range(1, buckets)]
-    number = df.select(_number(value).alias("v"))
-    found = number.approxQuantile("v", steps, 1 / (2 * buckets)) if steps else []
-    found = sorted(c for c in found if math.isfinite(c))
-    repeated = {a for a, b in zip(found, found[1:], strict=False) if a == b}
-    return Cuts(tuple(sorted(set(found))), tuple(sorted(repeated)), buckets)
-
-
-def _stands_alone(df: DataFrame, value: str, cuts: Cuts) -> Column:
-    """Rows whose bucket holds one single value."""
-    kind = df.schema[value].dataType
-    frequent = list(cuts.frequent)
-    if isinstance(kind, T.IntegralType):
-        frequent = [v for v in frequent if abs(v) < EXACT_INTEGERS]
-    elif isinstance(kind, T.DecimalType) and kind.precision > EXACT_DIGITS:
-        frequent = []  # different decimals may share a double
-    number = _number(value)
-    return F.col(value).isNull() | F.isnan(number) | number.isin(frequent)
-
-
-def _bucketed(df: DataFrame, by: Sequence[str], value: str, cuts: Cuts) -> DataFrame:
-    """Add the group key, the bucket and the part of the bucket a row is ranked in."""
-    prepared = df.withColumns(
-        {
-            "_key": row_text(df.schema, by) if by else F.lit(""),
-            "_number": _number(value),
-            "_alone": _stands_alone(df, value, cuts),
-        }
-    )
-    infinity = float("inf")
-    if cuts.limits:
-        prepared = Bucketizer(
-            splits=[-infinity, *cuts.limits, infinity],
-            inputCol="_number",
-            outputCol="_range",
-            handleInvalid="keep",
-        ).transform(prepared)
-    else:
-        prepared = prepared.withColumn("_range", F.when(F.isnan("_number"), 1).otherwise(0))
-    # A frequent value is the lower limit of its range, so it comes before the rest of the range.
-    bucket = F.coalesce(F.col("_range").cast("int"), F.lit(0)) * 2 + (~F.col("_alone")).cast("int")
-    return prepared.withColumns(
-        {
-            "_bucket": F.when(F.col(value).isNull(), -1).otherwise(bucket),
-            "_part": F.when(F.col("_alone"), F.spark_partition_id() % cuts.spread).otherwise(0),
-        }
-    ).drop("_number", "_range", "_alone")
-
-
-def _ranked(bucketed: DataFrame, value: str) -> DataFrame:
-    within = Window.partitionBy("_key", "_bucket", "_part").orderBy(value)
-    return bucketed.withColumn("_rank", F.dense_rank().over(within))
+_RUN = T.StructType(
+    [
+        T.StructField("_run_cell", T.BinaryType()),
+        T.StructField("_run_part", T.IntegerType()),
+        T.StructField("_local", T.LongType()),
+    ]
+)
+
+
+def _name(df: DataFrame, columns: Sequence[str]) -> Column:
+    """16 bytes that name the values of the columns."""
+    return F.unhex(F.md5(row_text(df.schema, columns) if columns else F.lit("")))
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int64).reshape(len(column), 2)
+
+
+def _changes(words: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+    """Where a row differs from the one before."""
+    first = [True if last is None else bool((words[0] != last).any())]
+    return np.concatenate([first, (words[1:] != words[:-1]).any(axis=1)])
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of a range with the first row of their run and their rank in it."""
+    key = cell = run = None
+    held = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, cells = _words(batch.column("_key")), _words(batch.column("_cell"))
+        starts = _changes(keys, key)
+        seen = np.cumsum(_changes(cells, cell))
+        # Place of the first row of the run; 0 stands for the run that began in an earlier batch.
+        at = np.maximum.accumulate(np.where(starts, np.arange(1, len(keys) + 1), 0))
+        local = np.where(at > 0, seen - seen[np.maximum(at - 1, 0)] + 1, seen + held)
+        names = ("_cell", "_part")
+        before = run or [pa.nulls(1, batch.column(c).type) for c in names]
+        begun = [pa.concat_arrays([b, batch.column(c)]).take(pa.array(at)) for b, c in zip(before, names, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, *begun, pa.array(local.astype(np.int64))], names=[*batch.schema.names, *_RUN.names]
+        )
+        key, cell, held = keys[-1], cells[-1], int(local[-1])
+        run = [b.slice(len(b) - 1) for b in begun]
 
 
 def with_dense_rank(
-    df: DataFrame, by: Sequence[str], value: str, cuts: Cuts | None = None
+    df: DataFrame, by: Sequence[str], value: str, ranges: int | None = None
 ) -> DataFrame:
     """Attach ``dense_rank``, ``distinct_count`` and ``row_count`` of the group to every row.
 
-    ``value`` is numeric. A null counts as a value and ranks first, NaN ranks last. Two shuffles: one
-    of the keys and values to size the buckets, one of the whole rows to rank them.
+    A null counts as a value and ranks first, NaN ranks last, -0.0 and 0.0 are one value. The rows are shuffled
+    once, into ``ranges`` ranges (as many as Spark shuffles into by default); runs are joined by a broadcast
+    where they are few.
     """
-    if cuts is None:
-        cuts = quantile_cuts(df, value)
-    sizes = (
-        _ranked(_bucketed(df.select(*dict.fromkeys([*by, value])), by, value, cuts), value)
-        .groupBy("_key", "_bucket", "_part")
-        .agg(F.max("_rank").alias("_n"), F.count(F.lit(1)).alias("_m"))
-        .groupBy("_key", "_bucket")
-        .agg(F.max("_n").cast("bigint").alias("_n"), F.sum("_m").alias("_m"))
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumns(
+        {"_key": _name(df, by), "_cell": _name(df, [*by, value]), "_part": F.spark_partition_id()}
+    )
+    order = ["_key", value, "_part"]
+    ranked = (
+        keyed.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(_numbered, T.StructType([*keyed.schema.fields, *_RUN.fields]))
+    )
+    run = ["_key", "_run_cell", "_run_part"]
+    runs = ranked.groupBy(*run).agg(
+        F.max("_local").alias("_n"),
+        F.count(F.lit(1)).alias("_m"),
+        F.min_by(value, "_local").alias("_first"),
+        F.max_by(value, "_local").alias("_last"),
     )
-    # At most one row per group and bucket from here on.
     group = Window.partitionBy("_key")
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("_key").alias("_group_key"),
-        F.col("_bucket").alias("_group_bucket"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(group).alias("distinct_count"),
+    ordered = group.orderBy(F.asc_nulls_first("_first"), "_run_part")
+    # A value that goes on from one run to the next is counted in both.
+    before = F.lag(F.struct("_last")).over(ordered)
+    again = before.isNotNull() & before["_last"].eqNullSafe(F.col("_first"))
+    counted = runs.withColumn("_again", again.cast("bigint"))
+    offsets = counted.select(
+        *[F.col(c).alias(f"{c}_of") for c in run],
+        (F.sum(F.col("_n") - F.col("_again")).over(ordered) - F.col("_n")).alias("_offset"),
+        F.sum(F.col("_n") - F.col("_again")).over(group).alias("distinct_count"),
         F.sum("_m").over(group).alias("row_count"),
     )
-    rows = _ranked(_bucketed(df, by, value, cuts), value)
-    matches = (F.col("_key") == F.col("_group_key")) & (F.col("_bucket") == F.col("_group_bucket"))
-    return rows.join(offsets, matches).select(
+    if not by:
+        offsets = F.broadcast(offsets)  # one run for each range
+    same = [F.col(c) == F.col(f"{c}_of") for c in run]
+    return ranked.join(offsets, same).select(
         *df.columns,
-        (F.col("_rank") + F.col("_offset")).alias("dense_rank"),
+        (F.col("_local") + F.col("_offset")).alias("dense_rank"),
         "distinct_count",
         "row_count",
     )

@@ -199,16 +199,19 @@ class TrackedFrame:
     ) -> TrackedFrame:
         """Any aggregate expressions per group, in one aggregation; null keys form groups.
 
-        Sources are looked up in ``members`` where it is given: rows with the same keys and lineage
-        that were cheaper to compute, such as these rows before a derived column was joined to them.
+        Sources are looked up in ``members`` where it is given: rows with the same lineage that were cheaper
+        to compute, such as these rows before a derived column was joined to them. They may lack keys on
+        which the sources of a group do not depend; these rows need no lineage then.
+
+        Aggregates and sources are computed from the same rows, so select the columns they need first.
         """
         keys = list(columns)
         grouped = (
             self.df.groupBy(*keys).agg(*aggregates) if aggregates else self.df.select(*keys).distinct()
         )
-        if not self.is_tracked:
-            return self.with_df(grouped)
         rows = members or self
+        if not rows.is_tracked:
+            return self.with_df(grouped)
         linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin)
         return replace(self, df=linked, origin=origin)
 

@@ -15,7 +15,7 @@ from layerloom.functions.bands import RANK_BANDS, REDUCTION_BANDS, clamp_unit, r
 from layerloom.functions.hashing import row_text
 from layerloom.functions.naming import find_column, require_columns
 from layerloom.functions.text import clean_industry_code
-from layerloom.operators.ranking import quantile_cuts, with_dense_rank
+from layerloom.operators.ranking import with_dense_rank
 from layerloom.operators.relations import (
     first_per_group,
     first_value_by,
@@ -174,17 +174,22 @@ def benchmarks(isic: str, sector: str, unit: str, prefix: str = "") -> dict[str,
 
 
 def per_benchmark(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Each row once per benchmark, with the label and the text of its group."""
+    """Each row once per benchmark: the number of the benchmark and 16 bytes that name its group."""
     choices = [
         F.struct(
-            F.lit(label).alias("benchmark_group"),
-            row_text(df.schema, columns).alias("_group"),
+            F.lit(i).cast("tinyint").alias("_benchmark"),
+            F.unhex(F.md5(F.concat(F.lit(f"{i}:"), row_text(df.schema, columns) if columns else F.lit("")))).alias("_group"),
         )
-        for label, columns in groups.items()
+        for i, columns in enumerate(groups.values())
     ]
     return df.select("*", F.inline(F.array(*choices)))
 
 
+def _label(groups: Mapping[str, Sequence[str]]) -> Column:
+    """The label of a benchmark's number."""
+    return F.array(*[F.lit(label) for label in groups])[F.col("_benchmark").cast("int")]
+
+
 def emission_profile(
     mapping: DataFrame,
     emissions: DataFrame,
@@ -202,26 +207,25 @@ def emission_profile(
     rows of its group. Of the activities of a ledger entry, the one with the lowest id lends its
     other columns.
     """
+    groups = benchmarks(isic, sector, unit)
     narrow = emissions.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
-    ranked = with_dense_rank(
-        per_benchmark(narrow, benchmarks(isic, sector, unit)).drop(isic, sector, unit),
-        ["benchmark_group", "_group"],
-        co2,
-        quantile_cuts(emissions, co2),
-    )
-    size = F.when(F.col("benchmark_group") == ALL_BENCHMARK, F.col("distinct_count")).otherwise(
+    ranked = with_dense_rank(per_benchmark(narrow, groups).drop(isic, sector, unit), ["_group"], co2)
+    size = F.when(F.col("_benchmark") == list(groups).index(ALL_BENCHMARK), F.col("distinct_count")).otherwise(
         F.col("row_count")
     )
     ranked = ranked.withColumn("profile_ranking", F.col("dense_rank") / size)
     # Only ids, footprints and ranks exist once per benchmark.
     ids = mapping.select(ledger_id, activity_id)
     scored = ids.join(
-        ranked.select(activity_id, "benchmark_group", "profile_ranking", co2), activity_id
+        ranked.select(activity_id, "_benchmark", "profile_ranking", co2), activity_id
     )
-    averages = scored.groupBy(ledger_id, "benchmark_group").agg(
+    averages = scored.groupBy(ledger_id, "_benchmark").agg(
         F.avg("profile_ranking").alias("average_profile_ranking"),
         F.avg(co2).alias(f"average_{co2}"),
     )
+    averages = averages.select(
+        ledger_id, _label(groups).alias("benchmark_group"), "average_profile_ranking", f"average_{co2}"
+    )
     # All other columns are looked up for one activity per ledger entry only.
     known = ids.join(narrow.select(activity_id), activity_id, "left_semi")
     lowest = known.groupBy(ledger_id).agg(F.min(activity_id).alias(activity_id))
@@ -254,25 +258,19 @@ def upstream_profile(
     """
     groups = benchmarks(isic, sector, unit, INPUT_PREFIX)
     narrow = upstream.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
-    inputs = narrow.with_df(per_benchmark(narrow.df, groups).drop(isic, sector, unit))
-    ranked = with_dense_rank(
-        inputs.df, ["benchmark_group", "_group"], co2, quantile_cuts(upstream.df, co2)
-    )
-    rank = F.col("dense_rank") / F.col("distinct_count")
-    scored = inputs.with_df(ranked.withColumn("profile_ranking", rank))
     ledger = mapping.select(ledger_id, activity_id)
-
-    def linked(frame: TrackedFrame, *columns: str) -> TrackedFrame:
-        chosen = frame.select(activity_id, "benchmark_group", *columns)
-        return ledger.join(chosen, on=activity_id, how="inner")
-
-    # Ranking adds columns, not rows, so lineage does without it.
-    averages = linked(scored, co2, "profile_ranking").group_by(
-        [ledger_id, "benchmark_group"],
+    # Ranks do without lineage: every input is in all six benchmarks, so a ledger entry has the same sources in each.
+    ranked = with_dense_rank(
+        per_benchmark(narrow.data, groups).drop(isic, sector, unit), ["_group"], co2
+    ).select(activity_id, "_benchmark", co2, (F.col("dense_rank") / F.col("distinct_count")).alias("profile_ranking"))
+    scored = ledger.with_df(ledger.data.join(ranked, activity_id))
+    averages = scored.group_by(
+        [ledger_id, "_benchmark"],
         F.avg("profile_ranking").alias("average_input_profile_rank"),
         F.avg(co2).alias(f"average_{co2}"),
-        members=linked(inputs),
-    )
+        members=ledger.join(narrow.select(activity_id), on=activity_id, how="inner"),
+    ).with_columns(benchmark_group=_label(groups))
+    averages = averages.select(ledger_id, "benchmark_group", "average_input_profile_rank", f"average_{co2}")
     band = risk_band(F.col("average_input_profile_rank"), RANK_BANDS, null_band)
     return averages.with_columns(risk_category=band)
 
