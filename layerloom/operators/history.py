@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from layerloom.constants import FROM_DATE, HISTORY_COLUMNS, LINEAGE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.functions.hashing import row_hash, row_key
@@ -41,28 +42,20 @@ def merge_history(
     hashed once per side, and a single full join on the 32-byte hash decides all three cases. Closed
     versions are appended without a shuffle.
 
-    Incoming copies of one row are an error, raised when the result is computed. They are collapsed
-    before the shuffle, on the key the join needs anyway: however many copies there are, the join sees
-    each key once per side and cannot skew.
+    Incoming copies of one row are an error, raised when the result is computed: rows are numbered within
+    their hash in the order the join sorts them in anyway, and the second row of a hash ends the job. No
+    row is sorted or aggregated ahead of the shuffle.
     """
     values = value_columns(incoming)
     tracked = LINEAGE in incoming.columns
     today = date_literal(processing_date)
     open_end = F.lit(OPEN_END).cast("date")
 
-    new = (
-        incoming.select(
-            row_key(incoming, values, hash_mode).alias("_new_key"),
-            F.struct(*values).alias("_new"),
-            *([F.col(LINEAGE).alias("_new_lineage")] if tracked else []),
-        )
-        .groupBy("_new_key")
-        .agg(
-            F.count(F.lit(1)).alias("_copies"),
-            F.first("_new").alias("_new"),
-            *([F.first("_new_lineage").alias("_new_lineage")] if tracked else []),
-        )
-    )
+    new = incoming.select(
+        row_key(incoming, values, hash_mode).alias("_new_key"),
+        F.struct(*values).alias("_new"),
+        *([F.col(LINEAGE).alias("_new_lineage")] if tracked else []),
+    ).withColumn("_copy", F.row_number().over(Window.partitionBy("_new_key").orderBy("_new_key")))
     current = stored.where(F.col(TO_DATE) == open_end).select(*values, FROM_DATE)
     old = current.select(
         row_key(current, values, hash_mode).alias("_old_key"),
@@ -75,7 +68,7 @@ def merge_history(
     merged = joined.select(
         *[row.getField(c).alias(c) for c in values],
         F.when(F.col("_old_key").isNull(), today).otherwise(F.col("_old_from")).alias(FROM_DATE),
-        F.when(F.col("_copies") > 1, copied)
+        F.when(F.col("_copy") > 1, copied)
         .when(F.col("_new_key").isNull(), today)
         .otherwise(open_end)
         .alias(TO_DATE),

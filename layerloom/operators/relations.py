@@ -52,10 +52,19 @@ def keep_lowest(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def first_value_by(
     df: DataFrame, keys: Sequence[str], order: str, value: str, output: str
 ) -> DataFrame:
-    """One row per key: ``value`` at the lowest ``order`` (ties: the lowest value)."""
-    first = F.min(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))
-    return df.groupBy(*keys).agg(first.alias("_first")).select(
-        *keys, F.col("_first.v").alias(output)
+    """One row per key: ``value`` at the lowest ``order`` (ties: the lowest value; nulls come first).
+
+    Rows shrink to one per key and ``order`` before they are compared. Numbers and dates need no sort.
+    """
+    steps = df.groupBy(*keys, F.col(order).alias("_order")).agg(
+        F.bool_or(F.col(value).isNull()).alias("_has_null"), F.min(value).alias("_low")
+    )
+    steps = steps.withColumn("_low", F.when(~F.col("_has_null"), F.col("_low")))
+    unordered = F.col("_order").isNull()
+    return steps.groupBy(*keys).agg(
+        F.when(F.bool_or(unordered), F.max(F.when(unordered, F.col("_low"))))
+        .otherwise(F.min_by("_low", "_order"))
+        .alias(output)
     )
 
 
