@@ -49,6 +49,8 @@ class GroupLink:
     keys: tuple[str, ...]
     rows: DataFrame  # what was grouped, with its lineage
     sources: Sources  # what that lineage may hold
+    # Further keys, of which each of these groups has all of the values.
+    each: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
     @property
     def members(self) -> DataFrame:
@@ -123,12 +125,17 @@ def _unpacked(packed: Column) -> Column:
 
 
 def link_groups(
-    df: DataFrame, grouped: DataFrame, keys: Sequence[str], sources: Sources
+    df: DataFrame,
+    grouped: DataFrame,
+    keys: Sequence[str],
+    sources: Sources,
+    each: Mapping[str, Sequence[str]] | None = None,
 ) -> tuple[DataFrame, Sources]:
     """Give the grouped rows their link entry and describe the members of the groups."""
     token = f"{next(_tokens)}:"
     known = tuple(k for k in keys if k in df.columns)
-    link = GroupLink(token, known, df, sources)
+    spread = tuple((k, tuple(values)) for k, values in (each or {}).items())
+    link = GroupLink(token, known, df, sources, spread)
     linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_name(grouped, known, token)))
     return linked, Sources((link,), False, tuple((k, k) for k in keys), complete=True)
 
@@ -167,9 +174,14 @@ def row_sources(
     """
     names = dict(sources.grouped_by or ())
     link = sources.groups[0] if sources.complete and names else None
-    if link and all(isinstance(c, str) and names.get(c) in link.keys for c in keep):
+    spread = dict(link.each) if link else {}
+    if link and all(isinstance(c, str) and (names.get(c) in link.keys or names.get(c) in spread) for c in keep):
         # The rows that were grouped know the keys of their group: neither groups nor links are computed.
-        entries = _entries_of(link.rows, link.sources, [F.col(names[c]).alias(c) for c in keep])
+        own = [F.col(names[c]).alias(c) for c in keep if names[c] in link.keys]
+        entries = _entries_of(link.rows, link.sources, own)
+        for c in keep:
+            if names[c] in spread:
+                entries = entries.withColumn(c, F.explode(F.array(*[F.lit(v) for v in spread[names[c]]])))
     else:
         entries = _entries_of(df, sources, keep, unique)
     kept = [c for c in entries.columns if c not in (SOURCE_TABLE, "_id")]

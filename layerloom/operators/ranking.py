@@ -12,62 +12,53 @@ Both the ranks and the runs read one shuffle of the rows; Spark finds the cuts w
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from layerloom.functions.hashing import row_text
+# Tasks carry the functions of this module with them, so that executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_RUN = T.StructType(
-    [
-        T.StructField("_run_cell", T.BinaryType()),
-        T.StructField("_run_part", T.IntegerType()),
-        T.StructField("_local", T.LongType()),
-    ]
-)
+#: What names a run: hashes of the group and of the first value, and where the first row came from.
+RUN = ("_run_group", "_run_value", "_run_part")
+_ADDED = [T.StructField(c, T.LongType()) for c in (*RUN, "_local")]
 
 
-def _name(df: DataFrame, columns: Sequence[str]) -> Column:
-    """16 bytes that name the values of the columns."""
-    return F.unhex(F.md5(row_text(df.schema, columns) if columns else F.lit("")))
+def _hash(columns: Sequence[str]) -> Column:
+    """64 bits of the values; sorted neighbours that differ differ here, too. Nulls count by their place."""
+    return F.xxhash64(*[part for c in columns for part in (F.col(c), F.col(c).isNull())], F.lit(0))
 
 
-def _words(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int64).reshape(len(column), 2)
-
-
-def _changes(words: np.ndarray, last: np.ndarray | None) -> np.ndarray:
+def _changes(words: np.ndarray, last: int | None) -> np.ndarray:
     """Where a row differs from the one before."""
-    first = [True if last is None else bool((words[0] != last).any())]
-    return np.concatenate([first, (words[1:] != words[:-1]).any(axis=1)])
+    return np.concatenate([[last is None or words[0] != last], words[1:] != words[:-1]])
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows of a range with the first row of their run and their rank in it."""
-    key = cell = run = None
-    held = 0
+    group = value = None
+    run, held = np.zeros(3, np.int64), 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        keys, cells = _words(batch.column("_key")), _words(batch.column("_cell"))
-        starts = _changes(keys, key)
-        seen = np.cumsum(_changes(cells, cell))
+        groups, values, parts = (batch.column(c).to_numpy().astype(np.int64) for c in ("_group_hash", "_value_hash", "_part"))
+        starts = _changes(groups, group)
+        seen = np.cumsum(_changes(values, value) | starts)
         # Place of the first row of the run; 0 stands for the run that began in an earlier batch.
-        at = np.maximum.accumulate(np.where(starts, np.arange(1, len(keys) + 1), 0))
+        at = np.maximum.accumulate(np.where(starts, np.arange(1, len(groups) + 1), 0))
         local = np.where(at > 0, seen - seen[np.maximum(at - 1, 0)] + 1, seen + held)
-        names = ("_cell", "_part")
-        before = run or [pa.nulls(1, batch.column(c).type) for c in names]
-        begun = [pa.concat_arrays([b, batch.column(c)]).take(pa.array(at)) for b, c in zip(before, names, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, *begun, pa.array(local.astype(np.int64))], names=[*batch.schema.names, *_RUN.names]
-        )
-        key, cell, held = keys[-1], cells[-1], int(local[-1])
-        run = [b.slice(len(b) - 1) for b in begun]
+        begun = np.vstack([run, np.column_stack([groups, values, parts])])[at]
+        kept = batch.drop_columns(["_group_hash", "_value_hash", "_part"])
+        added = [pa.array(np.ascontiguousarray(x)) for x in (*begun.T, local.astype(np.int64))]
+        yield pa.RecordBatch.from_arrays([*kept.columns, *added], names=[*kept.schema.names, *[f.name for f in _ADDED]])
+        group, value, run, held = groups[-1], values[-1], begun[-1], int(local[-1])
 
 
 def with_dense_rank(
@@ -80,37 +71,34 @@ def with_dense_rank(
     where they are few.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumns(
-        {"_key": _name(df, by), "_cell": _name(df, [*by, value]), "_part": F.spark_partition_id()}
-    )
-    order = ["_key", value, "_part"]
+    keyed = df.withColumns({"_group_hash": _hash(by), "_value_hash": _hash([value]), "_part": F.spark_partition_id()})
+    order = [*by, value, "_part"]
     ranked = (
         keyed.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_numbered, T.StructType([*keyed.schema.fields, *_RUN.fields]))
+        .mapInArrow(_numbered, T.StructType([*df.schema.fields, *_ADDED]))
     )
-    run = ["_key", "_run_cell", "_run_part"]
-    runs = ranked.groupBy(*run).agg(
+    runs = ranked.groupBy(*by, *RUN).agg(
         F.max("_local").alias("_n"),
         F.count(F.lit(1)).alias("_m"),
         F.min_by(value, "_local").alias("_first"),
         F.max_by(value, "_local").alias("_last"),
     )
-    group = Window.partitionBy("_key")
+    group = Window.partitionBy(*by)
     ordered = group.orderBy(F.asc_nulls_first("_first"), "_run_part")
     # A value that goes on from one run to the next is counted in both.
     before = F.lag(F.struct("_last")).over(ordered)
     again = before.isNotNull() & before["_last"].eqNullSafe(F.col("_first"))
     counted = runs.withColumn("_again", again.cast("bigint"))
     offsets = counted.select(
-        *[F.col(c).alias(f"{c}_of") for c in run],
+        *[F.col(c).alias(f"{c}_of") for c in RUN],
         (F.sum(F.col("_n") - F.col("_again")).over(ordered) - F.col("_n")).alias("_offset"),
         F.sum(F.col("_n") - F.col("_again")).over(group).alias("distinct_count"),
         F.sum("_m").over(group).alias("row_count"),
     )
     if not by:
         offsets = F.broadcast(offsets)  # one run for each range
-    same = [F.col(c) == F.col(f"{c}_of") for c in run]
+    same = [F.col(c) == F.col(f"{c}_of") for c in RUN]
     return ranked.join(offsets, same).select(
         *df.columns,
         (F.col("_local") + F.col("_offset")).alias("dense_rank"),

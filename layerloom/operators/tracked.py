@@ -195,13 +195,18 @@ class TrackedFrame:
     # -- grouping -----------------------------------------------------------------------------
 
     def group_by(
-        self, columns: Sequence[str], *aggregates: Column, members: TrackedFrame | None = None
+        self,
+        columns: Sequence[str],
+        *aggregates: Column,
+        members: TrackedFrame | None = None,
+        each: Mapping[str, Sequence[str]] | None = None,
     ) -> TrackedFrame:
         """Any aggregate expressions per group, in one aggregation; null keys form groups.
 
         Sources are looked up in ``members`` where it is given: rows with the same lineage that were cheaper
         to compute, such as these rows before a derived column was joined to them. They may lack keys on
-        which the sources of a group do not depend; these rows need no lineage then.
+        which the sources of a group do not depend; these rows need no lineage then. ``each`` names the values of
+        such keys, if all of them occur next to each group.
 
         Aggregates and sources are computed from the same rows, so select the columns they need first.
         """
@@ -212,7 +217,7 @@ class TrackedFrame:
         rows = members or self
         if not rows.is_tracked:
             return self.with_df(grouped)
-        linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin)
+        linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin, each)
         return replace(self, df=linked, origin=origin)
 
     def average(self, columns: Sequence[str], value: str, output: str | None = None) -> TrackedFrame:

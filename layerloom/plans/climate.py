@@ -173,16 +173,26 @@ def benchmarks(isic: str, sector: str, unit: str, prefix: str = "") -> dict[str,
     }
 
 
-def per_benchmark(df: DataFrame, groups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Each row once per benchmark: the number of the benchmark and 16 bytes that name its group."""
+def per_benchmark(
+    df: DataFrame, groups: Mapping[str, Sequence[str]], keep: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """Each row once per benchmark, like grouping sets: the kept columns and what names its group there.
+
+    That is the number of the benchmark and the columns that form it; the others are null.
+    """
+    columns = list(dict.fromkeys(c for formed in groups.values() for c in formed))
+    names = [f"_by{i}" for i in range(len(columns))]
     choices = [
         F.struct(
             F.lit(i).cast("tinyint").alias("_benchmark"),
-            F.unhex(F.md5(F.concat(F.lit(f"{i}:"), row_text(df.schema, columns) if columns else F.lit("")))).alias("_group"),
+            *[
+                (F.col(c) if c in formed else F.lit(None).cast(df.schema[c].dataType)).alias(name)
+                for c, name in zip(columns, names, strict=True)
+            ],
         )
-        for i, columns in enumerate(groups.values())
+        for i, formed in enumerate(groups.values())
     ]
-    return df.select("*", F.inline(F.array(*choices)))
+    return df.select(*keep, F.inline(F.array(*choices))), ["_benchmark", *names]
 
 
 def _label(groups: Mapping[str, Sequence[str]]) -> Column:
@@ -209,7 +219,8 @@ def emission_profile(
     """
     groups = benchmarks(isic, sector, unit)
     narrow = emissions.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
-    ranked = with_dense_rank(per_benchmark(narrow, groups).drop(isic, sector, unit), ["_group"], co2)
+    repeated, by = per_benchmark(narrow, groups, [activity_id, co2])
+    ranked = with_dense_rank(repeated, by, co2)
     size = F.when(F.col("_benchmark") == list(groups).index(ALL_BENCHMARK), F.col("distinct_count")).otherwise(
         F.col("row_count")
     )
@@ -260,17 +271,19 @@ def upstream_profile(
     narrow = upstream.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
     ledger = mapping.select(ledger_id, activity_id)
     # Ranks do without lineage: every input is in all six benchmarks, so a ledger entry has the same sources in each.
-    ranked = with_dense_rank(
-        per_benchmark(narrow.data, groups).drop(isic, sector, unit), ["_group"], co2
-    ).select(activity_id, "_benchmark", co2, (F.col("dense_rank") / F.col("distinct_count")).alias("profile_ranking"))
+    repeated, by = per_benchmark(narrow.data, groups, [activity_id, co2])
+    share = F.col("dense_rank") / F.col("distinct_count")
+    ranked = with_dense_rank(repeated, by, co2).select(
+        activity_id, _label(groups).alias("benchmark_group"), co2, share.alias("profile_ranking")
+    )
     scored = ledger.with_df(ledger.data.join(ranked, activity_id))
     averages = scored.group_by(
-        [ledger_id, "_benchmark"],
+        [ledger_id, "benchmark_group"],
         F.avg("profile_ranking").alias("average_input_profile_rank"),
         F.avg(co2).alias(f"average_{co2}"),
         members=ledger.join(narrow.select(activity_id), on=activity_id, how="inner"),
-    ).with_columns(benchmark_group=_label(groups))
-    averages = averages.select(ledger_id, "benchmark_group", "average_input_profile_rank", f"average_{co2}")
+        each={"benchmark_group": list(groups)},
+    )
     band = risk_band(F.col("average_input_profile_rank"), RANK_BANDS, null_band)
     return averages.with_columns(risk_category=band)
 
