@@ -25,6 +25,8 @@ class TableDef:
     signalling_checks: tuple[dict, ...] = ()
     # Quoted line breaks need whole-file tasks. None: only the dialect made for them has any.
     multiline: bool | None = None
+    # Rows are stored in ranges of these columns, so that filters on them skip files by their statistics.
+    sorted_by: tuple[str, ...] = ()
 
     @property
     def source_name(self) -> str:

@@ -99,6 +99,16 @@ def seed(df: DataFrame, source: str) -> DataFrame:
     return df.withColumn(LINEAGE, entry(F.lit(source), F.col(RECORD_ID)))
 
 
+def from_map(sources: Column) -> Column:
+    """Entries from a map of source tables to arrays of record ids; null maps and null ids give none."""
+    ids = lambda table, found: F.transform(
+        F.filter(F.coalesce(found, F.array().cast("array<string>")), lambda i: i.isNotNull()),
+        lambda i: F.struct(table.alias(SOURCE_TABLE), i.alias(SOURCE_ID)),
+    )
+    entries = F.flatten(F.transform(F.map_entries(sources), lambda e: ids(e["key"], e["value"])))
+    return F.array_distinct(F.coalesce(entries.cast(LINEAGE_TYPE), no_sources()))
+
+
 def merged(left: Column, right: Column) -> Column:
     """Union of two lineages; the unmatched side of an outer join counts as empty."""
     return F.array_union(F.coalesce(left, no_sources()), F.coalesce(right, no_sources()))

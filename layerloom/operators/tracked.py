@@ -80,6 +80,11 @@ class TrackedFrame:
     def where(self, condition: Column | str) -> TrackedFrame:
         return self._keeping_keys(self.df.where(condition), fewer=True)
 
+    @classmethod
+    def from_lineage_map(cls, df: DataFrame, column: str) -> TrackedFrame:
+        """Rows whose sources a map column holds: source tables to arrays of record ids."""
+        return cls(df.withColumn(LINEAGE, lineage.from_map(F.col(column))).drop(column))
+
     # -- columns ------------------------------------------------------------------------------
 
     def select(self, *columns: Key) -> TrackedFrame:

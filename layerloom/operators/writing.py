@@ -118,7 +118,10 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
             counter = quality.RowCounter(
                 merged, table.quality_checks, table.signalling_checks, space.processing_date
             )
-            _stage(counter.watch(merged).drop(*hidden), staged_path)
+            ordered = merged
+            if table.sorted_by:
+                ordered = merged.repartitionByRange(*table.sorted_by).sortWithinPartitions(*table.sorted_by)
+            _stage(counter.watch(ordered).drop(*hidden), staged_path)
             seen = counter.result()
             staged = space.spark.read.schema(merged.drop(*hidden).schema).parquet(staged_path)
             if seen.closed:

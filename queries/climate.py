@@ -281,22 +281,32 @@ UNION ALL SELECT 'product name', count(*) FILTER (l_suppkey = 3) FROM lineitem
 
 
 def geography_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Both rules, for activities and for ledger entries."""
     lines = load(spark, folder, "lineitem").select(
         F.col("l_partkey").alias("input_activity_uuid_product_uuid"),
+        F.concat_ws("/", F.col("l_suppkey") % 50, F.col("l_partkey") % 7).alias("ledger_id"),
         F.col("l_linestatus").alias("input_geography"),
-        F.nullif(F.col("l_returnflag"), F.lit("R")).alias("input_product_name"),
+        F.concat(F.lit("product "), (F.col("l_suppkey") % 3).cast("string")).alias("input_product_name"),
         F.when(F.col("l_returnflag") == "A", 16).when(F.col("l_returnflag") == "R", 3).alias("input_priority"),
         F.col("l_linenumber").alias("row_num"),
     )
-    return climate.geography_violations(lines)
+    activities = climate.geography_violations(lines).withColumn("of", F.lit("activity"))
+    entries = climate.geography_violations(lines, "ledger_id").withColumn("of", F.lit("ledger"))
+    return activities.unionByName(entries)
 
 
-GEOGRAPHY_VIOLATIONS_SQL = """
-WITH g AS (SELECT l_partkey, 'geography' AS rule FROM lineitem WHERE l_linenumber <= 2 AND l_returnflag = 'A'
-           GROUP BY 1 HAVING count(DISTINCT l_linestatus) > 1
-           UNION ALL SELECT l_partkey, 'no priority' FROM lineitem WHERE l_linenumber <= 2 AND l_returnflag = 'N'
-           GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1)
-SELECT rule, count(*) AS violations FROM g GROUP BY 1
+def _geography_sql(product: str, of: str) -> str:
+    return f"""
+SELECT 'geography' AS rule, {product} AS product, '{of}' AS of FROM lineitem
+WHERE l_linenumber <= 2 AND l_returnflag = 'A' GROUP BY 2 HAVING count(DISTINCT l_linestatus) > 1
+UNION ALL SELECT 'no priority', {product}, '{of}' FROM lineitem
+WHERE l_linenumber <= 2 AND l_returnflag = 'N' GROUP BY 2 HAVING count(DISTINCT l_suppkey % 3) > 1"""
+
+
+GEOGRAPHY_VIOLATIONS_SQL = f"""
+WITH g AS ({_geography_sql("cast(l_partkey AS varchar)", "activity")}
+           UNION ALL {_geography_sql("(l_suppkey % 50) || '/' || (l_partkey % 7)", "ledger")})
+SELECT rule, of, count(*) AS violations FROM g GROUP BY 1, 2
 """
 
 

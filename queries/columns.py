@@ -10,7 +10,7 @@ from layerloom.functions.naming import clean_column_names
 from layerloom.operators.ranking import with_dense_rank
 from layerloom.operators.relations import first_per_group, keep_lowest
 from layerloom.sources.readers import null_tokens
-from queries.common import cents, lineage_text, load, load_tracked
+from queries.common import cents, lineage_text, load, load_tracked, with_source_counts
 
 
 def select_rename_cast_drop(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,13 +159,28 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 
 
 def topk_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """A top-k report: Spark keeps k rows per task and merges them."""
-    orders = load(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(100)
+    """A top-k report that keeps the sources of its rows: Spark keeps k rows per task and merges them."""
+    orders = load_tracked(spark, folder, "orders", "o_orderkey").select("o_orderkey", "o_custkey", "o_totalprice")
+    return lineage_text(orders.head(100, F.desc("o_totalprice"), "o_orderkey"))
 
 
 TOPK_SQL = """
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100
+SELECT o_orderkey, o_custkey, o_totalprice, 'orders_raw:' || o_orderkey AS sources
+FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100
+"""
+
+
+def ordered_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten customers with the most orders, ordered, with the number of records behind each."""
+    orders = load_tracked(spark, folder, "orders", "o_orderkey")
+    counted = orders.group_by(["o_custkey"], F.count(F.lit(1)).alias("n"))
+    first = counted.order_by("o_custkey").head(10, F.desc("n"), "o_custkey")
+    return with_source_counts(first, ["o_custkey"], "orders")
+
+
+ORDERED_GROUPS_SQL = """
+SELECT o_custkey, count(*) AS n, count(DISTINCT o_orderkey) AS n_orders
+FROM orders GROUP BY 1 ORDER BY n DESC, o_custkey LIMIT 10
 """
 
 
@@ -268,6 +283,7 @@ QUERIES = {
     "lowest_with_ties": (lowest_with_ties, LOWEST_WITH_TIES_SQL),
     "distinct_subset": (distinct_subset, DISTINCT_SUBSET_SQL),
     "topk_orders": (topk_orders, TOPK_SQL),
+    "ordered_groups": (ordered_groups, ORDERED_GROUPS_SQL),
     "postcode": (postcode, POSTCODE_SQL),
     "postcode_from_city": (postcode_from_city, POSTCODE_FROM_CITY_SQL),
     "keep_one_name": (keep_one_name, KEEP_ONE_NAME_SQL),

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.constants import LINEAGE
+from layerloom import Workspace
+from layerloom.constants import LINEAGE, OPEN_END
+from layerloom.operators.lineage import shared_folder
 from layerloom.operators.tracked import TrackedFrame
+from layerloom.operators.writing import stored_edges
 from layerloom.plans import flights
 from queries.common import load, load_tracked, tracked, with_source_counts
 
@@ -184,7 +188,58 @@ FROM m GROUP BY 1, 2, 3
 """
 
 
+def flight_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing files to the enriched table through every job, each table written, checked and read again."""
+    space = Workspace(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", processing_date=AS_OF.date())
+    customers, orders = load(spark, folder, "customer"), load(spark, folder, "orders")
+    code = F.col("c_custkey").cast("string")
+    airline = F.substring("o_orderpriority", 3, 2)
+    landing = {
+        "flights": _raw_flights(spark, folder).data,
+        "airlines": orders.select(airline.alias("IATA_CODE"), F.concat(F.lit("Airline "), airline).alias("AIRLINE")).distinct(),
+        "airports": customers.select(
+            code.alias("IATA_CODE"),
+            F.col("c_name").alias("AIRPORT"),
+            F.col("c_mktsegment").alias("CITY"),
+            F.lit("NA").alias("STATE"),
+            F.col("c_nationkey").cast("string").alias("COUNTRY"),
+            F.lit(1).cast("decimal(25,10)").alias("LATITUDE"),
+            F.lit(None).cast("decimal(25,10)").alias("LONGITUDE"),
+        ),
+        "cancellation_codes": orders.select(
+            airline.alias("CANCELLATION_REASON"), F.col("o_orderpriority").alias("CANCELLATION_DESCRIPTION")
+        ).distinct(),
+        "timezone": customers.select(code.alias("Airport"), _zone("c_nationkey").alias("TimeZone")),
+    }
+    for topic, rows in landing.items():
+        rows.write.option("header", True).csv(space.path(space.catalog.find(f"{topic}_landingzone")))
+    for table in flights.TABLES:
+        flights.generate(space, table, AS_OF)
+    stored = space.read("flight_airport_departures_enriched").data
+    edges = stored_edges(space, "flight_airport_departures_enriched")
+    sources = edges.groupBy(F.col("target_RecordID").alias("RecordID")).agg(
+        *[
+            F.count_if(F.col("source_table_name") == f"{topic}_datamodel").alias(f"n_{topic}")
+            for topic in ("flights", "airports", "airlines")
+        ]
+    )
+    return stored.join(sources, "RecordID").drop("RecordID")
+
+
+FLIGHT_CHAIN_SQL = f"""
+SELECT cast(o_orderdate AS date) AS "Flight_Date", 'Airline ' || substr(o_orderpriority, 3, 2) AS "Airline_Name",
+       c_name AS "Airport_Name", count(*) AS "Amount_Flights",
+       avg(CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey % 90 - 20 END) AS "Average_Delay",
+       avg(CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey % 30 END) AS "Average_Taxi",
+       max(CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey % 90 - 20 END) AS "Max_Delay",
+       date '{AS_OF.date()}' AS from_date, date '{OPEN_END}' AS to_date, count(*) AS n_flights,
+       count(DISTINCT c_custkey) AS n_airports, cast(1 AS bigint) AS n_airlines
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3
+"""
+
+
 QUERIES = {
+    "flight_chain": (flight_chain, FLIGHT_CHAIN_SQL),
     "zone_offsets": (zone_offsets, ZONE_OFFSETS_SQL),
     "flight_times": (flight_times, FLIGHT_TIMES_SQL),
     "departures": (departures, DEPARTURES_SQL),

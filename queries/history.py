@@ -45,6 +45,29 @@ FROM orders
 """
 
 
+def row_hash_nested(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashes of arrays, structs and maps, with nulls inside and out."""
+    priority = F.nullif(F.col("o_orderpriority"), F.lit("5-LOW"))
+    orders = load(spark, folder, "orders").select(
+        "o_orderkey",
+        F.array("o_orderstatus", priority).alias("tags"),
+        F.when(F.col("o_orderstatus") != "P", F.struct("o_custkey", priority.alias("p"))).alias("place"),
+        F.create_map(F.lit("status"), F.col("o_orderstatus"), F.lit("priority"), priority).alias("facts"),
+    )
+    return orders.select("o_orderkey", row_hash(orders, ["tags", "place", "facts"]).alias("row_hash"))
+
+
+def _sized(text: str) -> str:
+    return f"coalesce(length({text}) || ':' || ({text}), '-')"
+
+
+_PRIORITY, _STATUS = _sized("nullif(o_orderpriority, '5-LOW')"), _sized("o_orderstatus")
+_TAGS = _sized(f"'[' || {_STATUS} || {_PRIORITY} || ']'")
+_PLACE = _sized(f"CASE WHEN o_orderstatus <> 'P' THEN '(' || {_sized('cast(o_custkey AS varchar)')} || {_PRIORITY} || ')' END")
+_FACTS = _sized(f"'{{6:status' || {_STATUS} || '8:priority' || {_PRIORITY} || '}}'")
+ROW_HASH_NESTED_SQL = f"SELECT o_orderkey, sha256({_TAGS} || {_PLACE} || {_FACTS}) AS row_hash FROM orders"
+
+
 def row_hash_concat(spark: SparkSession, folder: str) -> DataFrame:
     orders = load(spark, folder, "orders").withColumn(
         "priority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW"))
@@ -142,6 +165,7 @@ def _history_sql(condition: str) -> str:
 
 QUERIES = {
     "row_hash_safe": (row_hash_safe, ROW_HASH_SAFE_SQL),
+    "row_hash_nested": (row_hash_nested, ROW_HASH_NESTED_SQL),
     "row_hash_concat": (row_hash_concat, ROW_HASH_CONCAT_SQL),
     "record_id": (record_id, RECORD_ID_SQL),
     **{f"scd2_{case}": (_merge_query(case), _merged_sql(case)) for case in CASES},

@@ -9,12 +9,14 @@ from layerloom.constants import FROM_DATE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.operators import lineage
 from layerloom.operators.history import add_record_id
 from layerloom.operators.relations import union_all
+from layerloom.operators.tracked import TrackedFrame
 from queries.common import (
     PROCESSING_DAY,
     cents,
     lineage_text,
     load,
     load_tracked,
+    source_counts,
     sql_hash,
     with_source_counts,
 )
@@ -238,6 +240,31 @@ JOIN ids ON o_custkey IS NOT DISTINCT FROM k
 """
 
 
+def lineage_map_import(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources handed over as a map of table to record ids, followed through a grouping."""
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    shared = F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.array(customer, customer, F.lit(None)))
+    known = F.map_from_arrays(
+        F.array(F.lit("orders_raw"), F.lit("customer_raw")), F.array(F.array(key), shared.cast("array<string>"))
+    )
+    sources = F.when(F.col("o_orderpriority") != "5-LOW", known)
+    handed = load(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", sources.alias("sources"))
+    frame = TrackedFrame.from_lineage_map(handed, "sources")
+    keys = ["o_orderstatus", "o_orderpriority"]
+    grouped = frame.group_by(keys, F.count(F.lit(1)).alias("n"))
+    counted = source_counts(grouped, keys, "orders", "customer")
+    return grouped.data.join(counted, keys, "left")
+
+
+LINEAGE_MAP_IMPORT_SQL = """
+SELECT o_orderstatus, o_orderpriority, count(*) AS n,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN count(DISTINCT o_orderkey) END AS n_orders,
+       CASE WHEN o_orderpriority <> '5-LOW' THEN
+         count(DISTINCT o_custkey) FILTER (o_orderstatus <> 'P') END AS n_customer
+FROM orders GROUP BY 1, 2
+"""
+
+
 def _graph(spark: SparkSession, folder: str) -> DataFrame:
     """Edges lineitem -> orders -> customer -> nation -> region."""
 
@@ -318,6 +345,7 @@ QUERIES = {
     "semi_join": (_join_query("semi"), _filter_join_sql("")),
     "anti_join": (_join_query("anti"), _filter_join_sql("NOT")),
     "lineage_edges": (lineage_edges, LINEAGE_EDGES_SQL),
+    "lineage_map_import": (lineage_map_import, LINEAGE_MAP_IMPORT_SQL),
     "lineage_trace": (lineage_trace, LINEAGE_TRACE_SQL),
     "lineage_trace_per_start": (lineage_trace_per_start, LINEAGE_TRACE_PER_START_SQL),
 }
