@@ -17,6 +17,7 @@ In shuffles a group is 16 bytes and a record id that is a SHA-256 in hexadecimal
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from layerloom.constants import FROM_DATE, LINEAGE, LINEAGE_TYPE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.functions.hashing import row_text
 from layerloom.operators.relations import union_all
+from layerloom.sources import storage
 
 SOURCE_TABLE = "source_table_name"
 SOURCE_ID = "source_RecordID"
@@ -38,6 +40,8 @@ EDGE_COLUMNS = (SOURCE_ID, SOURCE_TABLE, TARGET_ID, TARGET_TABLE)
 TARGET_DAY = "target_from"
 
 LINK = "(group)"
+#: Steps of a trace that are walked one by one; deeper ones are covered by jumps of 1, 2, 4, ... steps.
+PLAIN_STEPS = 8
 _tokens = itertools.count(1)
 
 
@@ -251,7 +255,8 @@ def trace(edges: DataFrame, starts: DataFrame, per_start: bool = False) -> DataF
 
     Each step joins the whole frontier with the edges. Its result is checkpointed: the loop has to
     know which tables it reached, and a lost executor must not cause all earlier steps to run again.
-    Only edges into those tables are read, which are single partitions of a stored edge table.
+    Only edges into those tables are read, which are single partitions of a stored edge table. After
+    ``PLAIN_STEPS`` steps the rest is covered by jumps, in as many rounds as the depth has binary digits.
     """
     spark = starts.sparkSession
     shared_folder(spark)
@@ -294,9 +299,75 @@ def trace(edges: DataFrame, starts: DataFrame, per_start: bool = False) -> DataF
         frontier = step.checkpoint()
         tables = _table_names(frontier)
         reached = reached.unionByName(frontier)
+        if tables and depth >= PLAIN_STEPS:
+            return reached.unionByName(_deeper(edges, frontier, start))
     return reached
 
 
+def _deeper(edges: DataFrame, frontier: DataFrame, start: Sequence[str]) -> DataFrame:
+    """What is reached from the records of a frontier, in the form of ``trace``.
+
+    With jumps of 2^k steps, records reached within 2^k - 1 steps give those within 2^(k+1) - 1, and two jumps make
+    one of twice the length. Jumps are kept in files until the next ones are there.
+    """
+    spark = frontier.sparkSession
+    folder = f"{shared_folder(spark)}/trace-{uuid.uuid4().hex}"
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    below = _tables_below(edges, _table_names(frontier))
+    links = edges.where(F.col(TARGET_TABLE).isin(below))
+    step = links.select(
+        F.col(TARGET_TABLE).alias("_table"),
+        _packed(F.col(TARGET_ID)).alias("_id"),
+        F.col(SOURCE_TABLE).alias("_to"),
+        _packed(F.col(SOURCE_ID)).alias("_to_id"),
+    ).distinct()
+    place = ["_table", "_id"]
+    records = F.col("table_name").alias("_table"), _packed(F.col(RECORD_ID)).alias("_id")
+    jumps = kept(step, "jumps-1")
+    reached = kept(frontier.select(*start, "depth", *records).distinct(), "reached-0")
+    length = 1
+    while True:
+        ahead = reached.join(jumps, place).select(
+            *start, (F.col("depth") + length).alias("depth"), F.col("_to").alias("_table"), F.col("_to_id").alias("_id")
+        )
+        ahead = kept(ahead.distinct(), f"reached-{length}")
+        if ahead.isEmpty():
+            break
+        reached = reached.unionByName(ahead)
+        # A way of this many steps without a cycle has one record more.
+        found = reached.select(*place).distinct().count()
+        if found <= length:
+            raise ValueError(f"The lineage of these records has a cycle of at most {found} steps")
+        second = jumps.select(*[F.col(c).alias(f"{c}2") for c in jumps.columns])
+        meet = (F.col("_to") == F.col("_table2")) & (F.col("_to_id") == F.col("_id2"))
+        doubled = jumps.join(second, meet).select(*place, F.col("_to2").alias("_to"), F.col("_to_id2").alias("_to_id"))
+        jumps = kept(doubled.distinct(), f"jumps-{2 * length}")
+        storage.delete(spark, f"{folder}/jumps-{length}")
+        length *= 2
+    storage.delete(spark, f"{folder}/jumps-{length}")
+    return reached.join(step, place).select(
+        *start,
+        (F.col("depth") + 1).alias("depth"),
+        F.col("_to").alias("table_name"),
+        _unpacked(F.col("_to_id")).alias(RECORD_ID),
+        F.col("_table").alias("parent_table_name"),
+        _unpacked(F.col("_id")).alias("parent_RecordID"),
+    )
+
+
+def _tables_below(edges: DataFrame, tables: list[str]) -> list[str]:
+    """The tables and all tables their records can come from; the catalog bounds the pairs."""
+    pairs = [tuple(r) for r in edges.select(TARGET_TABLE, SOURCE_TABLE).distinct().collect()]
+    found = set(tables)
+    while more := {source for target, source in pairs if target in found} - found:
+        found |= more
+    return sorted(found)
+
+
 def _table_names(records: DataFrame) -> list[str]:
     """The tables the records belong to; there are no more than the catalog holds."""
     return [row[0] for row in records.select("table_name").distinct().collect()]

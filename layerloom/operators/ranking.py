@@ -7,7 +7,8 @@ inside a range is a run. A row knows its rank within its run; what comes before
 the whole group, follow from sums over the runs, of which there are no more than groups and ranges
 together.
 
-Both the ranks and the runs read one shuffle of the rows; Spark finds the cuts when it runs.
+Both the ranks and the runs read one shuffle of the rows, which Spark reuses; it finds the cuts when it
+runs.
 """
 
 from __future__ import annotations
@@ -99,9 +100,9 @@ def with_dense_rank(
     if not by:
         offsets = F.broadcast(offsets)  # one run for each range
     same = [F.col(c) == F.col(f"{c}_of") for c in RUN]
-    return ranked.join(offsets, same).select(
-        *df.columns,
-        (F.col("_local") + F.col("_offset")).alias("dense_rank"),
-        "distinct_count",
-        "row_count",
+    # Cuts made twice may differ, and a row would belong to no run then: an error, never a lost row.
+    unknown = F.raise_error(F.lit("Ranks need spark.sql.exchange.reuse: rows and runs must share one shuffle"))
+    offset = F.when(F.col("_offset").isNull(), unknown.cast("bigint")).otherwise(F.col("_offset"))
+    return ranked.join(offsets, same, "left").select(
+        *df.columns, (F.col("_local") + offset).alias("dense_rank"), "distinct_count", "row_count"
     )

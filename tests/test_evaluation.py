@@ -285,3 +285,37 @@ def test_nested_values_hash_by_their_content(spark):
     assert hashed("struct(null AS x)") != hashed("cast(null AS struct<x: string>)")
     assert hashed("array(-0.0D)") == hashed("array(0.0D)")
     assert hashed("X'0102'") != hashed("X'0103'")
+
+
+# -- traces ---------------------------------------------------------------------------------------
+
+
+EDGE = "source_table_name string, source_RecordID string, target_table_name string, target_RecordID string"
+
+
+@pytest.mark.parametrize("per_start", [False, True])
+def test_jumps_find_what_steps_find(spark, monkeypatch, per_start):
+    # Ways of several lengths between the same records, and tables that nothing leads to.
+    pairs = {(i * 7 % 5 + j, i + j) for i in range(3, 30) for j in range(2) if i * 7 % 5 + j < i + j}
+    data = [(f"t{a % 3}", str(a), f"t{b % 3}", str(b)) for a, b in sorted(pairs)] + [("x", "1", "y", "2")]
+    edges = spark.createDataFrame(data, EDGE)
+    starts = spark.createDataFrame([("t1", "28"), ("t2", "29"), ("t0", "0")], "table_name string, RecordID string")
+    monkeypatch.setattr(lineage, "PLAIN_STEPS", 1000)
+    expected = rows(lineage.trace(edges, starts, per_start))
+    monkeypatch.setattr(lineage, "PLAIN_STEPS", 1)
+    assert rows(lineage.trace(edges, starts, per_start)) == expected
+    assert len({r.depth for r in lineage.trace(edges, starts).select("depth").collect()}) > 2
+
+
+def test_a_chain_of_a_thousand_steps_takes_few_rounds(spark, monkeypatch):
+    chain = [("a", str(i), "a", str(i + 1)) for i in range(1000)]
+    edges = spark.createDataFrame(chain, EDGE)
+    starts = spark.createDataFrame([("a", "1000")], "table_name string, RecordID string")
+    deleted, delete = [], storage.delete
+    monkeypatch.setattr(storage, "delete", lambda spark, path: (deleted.append(path), delete(spark, path)))
+    found = lineage.trace(edges, starts)
+    assert rows(found, "depth", "RecordID") == [(i, str(1000 - i)) for i in range(1001)]
+    assert len(deleted) == 11 and not any(storage.exists(spark, path) for path in deleted)
+    loop = edges.unionByName(spark.createDataFrame([("a", "1000", "a", "0")], EDGE))
+    with pytest.raises(ValueError, match="cycle"):
+        lineage.trace(loop, starts)
