@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +15,23 @@ from layerloom.constants import LINEAGE, RECORD_ID
 from layerloom.operators import lineage
 from layerloom.operators.relations import null_safe_join
 from layerloom.operators.tracked import TrackedFrame
+from layerloom.sources import storage
 
 PROCESSING_DAY = dt.date(2026, 1, 15)
 
 
+def own_folder(spark: SparkSession) -> str:
+    """A folder for the tables of one query, among those of the run; removed when the process ends."""
+    folder = f"{lineage.shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+    def remove() -> None:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            storage.delete(spark, folder)
+
+    atexit.register(remove)
+    return folder
+
+
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom import Workspace
 from layerloom.constants import LINEAGE, OPEN_END
-from layerloom.operators.lineage import shared_folder
 from layerloom.operators.tracked import TrackedFrame
 from layerloom.operators.writing import stored_edges
 from layerloom.plans import flights
-from queries.common import load, load_tracked, tracked, with_source_counts
+from queries.common import load, load_tracked, own_folder, tracked, with_source_counts
 
 ZONES = ["America/New_York", "Europe/Amsterdam", "Asia/Kolkata", "UTC", "America/Los_Angeles"]
 AS_OF = dt.datetime(2024, 7, 1, 12, 0)
@@ -190,7 +188,7 @@ FROM m GROUP BY 1, 2, 3
 
 def flight_chain(spark: SparkSession, folder: str) -> DataFrame:
     """Landing files to the enriched table through every job, each table written, checked and read again."""
-    space = Workspace(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", processing_date=AS_OF.date())
+    space = Workspace(spark, own_folder(spark), processing_date=AS_OF.date())
     customers, orders = load(spark, folder, "customer"), load(spark, folder, "orders")
     code = F.col("c_custkey").cast("string")
     airline = F.substring("o_orderpriority", 3, 2)

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.catalog import struct_of
-from layerloom.operators.lineage import shared_folder
 from layerloom.sources import readers
-from queries.common import load
+from queries.common import load, own_folder
 
 SCHEMA = "long o_orderkey\nstring note\ndouble o_totalprice"
 
@@ -26,7 +23,7 @@ def _notes(spark: SparkSession, folder: str, breaks: bool) -> DataFrame:
 
 def _csv_query(dialect: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+        path = f"{own_folder(spark)}/{dialect}"
         notes = _notes(spark, folder, breaks=dialect == "multiline")
         notes.write.option("header", True).options(**readers.CSV_DIALECTS[dialect]).csv(path)
         return readers.null_tokens(readers.read_csv(spark, path, struct_of(SCHEMA), dialect))

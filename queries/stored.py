@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +11,8 @@ from layerloom import TableCatalog, TableDef, Workspace
 from layerloom.catalog import struct_of, with_history
 from layerloom.constants import OPEN_END
 from layerloom.operators import writing
-from layerloom.operators.lineage import shared_folder
 from layerloom.operators.quality import FILLED_TEXT
-from queries.common import load, sql_hash
+from queries.common import load, own_folder, sql_hash
 
 DAY1, DAY2 = dt.date(2026, 1, 15), dt.date(2026, 1, 16)
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_priority"]
@@ -42,8 +40,7 @@ TABLES = (
 
 def _workspace(spark: SparkSession, folder: str) -> Workspace:
     """A workspace of its own with orders of two days, customers and a joined table."""
-    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
-    space = Workspace(spark, root, catalog=TableCatalog.default().register(*TABLES))
+    space = Workspace(spark, own_folder(spark), catalog=TableCatalog.default().register(*TABLES))
     orders = load(spark, folder, "orders").withColumn(
         "o_priority", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW"))
     )
@@ -82,8 +79,7 @@ def stored_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_self_update(spark: SparkSession, folder: str) -> DataFrame:
     """Edges of a grouped table that is written back to itself, into files that replace its own source."""
-    root = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
-    space = Workspace(spark, root, catalog=TableCatalog.default().register(*TABLES))
+    space = Workspace(spark, own_folder(spark), catalog=TableCatalog.default().register(*TABLES))
     customers = load(spark, folder, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
     space.on(DAY1).frame("customers_raw", customers).write()
     counted = space.on(DAY1).read("customers_raw").group_by(["segment"], F.count(F.lit(1)).alias("n"))
