@@ -130,7 +130,8 @@ def _group_key(df: DataFrame, keys: Sequence[str], token: str) -> Column:
 def _packed(record_id: Column) -> Column:
     """A record id in bytes, half as many for a SHA-256; the first byte says which."""
     plain = F.concat(F.lit(b"\0"), F.encode(record_id, "UTF-8"))
-    return F.when(record_id.rlike("^[0-9a-f]{64}$"), F.concat(F.lit(b"\1"), F.unhex(record_id))).otherwise(plain)
+    hashed = (F.length(record_id) == 64) & record_id.rlike("^[0-9a-f]{64}$")
+    return F.when(hashed, F.concat(F.lit(b"\1"), F.unhex(record_id))).otherwise(plain)
 
 
 def _unpacked(packed: Column) -> Column:
