@@ -267,8 +267,15 @@ ORACLE_SQL = {
                    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
             FROM documents
         ), h AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
-        e AS (
-            SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 4 = 0 AS ends FROM h
+        o AS (
+            SELECT *, (h + 31 * coalesce(lag(h) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0)) % 1000003 AS r,
+                   count(*) OVER (PARTITION BY doc_id) AS n_lines
+            FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+        ), e AS (
+            SELECT *, i = n_lines OR i BETWEEN 2 AND n_lines - 2
+                   AND r < lag(r) OVER (PARTITION BY doc_id ORDER BY i)
+                   AND r < lead(r) OVER (PARTITION BY doc_id ORDER BY i) AS ends
+            FROM o
         ), n AS (
             SELECT *, coalesce(sum(CAST(ends AS INTEGER)) OVER (
                 PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
@@ -277,7 +284,7 @@ ORACLE_SQL = {
             SELECT doc_id, place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk
             FROM n GROUP BY doc_id, place
         ), r AS (
-            SELECT doc_id, place, n > 1 AND trim(chunk) <> ''
+            SELECT doc_id, place, n > 1 AND regexp_matches(chunk, '[^\x20\x09-\x0D]')
                    AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS gone
             FROM c
         )

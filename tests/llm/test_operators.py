@@ -406,14 +406,15 @@ def test_repeated_calls_and_results_do_not_multiply(spark):
 # Line chunks
 
 
-def slow_chunks(text: str, mean: int = 4) -> list[tuple[int, list[str]]]:
-    lines, out, start, before = text.split("\n"), [], 0, 0
-    for i, line in enumerate(lines):
-        h = int(hashlib.md5(line.encode()).hexdigest()[:7], 16)
-        if (h + 31 * before) % mean == 0 or i == len(lines) - 1:
+def slow_chunks(text: str) -> list[tuple[int, list[str]]]:
+    lines, out, start = text.split("\n"), [], 0
+    h = [0, 0] + [int(hashlib.md5(line.encode()).hexdigest()[:7], 16) for line in lines]
+    rolled = [(h[i + 2] + 31 * h[i + 1] + 961 * h[i]) % 1000003 for i in range(len(lines))]
+    for i in range(len(lines)):
+        inside = 1 <= i <= len(lines) - 3
+        if i == len(lines) - 1 or inside and rolled[i] < min(rolled[i - 1], rolled[i + 1]):
             out.append((start, lines[start : i + 1]))
             start = i + 1
-        before = h
     return out
 
 
@@ -429,7 +430,7 @@ def test_repeated_line_chunks_go(spark, docs, nothing):
         kept, gone = [], 0
         for _, lines in slow_chunks(as_text(t)):
             chunk = "\n".join(lines)
-            if len(lines) > 1 and chunk.strip(" ") and chunk in seen:
+            if len(lines) > 1 and chunk.strip(" \t\n\v\f\r") and chunk in seen:
                 gone += len(lines)
             else:
                 kept += lines
@@ -443,6 +444,32 @@ def test_repeated_line_chunks_go(spark, docs, nothing):
     assert line_chunks.drop_repeated_chunks(nothing).count() == 0
 
 
+def test_copies_of_several_lines_leave_nothing_and_moved_passages_little(spark):
+    rng = random.Random(5)
+    line = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(1, 9) for _ in range(6))
+    texts = ["\n".join(line() for _ in range(n)) for n in range(2, 60)]
+    texts += ["same\n" * 40 + "end", "\n\n\nthree above\n\n\n", "\n\n \t\n"]
+    passage = "\n".join(line() for _ in range(200))
+    moved = [f"{line()}\n" * k + passage + f"\n{line()}" * (k % 3) for k in range(8)]
+    rows = list(enumerate([*texts, *texts, *moved]))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: r for r in line_chunks.drop_repeated_chunks(frame).collect()}
+    for i, text in enumerate(texts):
+        assert found[i].text == text or "same" in text
+        blank = not text.strip()
+        assert found[len(texts) + i].text.strip() == "" and (found[len(texts) + i].n_removed == 0) == blank
+    for k in range(1, 8):
+        assert found[2 * len(texts) + k].n_removed >= 188
+
+
+def test_a_text_of_very_many_lines_is_one_row(spark):
+    text = "\n".join(f"line {i % 99_991}" for i in range(300_000))
+    frame = spark.createDataFrame([(1, text), (2, text), (2, None), (None, "")], "doc_id bigint, text string")
+    found = line_chunks.drop_repeated_chunks(frame.withColumn("chunk", F.lit(1))).collect()
+    gone = sorted(r.n_removed for r in found if r.n_lines > 1)
+    assert len(found) == 4 and 199_000 < gone[0] < 300_000 and gone[1] == 300_000
+
+
 # Shared byte strings
 
 
