@@ -19,15 +19,15 @@ from pyspark.sql import functions as F
 
 from layerloom.llm.byte_pairs import PieceTable
 from layerloom.llm.character_model import Decoder, count_characters
-from layerloom.llm.scratch import Scratch
+from layerloom.llm.scratch import Scratch, free_name
 
-#: Evidence must occur in this share of the labelled toxic texts. A text has a bounded number of different
-#: words on average, so this bounds the table of evidence whatever the corpus.
-MIN_SHARE = 0.004
-
-#: And of the texts that have it, at least this share must be toxic.
+#: Of the texts that have a feature, drawn to the overall share as by ``PRIOR_TEXTS`` texts more, at least this share must be
+#: toxic for it to be evidence, whatever the size of the corpus.
 MIN_CHANCE = 0.6
 
+#: Features up to which they are sent to all tasks; beyond, texts and features meet in a join.
+SENT_FEATURES = 200_000
+
 #: Chance of a text without evidence.
 REST = 0.01
 
@@ -37,6 +37,9 @@ PRIOR_TEXTS = 5
 #: Word beginnings that count beside whole words.
 BEGINNINGS = (4, 5, 6)
 
+#: Parts of the rows with the same feature in that join: common words are in nearly all texts.
+SALTS = 32
+
 #: Different features that a task holds before it passes their counts on.
 HELD_FEATURES = 500_000
 
@@ -97,8 +100,8 @@ def _counted(counts: np.ndarray, kept: frozenset[str] | None):
     return run
 
 
-def _surrounded(counts: np.ndarray, kept: frozenset[str]):
-    """Each feature of ``kept`` with a hash of the two words around it, once per task at least."""
+def _surrounded(counts: np.ndarray, kept: frozenset[str] | None):
+    """Each feature, of ``kept`` ones if given, with a hash of the two words around it, once per task at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, found = _Reader(counts), set()
@@ -114,7 +117,8 @@ def _surrounded(counts: np.ndarray, kept: frozenset[str]):
             for text in batch.column("text"):
                 words = ["", *reader.restored(text.as_py()), ""]
                 for before, word, after in zip(words, words[1:], words[2:], strict=False):
-                    own = {word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) >= n)} & kept
+                    own = {word, *(f"{word[:n]}-" for n in BEGINNINGS if len(word) >= n)} - {""}
+                    own = own if kept is None else own & kept
                     if own:
                         around = zlib.crc32(f"{before} {after}".encode())
                         found.update((f, around) for f in own)
@@ -126,26 +130,31 @@ def _surrounded(counts: np.ndarray, kept: frozenset[str]):
     return run
 
 
-def _explained(
-    feature: str, found: dict[str, float], toxic: dict[str, int], clean: dict[str, int]
-) -> bool:
-    """Whether a longer beginning or word is in nearly all of a beginning's toxic texts and fewer clean ones."""
-    if not feature.endswith("-"):
-        return False
-    return any(
-        f.startswith(feature[:-1])
-        and len(f.rstrip("-")) > len(feature) - 1
-        and toxic[f] >= 0.9 * toxic[feature]
-        and clean.get(f, 0) < clean.get(feature, 0)
-        for f in found
+def _unexplained(found: DataFrame) -> DataFrame:
+    """Without the beginnings of which a longer beginning or word is in nearly all toxic texts and fewer clean ones."""
+    stem = F.regexp_replace("feature", "-$", "")
+    shorter = F.filter(F.array(*map(F.lit, BEGINNINGS)), lambda n: n < F.length(stem))
+    longer = found.select(
+        F.explode(F.transform(shorter, lambda n: F.concat(F.substring(stem, 1, n), F.lit("-")))).alias("feature"),
+        F.col("n").alias("longer_n"),
+        F.col("n_clean").alias("longer_clean"),
     )
+    explained = (
+        found.join(longer, "feature").where("longer_n >= 0.9 * n AND longer_clean < n_clean").select("feature")
+    )
+    return found.join(explained, "feature", "left_anti")
 
 
 class ToxicityModel:
-    """Character counts, the chance behind each piece of evidence, and the chance without any."""
+    """Character counts, the chance behind each piece of evidence, and the chance without any.
+
+    ``table`` is (feature, chance); ``evidence`` holds its rows if they are few, else None.
+    """
 
-    def __init__(self, counts: np.ndarray, evidence: dict[str, float], rest: float):
-        self.counts, self.evidence, self.rest = counts, evidence, rest
+    def __init__(
+        self, counts: np.ndarray, evidence: dict[str, float] | None, rest: float, table: DataFrame | None = None
+    ):
+        self.counts, self.evidence, self.rest, self.table = counts, evidence, rest, table
 
     def scores(self, texts: Iterable[str], reader: _Reader) -> list[float]:
         """Noisy-or over the evidence of each text."""
@@ -175,9 +184,13 @@ def train(
     taught: Column | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
+    sent_features: int = SENT_FEATURES,
 ) -> ToxicityModel:
     """Characters from all texts; evidence from labelled texts whose rows fulfil ``taught``.
 
+    Evidence are the features that so many toxic and so few clean texts have that their chance is ``MIN_CHANCE`` or more. How
+    many there are grows with the corpus; up to ``sent_features`` are sent to all tasks, which changes no result.
+
     Labels are (id, toxic); rows with a null in either teach nothing, and of several labels of an id the
     larger counts. Without a toxic label there is no evidence and every score is 0.
     """
@@ -204,39 +217,64 @@ def train(
         found = rows.select("text").mapInArrow(_counted(counts, kept), "feature string, n bigint")
         return found.groupBy("feature").agg(F.sum("n").alias("n"))
 
-    least = max(3, MIN_SHARE * n_toxic)
-    often = feature_counts(labelled.where("toxic != 0"), None).where(F.col("n") >= least)
-    toxic = {r["feature"]: r["n"] for r in often.collect()}
-    clean = {
-        r["feature"]: r["n"]
-        for r in feature_counts(labelled.where("toxic = 0"), frozenset(toxic)).collect()
-    }
     share = n_toxic / (n_toxic + n_clean)
 
-    def chance(n: int, n_clean: int) -> float:
+    def chance(n: Column, clean: Column) -> Column:
         """Chance that a text with the feature is toxic, drawn to the overall share as by a few texts."""
-        return (n + share * PRIOR_TEXTS) / (n + n_clean + PRIOR_TEXTS)
-
-    likely = frozenset(f for f, n in toxic.items() if chance(n, clean.get(f, 0)) >= MIN_CHANCE)
+        return (n + share * PRIOR_TEXTS) / (n + clean + PRIOR_TEXTS)
+
+    def sent(features: DataFrame) -> frozenset[str] | None:
+        """The features, or None if they are too many to be sent."""
+        if features.count() > sent_features:
+            return None
+        return frozenset(r["feature"] for r in features.select("feature").collect())
+
+    n, clean = F.col("n"), F.coalesce("n_clean", F.lit(0))
+    # What is too rare even if no clean text had it never counts.
+    often = scratch.write(
+        feature_counts(labelled.where("toxic != 0"), None).where(chance(n, F.lit(0)) >= MIN_CHANCE)
+    )
+    of_clean = feature_counts(labelled.where("toxic = 0"), sent(often)).withColumnRenamed("n", "n_clean")
+    likely = scratch.write(
+        often.join(of_clean, "feature", "left")
+        .select("feature", "n", clean.alias("n_clean"))
+        .where(chance(n, clean) >= MIN_CHANCE)
+    )
     # Words of a text that was copied often meet toxic texts only, yet always between the same words.
     # So toxic texts count by their different surroundings.
     around = labelled.where("toxic != 0").select("text").mapInArrow(
-        _surrounded(counts, likely), "feature string, around bigint"
+        _surrounded(counts, sent(likely)), "feature string, around bigint"
     )
-    places = {
-        r["feature"]: r["n"]
-        for r in around.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    scratch.drop(labelled)
-    found = {
-        f: chance(min(toxic[f], places[f]), clean.get(f, 0)) for f in sorted(likely) if f in places
-    }
-    evidence = {
-        f: min(c, 0.999)
-        for f, c in found.items()
-        if c >= MIN_CHANCE and not _explained(f, found, toxic, clean)
-    }
-    return ToxicityModel(counts, evidence, REST)
+    places = around.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("places"))
+    found = scratch.write(
+        likely.join(places, "feature")
+        .withColumn("chance", F.least(chance(F.least("n", "places"), clean), F.lit(0.999)))
+        .where(F.col("chance") >= MIN_CHANCE)
+    )
+    table = scratch.write(_unexplained(found).select("feature", "chance"))
+    scratch.drop(labelled, often, likely, found)
+    few = table.count() <= sent_features
+    evidence = {r["feature"]: r["chance"] for r in table.orderBy("feature").collect()} if few else None
+    return ToxicityModel(counts, evidence, REST, table)
+
+
+def _joined_scores(rows: DataFrame, model: ToxicityModel) -> DataFrame:
+    """(row_id, score) of the rows (row_id, text) that have evidence, by a join with the table of evidence."""
+    counts = model.counts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = _Reader(counts)
+        for batch in batches:
+            for row, text in zip(batch.column("row_id"), batch.column("text"), strict=True):
+                found = pa.array(reader.features(text.as_py()), pa.string())
+                own = pa.array([row.as_py()] * len(found), pa.int64())
+                yield pa.RecordBatch.from_arrays([own, found], names=["row_id", "feature"])
+
+    salted = rows.mapInArrow(run, "row_id bigint, feature string").withColumn("salt", F.pmod("row_id", F.lit(SALTS)))
+    table = model.table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    met = salted.join(table, ["feature", "salt"])
+    clean = (1 - model.rest) * F.exp(F.sum(F.log(1 - F.col("chance"))))
+    return met.groupBy("row_id").agg((1 - clean).alias("score"))
 
 
 def score(
@@ -247,9 +285,17 @@ def score(
     A null text counts as empty and, like any text without evidence, gets the chance without any. Ids may be
     null or repeat; other columns are ignored, whatever their names. An empty table gives no rows.
     """
+    if model.evidence is None:
+        taken = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
+        rows = Scratch(docs.sparkSession).numbered(taken, "row_id", None)
+        scored = rows.join(_joined_scores(rows.select("row_id", "text"), model), "row_id", "left")
+        found = F.coalesce("score", F.lit(model.rest))
+        return scored.select("doc_id", found.alias("score"), (found >= 0.5).cast("int").alias("predicted"))
+
+    counts, rest, evidence = model.counts, model.rest, model.evidence
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(model.counts)
+        reader, model = _Reader(counts), ToxicityModel(counts, evidence, rest)
         for batch in batches:
             found = model.scores((t.as_py() for t in batch.column("text")), reader)
             yield pa.RecordBatch.from_arrays(
@@ -269,10 +315,21 @@ def score(
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
+    """The rows of ``docs`` that are not predicted toxic, with all their columns.
+
+    Rows are judged as by ``score``: null and empty texts stay, and repeated rows stay or go together. An empty table gives
+    no rows.
+    """
+    counts, rest, evidence = model.counts, model.rest, model.evidence
+    if evidence is None:
+        row = free_name(docs)
+        rows = Scratch(docs.sparkSession).numbered(docs, row, None)
+        texts = rows.select(F.col(row).alias("row_id"), F.coalesce(text_column, F.lit("")).alias("text"))
+        gone = _joined_scores(texts, model).where("score >= 0.5").select(F.col("row_id").alias(row))
+        return rows.join(gone, row, "left_anti").drop(row)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(model.counts)
+        reader, model = _Reader(counts), ToxicityModel(counts, evidence, rest)
         for batch in batches:
             texts = (t.as_py() or "" for t in batch.column(place))
             clean = [s < 0.5 for s in model.scores(texts, reader)]

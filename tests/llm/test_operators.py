@@ -598,3 +598,33 @@ def test_copied_toxic_texts_teach_only_once(spark):
     model = toxicity.train(spark.createDataFrame(rows, "doc_id bigint, text string"), labels)
     assert "grumbold" in model.evidence
     assert not any(word in model.evidence for word in copied.split())
+
+
+def test_few_texts_of_many_teach_and_a_join_scores_as_sent_evidence_does(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=9))
+    plain = [word() for _ in range(400)]
+    rows, labels = [], []
+    for i in range(6000):
+        own = rng.choices(plain, k=12) + ([word(), "zzvile", word()] if i < 2400 else [])
+        if 2400 <= i < 2408:
+            own += [word(), "rarecurse", word()]
+        if i == 5999:
+            own += ["rarecurse"] * 3
+        rng.shuffle(own)
+        rows.append((i, " ".join(own)))
+        if i < 5500:
+            labels.append((i, int(i < 2408)))
+    rows += [(6000, None), (6000, ""), (None, "a r-a-r-e-c-u-r-s-e here")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("feature", F.lit(1)).repartition(4)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    sent, joined = toxicity.train(frame, known), toxicity.train(frame, known, sent_features=0)
+    assert joined.evidence is None and {"rarecurse", "zzvile"} <= set(sent.evidence)
+    results = [
+        sorted((str(r.doc_id), round(r.score, 9), r.predicted) for r in toxicity.score(frame, m).collect())
+        for m in (sent, joined)
+    ]
+    assert results[0] == results[1]
+    assert ("5999", 1) in {(i, p) for i, _, p in results[0]}
+    kept = [sorted(map(repr, toxicity.drop_toxic(frame, m).collect())) for m in (sent, joined)]
+    assert kept[0] == kept[1] and 3500 < len(kept[0]) < 3600
