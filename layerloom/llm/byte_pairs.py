@@ -14,6 +14,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from functools import lru_cache
+from struct import pack
 
 from tokenizers import Tokenizer
 
@@ -90,6 +92,40 @@ def _byte_values() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class TextEncoder:
+    """Token ids of whole texts: each piece that a table does not hold goes to the library's model."""
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+        self.splitter = Splitter(self.tokenizer)
+        self.special = {s: pack("<I", i) for s, i in self.splitter.special.items()}
+        self.signs = {b: c for c, b in _byte_values().items()}
+        self.model = self.tokenizer.model
+        self.table = PieceTable(self._ids)
+
+    def _ids(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isprintable():
+            signs = piece.replace(" ", self.signs[32])
+        else:
+            signs = "".join([self.signs[b] for b in piece.encode()])
+        tokens = self.model.tokenize(signs)
+        return pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+
+    def encode(self, text: str) -> bytes:
+        """The ids as unsigned little-endian 32-bit integers, without added special tokens."""
+        get = self.table.__getitem__
+        return b"".join(
+            self.special[s] if i % 2 else b"".join(map(get, self.splitter.pieces(s)))
+            for i, s in enumerate(self.splitter.segments(text))
+        )
+
+
+@lru_cache(maxsize=2)
+def text_encoder(path: str) -> TextEncoder:
+    """One encoder for all tasks of a Python worker, so that they share its pieces."""
+    return TextEncoder(path)
+
+
 class PrefixCounter:
     """Exact token counts at the prefixes of a text, under the vocabulary of ``path``."""
 

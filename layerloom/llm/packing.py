@@ -25,9 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
 
-from layerloom.llm.byte_pairs import PieceTable, Splitter
+from layerloom.llm.byte_pairs import text_encoder
 from layerloom.llm.scratch import Scratch
 
 CAPACITY = 2048
@@ -227,25 +226,13 @@ def _cut(tokenizer_path: str, capacity: int, end_id: int):
     """Pieces of each text with a number among the task's pieces of the same length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer.from_file(tokenizer_path)
-        splitter, part = Splitter(tokenizer), TaskContext.get().partitionId()
-
-        def encode(piece: str) -> bytes:
-            ids = tokenizer.encode(piece, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
-
-        get = PieceTable(encode).__getitem__
-        special = {s: np.array([i], dtype="<u4").tobytes() for s, i in splitter.special.items()}
+        encoder, part = text_encoder(tokenizer_path), TaskContext.get().partitionId()
         end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         seen: Counter = Counter()
         for batch in batches:
             rows: list[tuple] = []
             for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                data = b"".join(
-                    special[s] if i % 2 else b"".join(map(get, splitter.pieces(s)))
-                    for i, s in enumerate(splitter.segments(text.as_py()))
-                )
-                data += end
+                data = encoder.encode(text.as_py()) + end
                 # The first piece takes the remainder, so all others are full.
                 first = len(data) % width or width
                 starts = [0, *range(first, len(data), width)]
