@@ -38,7 +38,7 @@ from layerloom.llm.scratch import Scratch
 LENGTH, ANCHOR = 50, 24
 
 #: Anchors of one block of a task, and anchors per hash range on average.
-BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 20, 500_000
+BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 17, 500_000
 
 #: Contexts of one transform, and the most that may differ around one anchor for it.
 BATCH_CONTEXTS, MOST_CONTEXTS = 20_000, 20_000
