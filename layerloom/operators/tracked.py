@@ -219,10 +219,19 @@ class TrackedFrame:
         grouped = (
             self.df.groupBy(*keys).agg(*aggregates) if aggregates else self.df.select(*keys).distinct()
         )
-        rows = members or self
-        if not rows.is_tracked:
+        return self.grouped_as(grouped, keys, members or self, each)
+
+    def grouped_as(
+        self,
+        grouped: DataFrame,
+        columns: Sequence[str],
+        members: TrackedFrame,
+        each: Mapping[str, Sequence[str]] | None = None,
+    ) -> TrackedFrame:
+        """Groups that were computed already, one row for each value of the columns, with the sources of ``group_by``."""
+        if not members.is_tracked:
             return self.with_df(grouped)
-        linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin, each)
+        linked, origin = lineage.link_groups(members.df, grouped, columns, members.origin, each)
         return replace(self, df=linked, origin=origin)
 
     def average(self, columns: Sequence[str], value: str, output: str | None = None) -> TrackedFrame:

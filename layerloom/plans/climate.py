@@ -268,19 +268,27 @@ def upstream_profile(
     Here a rank is relative to the highest rank of its group in all six benchmarks.
     """
     groups = benchmarks(isic, sector, unit, INPUT_PREFIX)
-    narrow = upstream.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
+    formed = list(dict.fromkeys([co2, isic, sector, unit]))
+    narrow = upstream.select(*dict.fromkeys([activity_id, *formed]))
     ledger = mapping.select(ledger_id, activity_id)
     # Ranks do without lineage: every input is in all six benchmarks, so a ledger entry has the same sources in each.
-    repeated, by = per_benchmark(narrow.data, groups, [activity_id, co2])
+    # They depend on values alone, so inputs of the same values are ranked once, and rows are not repeated.
+    repeated, by = per_benchmark(narrow.data.select(*formed).distinct(), groups, formed)
     share = F.col("dense_rank") / F.col("distinct_count")
-    ranked = with_dense_rank(repeated, by, co2).select(
-        activity_id, _label(groups).alias("benchmark_group"), co2, share.alias("profile_ranking")
+    shares = with_dense_rank(repeated, by, co2).groupBy(*formed).agg(
+        *[F.max(F.when(F.col("_benchmark") == i, share)).alias(f"_share{i}") for i in range(len(groups))]
     )
-    scored = ledger.with_df(ledger.data.join(ranked, activity_id))
-    averages = scored.group_by(
+    scored = null_safe_join(ledger.data.join(narrow.data, activity_id), shares, formed)
+    means = scored.groupBy(ledger_id).agg(
+        *[F.avg(f"_share{i}").alias(f"_share{i}") for i in range(len(groups))], F.avg(co2).alias(f"average_{co2}")
+    )
+    of_benchmark = [
+        F.struct(F.lit(label).alias("benchmark_group"), F.col(f"_share{i}").alias("average_input_profile_rank"))
+        for i, label in enumerate(groups)
+    ]
+    averages = ledger.grouped_as(
+        means.select(ledger_id, F.inline(F.array(*of_benchmark)), f"average_{co2}"),
         [ledger_id, "benchmark_group"],
-        F.avg("profile_ranking").alias("average_input_profile_rank"),
-        F.avg(co2).alias(f"average_{co2}"),
         members=ledger.join(narrow.select(activity_id), on=activity_id, how="inner"),
         each={"benchmark_group": list(groups)},
     )
