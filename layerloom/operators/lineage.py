@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from layerloom.constants import FROM_DATE, LINEAGE, LINEAGE_TYPE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.functions.hashing import row_text
 from layerloom.operators.relations import union_all
+from layerloom.session import cut_finely
 from layerloom.sources import storage
 
 SOURCE_TABLE = "source_table_name"
@@ -147,6 +148,7 @@ def link_groups(
     each: Mapping[str, Sequence[str]] | None = None,
 ) -> tuple[DataFrame, Sources]:
     """Give the grouped rows their link entry and describe the members of the groups."""
+    cut_finely(df.sparkSession)
     token = f"{next(_tokens)}:"
     known = tuple(k for k in keys if k in df.columns)
     spread = tuple((k, tuple(values)) for k, values in (each or {}).items())

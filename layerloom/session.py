@@ -20,3 +20,17 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
     return builder
+
+
+#: Into how many pieces a shuffle is cut before Spark puts small ones together.
+PIECES, SHUFFLE_PIECES = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", 1000
+
+
+def cut_finely(spark: SparkSession) -> None:
+    """Let what a task holds follow the measured size of a shuffle, not the number of shuffle partitions.
+
+    Adaptive execution joins small pieces up to its advisory size, but cuts none of a join or an aggregation, so with
+    few partitions a task's share grows with the input. A number that was set already stays.
+    """
+    if spark.conf.get(PIECES, None) is None:
+        spark.conf.set(PIECES, str(max(SHUFFLE_PIECES, int(spark.conf.get("spark.sql.shuffle.partitions")))))

@@ -16,6 +16,7 @@ from layerloom.catalog import struct_of, with_history
 from layerloom.functions.hashing import row_hash
 from layerloom.operators import lineage, quality, ranking, writing
 from layerloom.operators.history import merge_history
+from layerloom.session import PIECES, SHUFFLE_PIECES
 from layerloom.sources import storage
 from tests.conftest import rows
 
@@ -319,3 +320,24 @@ def test_a_chain_of_a_thousand_steps_takes_few_rounds(spark, monkeypatch):
     loop = edges.unionByName(spark.createDataFrame([("a", "1000", "a", "0")], EDGE))
     with pytest.raises(ValueError, match="cycle"):
         lineage.trace(loop, starts)
+
+
+@pytest.fixture
+def own_number(spark):
+    """The session as it is before anything cut its shuffles, with few shuffle partitions."""
+    before = spark.conf.get(PIECES, None)
+    spark.conf.unset(PIECES)
+    yield spark
+    spark.conf.set(PIECES, before) if before else spark.conf.unset(PIECES)
+
+
+def _cuts(df, capsys) -> set[int]:
+    df.explain()
+    return {int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\)", capsys.readouterr().out)}
+
+
+def test_edges_of_groups_are_shuffled_in_small_pieces(sales, own_number, capsys):
+    grouped = sales.group_by(["kind"], F.count(F.lit(1)).alias("rows"))
+    assert _cuts(grouped.sources("kind"), capsys) == {SHUFFLE_PIECES}
+    own_number.conf.set(PIECES, "7")
+    assert _cuts(sales.group_by(["kind"], F.max("n")).sources("kind"), capsys) == {7}
