@@ -263,6 +263,7 @@ def trace(edges: DataFrame, starts: DataFrame, per_start: bool = False) -> DataF
     """
     spark = starts.sparkSession
     shared_folder(spark)
+    cut_finely(spark)
     start = ["start_table_name", "start_RecordID"] if per_start else []
     origin = [F.col("table_name").alias(start[0]), F.col(RECORD_ID).alias(start[1])] if start else []
     frontier = starts.select(
@@ -279,11 +280,13 @@ def trace(edges: DataFrame, starts: DataFrame, per_start: bool = False) -> DataF
     while tables:
         depth += 1
         # A way without a cycle has one record more than steps. Counted at 1, 2, 4, 8 ... steps.
-        if depth & (depth - 1) == 0:
+        if depth > 1 and depth & (depth - 1) == 0:
             records = reached.select("table_name", RECORD_ID).distinct().count()
             if depth > records:
                 raise ValueError(f"The lineage of these records has a cycle of at most {records} steps")
-        nodes = frontier.select(*start, "table_name", RECORD_ID).distinct()
+        nodes = frontier.select(*start, "table_name", RECORD_ID)
+        if depth > 1:  # starts have no parents that could repeat them
+            nodes = nodes.distinct()
         step = (
             nodes.join(
                 edges.where(F.col(TARGET_TABLE).isin(tables)),

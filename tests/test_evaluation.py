@@ -341,3 +341,12 @@ def test_edges_of_groups_are_shuffled_in_small_pieces(sales, own_number, capsys)
     assert _cuts(grouped.sources("kind"), capsys) == {SHUFFLE_PIECES}
     own_number.conf.set(PIECES, "7")
     assert _cuts(sales.group_by(["kind"], F.max("n")).sources("kind"), capsys) == {7}
+
+
+def test_steps_of_a_trace_are_shuffled_in_small_pieces(own_number):
+    edges = own_number.createDataFrame(
+        [("s1", "a", "t1", "b"), ("s1", "a", "t1", "b"), ("s2", "a", "t1", "b")], list(lineage.EDGE_COLUMNS)
+    )
+    starts = own_number.createDataFrame([("b", "t1"), ("b", "t1")], "table_name string, RecordID string")
+    assert lineage.trace(edges, starts).count() == 3
+    assert own_number.conf.get(PIECES) == str(SHUFFLE_PIECES)
