@@ -350,3 +350,11 @@ def test_steps_of_a_trace_are_shuffled_in_small_pieces(own_number):
     starts = own_number.createDataFrame([("b", "t1"), ("b", "t1")], "table_name string, RecordID string")
     assert lineage.trace(edges, starts).count() == 3
     assert own_number.conf.get(PIECES) == str(SHUFFLE_PIECES)
+
+
+def test_sources_of_the_history_check_are_counted_in_small_pieces(own_number, capsys):
+    trace = own_number.createDataFrame([("t1", "a", "s1")], "target_RecordID string, source_table_name string, source_RecordID string")
+    records = own_number.createDataFrame([("t1",)], "RecordID string")
+    found = quality.expected_history(records, trace, [{"source_table_name": "a", "amount_records": 1}])
+    assert found.first().valid_count == 1
+    assert own_number.conf.get(PIECES) == str(SHUFFLE_PIECES)
