@@ -38,7 +38,7 @@ from layerloom.llm.scratch import Scratch
 LENGTH, ANCHOR = 50, 24
 
 #: Anchors of one block of a task, and anchors per hash range on average.
-BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 17, 500_000
+BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 19, 500_000
 
 #: Contexts of one transform, and the most that may differ around one anchor for it.
 BATCH_CONTEXTS, MOST_CONTEXTS = 20_000, 20_000
@@ -84,7 +84,9 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     # A place is an anchor if it is the lowest of some window around it.
     around = np.concatenate([np.zeros(width - 1, np.uint64), lowest, np.zeros(width - 1, np.uint64)])
     at = np.flatnonzero(_sliding(around, width, np.maximum, 0) == h)
-    return at, h[at]
+    # The lowest of some hashes are small; an odd factor spreads them, so that ranges get equal shares. What meets by
+    # 40 bits is compared by its bytes later; the others would only be moved.
+    return at, h[at] * np.uint64(0x9E3779B97F4A7C15) & np.uint64(0xFFFFFFFFFF000000)
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -160,20 +162,26 @@ def _ends(h: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray,
 def _several(table: pa.Table) -> pa.Table:
     """Of one hash range: its number of anchors, and the hashes that several rows have.
 
-    Blocks are added one by one, so what is held are the distinct hashes of the range.
+    Blocks are added when they hold as many hashes as the sum so far, so what is held are some blocks and the
+    distinct hashes of the range, and each hash is sorted a few times only.
     """
-    held, n = None, 0
+    held, size, n = [], 0, 0
+
+    def added() -> list[tuple[np.ndarray, ...]]:
+        x = [np.concatenate(c) for c in zip(*held, strict=True)]
+        order = np.argsort(x[0], kind="stable")
+        return [_ends(*(c[order] for c in x))]
+
     for i in range(table.num_rows):
         r = {c: table.column(c)[i].as_py() for c in table.column_names}
         n += r["n"]
         h = np.cumsum(_unpacked(r["hashes"]), dtype=np.uint64)
-        new = h, *(_unpacked(r[c]).astype(np.int64) + r["first_row"] for c in ("rows", "places"))
-        if held:
-            new = [np.concatenate(x) for x in zip(held, new, strict=True)]
-            order = np.argsort(new[0], kind="stable")
-            new = _ends(*(x[order] for x in new))
-        held = new
-    h, low, high = held
+        held.append((h, *(_unpacked(r[c]).astype(np.int64) + r["first_row"] for c in ("rows", "places"))))
+        size += len(h)
+        if size >= max(RANGE_ANCHORS, 2 * len(held[0][0])):
+            held = added()
+            size = len(held[0][0])
+    h, low, high = added()[0]
     found = _packed(np.diff(h[low != high], prepend=np.uint64(0)))
     bucket = table.column("bucket")[:1].combine_chunks()
     return pa.table({"bucket": bucket, "n": pa.array([n], pa.int64()), "shared": pa.array([found], pa.binary())})

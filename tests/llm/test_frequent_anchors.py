@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -37,3 +38,12 @@ def test_a_block_has_each_hash_once_for_its_range():
     distinct = {int(h) for t in (text, "q" * 60) for h in substrings.anchors(t.encode())[1]}
     assert len(substrings._unpacked(blocks.column("hashes")[0].as_py())) == len(distinct)
     assert blocks.column("n")[0].as_py() > 20_000
+
+
+def test_anchor_hashes_fall_evenly_into_ranges():
+    """Anchors have the smallest hashes around; ranges of hashes must get equal shares of them all the same."""
+    data = np.random.default_rng(5).integers(97, 123, 400_000).astype(np.uint8).tobytes()
+    at, h = substrings.anchors(data)
+    share = np.bincount(((h >> np.uint64(32)) * np.uint64(64) >> np.uint64(32)).astype(np.int64), minlength=64) / len(h)
+    assert share.max() < 2 / 64
+    assert len(np.unique(h)) == len({data[i : i + substrings.ANCHOR] for i in at.tolist()})
