@@ -22,15 +22,19 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-#: Into how many pieces a shuffle is cut before Spark puts small ones together.
+#: Into how many pieces a shuffle is cut before Spark puts small ones together, and up to which size it does so.
 PIECES, SHUFFLE_PIECES = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", 1000
+TASK_SIZE, SHUFFLE_TASK_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "16MB"
 
 
 def cut_finely(spark: SparkSession) -> None:
     """Let what a task holds follow the measured size of a shuffle, not the number of shuffle partitions.
 
     Adaptive execution joins small pieces up to its advisory size, but cuts none of a join or an aggregation, so with
-    few partitions a task's share grows with the input. A number that was set already stays.
+    few partitions a task's share grows with the input. Lineage is compressed well and held several times over: 64 MB of
+    it take a task more than 1 GB of memory, and spill. What was set already stays.
     """
     if spark.conf.get(PIECES, None) is None:
         spark.conf.set(PIECES, str(max(SHUFFLE_PIECES, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    if TASK_SIZE not in spark.conf.getAll:
+        spark.conf.set(TASK_SIZE, SHUFFLE_TASK_SIZE)

@@ -16,7 +16,7 @@ from layerloom.catalog import struct_of, with_history
 from layerloom.functions.hashing import row_hash
 from layerloom.operators import lineage, quality, ranking, writing
 from layerloom.operators.history import merge_history
-from layerloom.session import PIECES, SHUFFLE_PIECES
+from layerloom.session import PIECES, SHUFFLE_PIECES, SHUFFLE_TASK_SIZE, TASK_SIZE
 from layerloom.sources import storage
 from tests.conftest import rows
 
@@ -358,3 +358,16 @@ def test_sources_of_the_history_check_are_counted_in_small_pieces(own_number, ca
     found = quality.expected_history(records, trace, [{"source_table_name": "a", "amount_records": 1}])
     assert found.first().valid_count == 1
     assert own_number.conf.get(PIECES) == str(SHUFFLE_PIECES)
+
+
+def test_tasks_of_groupings_read_little_of_a_shuffle(sales, own_number):
+    before = own_number.conf.getAll.get(TASK_SIZE)
+    try:
+        own_number.conf.unset(TASK_SIZE)
+        grouped = sales.group_by(["kind"], F.max("n"))
+        assert own_number.conf.get(TASK_SIZE) == SHUFFLE_TASK_SIZE
+        own_number.conf.set(TASK_SIZE, "5MB")
+        assert grouped.average(["kind"], "max(n)").df.count() == 2
+        assert own_number.conf.get(TASK_SIZE) == "5MB"
+    finally:
+        own_number.conf.set(TASK_SIZE, before) if before else own_number.conf.unset(TASK_SIZE)
