@@ -12,6 +12,7 @@ from layerloom.constants import FROM_DATE, HISTORY_COLUMNS, LINEAGE, OPEN_END, R
 from layerloom.functions.hashing import row_hash, row_key
 from layerloom.functions.times import date_literal
 from layerloom.operators.lineage import no_sources
+from layerloom.session import keep_compiled
 
 COPIES_ERROR = "Not all rows in the table are unique"
 
@@ -46,6 +47,7 @@ def merge_history(
     their hash in the order the join sorts them in anyway, and the second row of a hash ends the job. No
     row is sorted or aggregated ahead of the shuffle.
     """
+    keep_compiled(incoming.sparkSession)
     values = value_columns(incoming)
     tracked = LINEAGE in incoming.columns
     today = date_literal(processing_date)

@@ -38,3 +38,17 @@ def cut_finely(spark: SparkSession) -> None:
         spark.conf.set(PIECES, str(max(SHUFFLE_PIECES, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     if TASK_SIZE not in spark.conf.getAll:
         spark.conf.set(TASK_SIZE, SHUFFLE_TASK_SIZE)
+
+
+#: Bytes of a generated method above which Spark gives up compiling a stage into one.
+METHOD_SIZE, COMPILED_METHOD_SIZE = "spark.sql.codegen.hugeMethodLimit", 8000
+
+
+def keep_compiled(spark: SparkSession) -> None:
+    """Let wide rows be hashed by compiled code.
+
+    The JVM never compiles a method of more than 8,000 bytes, but Spark builds stages of up to 65,535 into one, which are then
+    interpreted row by row. Below the JVM's limit it splits their expressions instead. What was set already stays.
+    """
+    if METHOD_SIZE not in spark.conf.getAll:
+        spark.conf.set(METHOD_SIZE, str(COMPILED_METHOD_SIZE))

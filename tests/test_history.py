@@ -120,3 +120,16 @@ def test_record_id(spark):
     ids = {r.RecordID for r in identified.collect()}
     assert ids == {r.RecordID for r in closed.collect()}
     assert not ids & {r.RecordID for r in reopened.collect()}
+
+
+def test_wide_rows_are_hashed_by_compiled_code(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(name)
+    wide = spark.range(3).select(*[(F.col("id") + i).alias(f"c{i}") for i in range(40)])
+    nothing = wide.withColumns({"from_date": F.current_date(), "to_date": F.current_date()}).where("false")
+    first = add_record_id(merge_history(wide, nothing, TODAY)).orderBy("c0").collect()
+    assert int(spark.conf.get(name)) == 8000
+    spark.conf.set(name, "65535")  # what a user set stays, and gives the same rows
+    assert add_record_id(merge_history(wide, nothing, TODAY)).orderBy("c0").collect() == first
+    assert spark.conf.get(name) == "65535"
+    spark.conf.unset(name)
