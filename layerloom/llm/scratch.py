@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 #: The name of the column that ``numbered_scan`` adds.
 ROW = "_row"
 
+#: Whether Spark deletes the shuffle files of a query when it ends, not when its plan is collected as garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def numbered_scan(table: DataFrame, name: str = ROW) -> DataFrame:
     """A table read from files, with its rows numbered; reading the same files again numbers them alike."""
@@ -52,7 +56,8 @@ class Scratch:
 
     def write(self, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{len(self.paths)}-{uuid.uuid4().hex[:8]}"
-        df.write.option("compression", "zstd").parquet(path)
+        with self._cleaned():
+            df.write.option("compression", "zstd").parquet(path)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(table)] = path
         table._scratch_path = path  # keeps the table's place with the table
@@ -62,7 +67,8 @@ class Scratch:
         """A table in the warehouse in ``n`` buckets of ``column``, so that joins by it need no shuffle."""
         name = f"layerloom_{uuid.uuid4().hex}"
         writer = df.write.format("parquet").option("compression", "zstd").bucketBy(n, column)
-        writer.sortBy(column).saveAsTable(name)
+        with self._cleaned():
+            writer.sortBy(column).saveAsTable(name)
         self.tables.append(name)
         return self.spark.table(name)
 
@@ -80,6 +86,16 @@ class Scratch:
         for table in tables:
             self._delete(table._scratch_path)
 
+    @contextlib.contextmanager
+    def _cleaned(self) -> Iterator[None]:
+        """Shuffle files of what is written meanwhile go when it stands: the copy is all that is read again."""
+        before = self.spark.conf.get(CLEANUP)
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+
     def close(self) -> None:
         with contextlib.suppress(Exception):  # the session may be gone already
             for name in self.tables:

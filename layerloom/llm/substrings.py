@@ -512,9 +512,8 @@ def drop_shared_strings(
     )
     scratch.drop(shared)
     # Read from files, chunks are numbered alike each time.
-    chunks = scratch.write(
-        found.groupBy("chunk_key", "chunk", "offsets").agg(F.min("id").alias("id"))
-    ).withColumn("chunk_id", F.monotonically_increasing_id())
+    distinct = scratch.write(found.groupBy("chunk_key", "chunk", "offsets").agg(F.min("id").alias("id")))
+    chunks = distinct.withColumn("chunk_id", F.monotonically_increasing_id())
     contexts = _contexts(chunks)
     sizes = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     many = scratch.write(sizes.where(F.col("n") > MOST_CONTEXTS).select("anchor"))
@@ -538,6 +537,7 @@ def drop_shared_strings(
     of_chunk = scratch.write(
         chunks.select("chunk_id", "chunk_key").join(of_chunk, "chunk_id").drop("chunk_id")
     )
+    scratch.drop(distinct)
     smaller = F.filter("covers", lambda c: c["least"] < F.col("id"))
     spans = F.transform(
         smaller,
@@ -558,6 +558,7 @@ def drop_shared_strings(
         .join(starts, "row_id")
         .mapInArrow(_cut, "row_id bigint, n_removed bigint, spans array<array<bigint>>, kept binary")
     )
+    scratch.drop(found, of_chunk)
     return (
         rows.select(
             "row_id",
