@@ -14,7 +14,8 @@ takes four steps.
    from there all intervals are extended backwards by one byte at a time, breadth first, so each level holds
    the strings of one length more. Intervals of one context end there, and the search ends at 50 bytes; an
    interval left is a string that contexts share, and its smallest id counts for each of them.
-4. Removal. What the windows of its contexts cover is cut from each document.
+4. Removal. A chunk goes as a whole from all documents but the one with its smallest id. There goes what is covered by
+   the windows of its contexts that a smaller id has as well; nothing else of step 3 is moved.
 
 An anchor around which more contexts differ than one batch may hold has its windows grouped by their bytes in
 Spark instead, which splits and pre-aggregates them; this is the exact way for frequent passages.
@@ -23,12 +24,11 @@ Spark instead, which splits and pre-aggregates them; this is the exact way for f
 from __future__ import annotations
 
 import hashlib
-import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +40,9 @@ LENGTH, ANCHOR = 50, 24
 #: Anchors of one block of a task, and anchors per hash range on average.
 BLOCK_ANCHORS, RANGE_ANCHORS = 1 << 19, 500_000
 
+#: Bytes of texts that are hashed together.
+PIECE_BYTES = 1 << 18
+
 #: Contexts of one transform, and the most that may differ around one anchor for it.
 BATCH_CONTEXTS, MOST_CONTEXTS = 20_000, 20_000
 
@@ -51,42 +54,68 @@ NO_ID = (1 << 63) - 1
 
 def _hashes(data: np.ndarray) -> np.ndarray:
     """A hash of the anchor's bytes from each place on, eight at a time."""
-    one = data.astype(np.uint64)
-    two = one[:-1] << np.uint64(8) | one[1:]
-    four = two[:-2] << np.uint64(16) | two[2:]
-    eight = four[:-4] << np.uint64(32) | four[4:]
+    # Eight bytes from each place on, without a copy for each of the eight.
+    eight = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (max(0, len(data) - 7),), (1,))
     n = len(data) - ANCHOR + 1
     x = np.zeros(n, dtype=np.uint64)
+    moved = np.empty_like(x)
     for at in range(0, ANCHOR, 8):
-        x = (x ^ eight[at : at + n]) * np.uint64(0x9E3779B97F4A7C15)
-        x ^= x >> np.uint64(29)
+        x ^= eight[at : at + n]
+        x *= np.uint64(0x9E3779B97F4A7C15)
+        x ^= np.right_shift(x, np.uint64(29), out=moved)
     x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
-
-def _sliding(x: np.ndarray, width: int, step: np.ufunc, filler: int) -> np.ndarray:
-    """Smallest or largest of each ``width`` neighbours, from running values of blocks of that width."""
-    n = len(x)
-    padded = np.full(-(-n // width) * width, filler, dtype=x.dtype)
-    padded[:n] = x
-    blocks = padded.reshape(-1, width)
-    ahead = step.accumulate(blocks, axis=1).ravel()
-    behind = step.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return step(behind[: n - width + 1], ahead[width - 1 : n])
-
-
-def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors of a text, and their hashes."""
-    if len(data) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h, width = _hashes(np.frombuffer(data, dtype=np.uint8)), LENGTH - ANCHOR + 1
-    lowest = _sliding(h, width, np.minimum, (1 << 64) - 1)
+    x ^= np.right_shift(x, np.uint64(32), out=moved)
+    return x
+
+
+def _sliding(x: np.ndarray, width: int, step: np.ufunc) -> np.ndarray:
+    """Smallest or largest of each ``width`` neighbours: of 2, 4, 8 ... of them, and of two such that overlap."""
+    size = 1
+    while 2 * size <= width:
+        x = step(x[:-size], x[size:])
+        size *= 2
+    return step(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
+
+
+def _anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of some texts: the text's number, the place in it and the hash."""
+    joined = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    if len(joined) < LENGTH:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h, width = _hashes(joined), LENGTH - ANCHOR + 1
+    lowest = _sliding(h, width, np.minimum)
+    # No window runs over the end of a text.
+    ends = np.cumsum([len(t) for t in texts])
+    over = np.unique((ends[:, None] - np.arange(1, LENGTH)).ravel())
+    lowest[over[(over >= 0) & (over < len(lowest))]] = 0
     # A place is an anchor if it is the lowest of some window around it.
     around = np.concatenate([np.zeros(width - 1, np.uint64), lowest, np.zeros(width - 1, np.uint64)])
-    at = np.flatnonzero(_sliding(around, width, np.maximum, 0) == h)
+    at = np.flatnonzero(_sliding(around, width, np.maximum) == h)
+    number = np.searchsorted(ends, at, side="right")
+    sizes = np.diff(ends, prepend=0)[number]
+    place = at - (ends[number] - sizes)
+    inside = (sizes >= LENGTH) & (place + ANCHOR <= sizes)
     # The lowest of some hashes are small; an odd factor spreads them, so that ranges get equal shares. What meets by
     # 40 bits is compared by its bytes later; the others would only be moved.
-    return at, h[at] * np.uint64(0x9E3779B97F4A7C15) & np.uint64(0xFFFFFFFFFF000000)
+    spread = h[at[inside]] * np.uint64(0x9E3779B97F4A7C15) & np.uint64(0xFFFFFFFFFF000000)
+    return number[inside], place[inside], spread
+
+
+def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the anchors of a text, and their hashes."""
+    return _anchors([data])[1:]
+
+
+def _pieces(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Neighbouring texts (from, to) of about ``PIECE_BYTES`` in all."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= PIECE_BYTES:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -139,10 +168,12 @@ def _blocks(ranges: int, ends: bool = False):
             )
 
         for batch in batches:
-            for row, text in zip(batch.column("row_id"), batch.column("text"), strict=True):
-                at, h = anchors(text.as_py().encode())
+            ids = batch.column("row_id").to_numpy()
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for start, end in _pieces(texts):
+                number, at, h = _anchors(texts[start:end])
                 if len(at):
-                    held.append((at, h, np.full(len(at), row.as_py(), dtype=np.int64)))
+                    held.append((at, h, ids[start:end][number]))
                     size += len(at)
                 if size >= BLOCK_ANCHORS:
                     yield batch_of()
@@ -233,34 +264,52 @@ def _shared_anchors(texts: DataFrame, ranges: int, scratch: Scratch) -> DataFram
     )
 
 
+def _boundaries(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which anchors end a chunk by their content."""
+    words = np.lib.stride_tricks.sliding_window_view(data, ANCHOR)[places].view("<u8")
+    x = np.zeros(len(places), dtype=np.uint64)
+    for i in range(words.shape[1]):
+        x = (x ^ words[:, i]) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(31)
+    return x % np.uint64(CHUNK_ANCHORS) == 0
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of shared anchors with the bytes around them, cut behind every 16th anchor by content."""
     side = LENGTH - ANCHOR
     for batch in batches:
-        out = []
-        for row, doc, text, places in zip(
-            *(batch.column(c).to_pylist() for c in ("row_id", "id", "text", "places")), strict=True
-        ):
-            data, places = text.encode(), sorted(places)
-            first = 0
-            for i, at in enumerate(places):
-                follows = i + 1 < len(places) and places[i + 1] - at <= side + 1
-                if (
-                    follows
-                    and zlib.crc32(data[at : at + ANCHOR]) % CHUNK_ANCHORS
-                    and i + 1 - first < 4 * CHUNK_ANCHORS
-                ):
-                    continue
-                start = max(0, places[first] - side)
-                chunk = data[start : at + LENGTH]
-                offsets = [p - start for p in places[first : i + 1]]
-                key = hashlib.md5(chunk + array("i", offsets).tobytes()).digest()
-                out.append((key, chunk, offsets, row, doc, start))
-                first = i + 1
-        columns = list(zip(*out, strict=True)) if out else [()] * 6
-        kinds = [pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.int64(), pa.int64(), pa.int32()]
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        number = np.repeat(np.arange(len(texts)), batch.column("places").value_lengths().to_numpy())
+        joined = b"".join(texts)
+        # Places count from the begin of the first text.
+        places = np.sort(batch.column("places").flatten().to_numpy() + begins[number])
+        number = np.searchsorted(begins[1:], places, side="right")
+        ends = _boundaries(np.frombuffer(joined, dtype=np.uint8), places) if len(places) else np.zeros(0, bool)
+        ends[:-1] |= (np.diff(places) > side + 1) | (np.diff(number) > 0)
+        ends[-1:] = True
+        # What is longer than four times the average is cut there.
+        starts = np.concatenate([[0], np.flatnonzero(ends[:-1]) + 1])
+        since = np.arange(len(places)) - np.repeat(starts, np.diff(starts, append=len(places)))
+        ends |= since % (4 * CHUNK_ANCHORS) == 4 * CHUNK_ANCHORS - 1
+        last = np.flatnonzero(ends)
+        first = np.concatenate([[0], last[:-1] + 1])[: len(last)]
+        low = np.maximum(begins[number[first]], places[first] - side)
+        high = np.minimum(begins[number[last] + 1], places[last] + LENGTH)
+        offsets = (places - np.repeat(low, last - first + 1)).astype(np.int32)
+        inside, lists = offsets.tobytes(), np.append(first, len(places))
+        chunks = [joined[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        of_chunk = zip(chunks, (4 * lists[:-1]).tolist(), (4 * lists[1:]).tolist(), strict=True)
+        keys = [hashlib.md5(c + inside[a:b]).digest() for c, a, b in of_chunk]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            [
+                pa.array(keys, pa.binary()),
+                pa.array(chunks, pa.binary()),
+                pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(offsets, pa.int32())),
+                batch.column("row_id").take(pa.array(number[first])),
+                batch.column("id").take(pa.array(number[first])),
+                pa.array(low - begins[number[first]], pa.int32()),
+            ],
             names=["chunk_key", "chunk", "offsets", "row_id", "id", "start"],
         )
 
@@ -282,25 +331,33 @@ def suffix_array(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray,
     """Order of all suffixes by their first ``length`` symbols (0 to 257) at least, by doubling.
 
     Also the rank of each suffix by its first symbols alone, and how many those are: fewer than ``length``,
-    as many as the last doubling ahead of it knew.
+    as many as the last step ahead of it knew.
     """
-    n, step = len(text), 7
+    n = len(text)
+    # The symbols that occur, numbered in order; as many as 63 bits hold are compared at once.
+    number = np.cumsum(np.bincount(text) > 0) - 1
+    bits = max(1, int(number[-1]).bit_length())
+    step = min(63 // bits, length - 1)
     shorter, known = np.zeros(n, dtype=np.int64), 0
-    padded = np.append(text, np.zeros(step, dtype=np.int64))
+    padded = np.append(number[text], np.zeros(step, dtype=np.int64))
     key = np.zeros(n, dtype=np.int64)
     for i in range(step):
-        key = key << 9 | padded[i : n + i]
+        key = key << bits | padded[i : n + i]
     while True:
         order = np.argsort(key)
+        if step >= length:
+            return order, shorter, known
         ordered = key[order]
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.diff(ordered, prepend=ordered[:1]) != 0)
-        if step >= length:
-            return order, shorter, known
         shorter, known = rank, step
-        key = rank << 32
-        key[: n - step] |= rank[step:] + 1
-        step *= 2
+        # Three ranks fit into one key for short texts: fewer sorts then.
+        times, width = (3, 21) if 2 * step < length and n + 1 < 1 << 21 else (2, 31)
+        key = rank.copy()
+        for ahead in range(step, times * step, step):
+            key <<= width
+            key[: max(0, n - ahead)] |= rank[ahead:] + 1
+        step *= times
 
 
 def common_strings(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -319,14 +376,17 @@ def common_strings(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.n
     text[-1] = 0
     order, shorter, known = suffix_array(text, length)
     before = text[order - 1].astype(np.uint16)  # the transform: the symbol ahead of each suffix
-    # Where the suffix that begins one symbol earlier stands: equal symbols keep their order.
+    # Where the suffix that begins one symbol earlier stands, also of suffixes that the order leaves tied.
     earlier = np.empty(n, dtype=np.int64)
-    earlier[np.argsort(before, kind="stable")] = np.arange(n)
+    earlier[order] = np.arange(n)
+    earlier = earlier[order - 1]
     of_row = np.append(owner, len(contexts))[order]
     # Rows of live intervals in order, and the number of the interval of each.
     left = np.zeros(n, dtype=np.int64)
     left[:-1] = sizes[owner] - place  # symbols up to the end of the context
-    rows = np.flatnonzero(left[order] >= known)
+    # Strings are extended to the front, so that much must lie ahead of them.
+    left[:-1][place < length - known] = 0
+    rows = np.flatnonzero(left[order] >= max(1, known))
     of_rows = shorter[order[rows]]
     interval = np.cumsum(np.diff(of_rows, prepend=of_rows[:1]) != 0)
     for _ in range(length - known):
@@ -350,64 +410,50 @@ def common_strings(contexts: list[bytes], length: int) -> tuple[np.ndarray, np.n
     return interval, owner[places], place[places]
 
 
-#: Windows ``low`` to ``high`` of a context, whose smallest id is ``least``.
-RUNS = "array<struct<low: int, high: int, least: bigint>>"
-
-
-def _runs(lowest: list[int]) -> list[tuple[int, int, int]]:
-    starts = [i for i, x in enumerate(lowest) if not i or x != lowest[i - 1]]
-    ends = [*starts[1:], len(lowest)]
-    return [(a, b - 1, lowest[a]) for a, b in zip(starts, ends, strict=True)]
+#: Bytes ``a`` to ``b`` of a chunk, covered by windows that a smaller id than that of the chunk has as well.
+RUNS = "chunk_id bigint, a int, b int"
 
 
-def _smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each context of sorted anchors the smallest ids of its windows."""
+def _smaller(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is covered by windows of contexts, sorted by anchors, that a smaller id than theirs has as well."""
 
     def solved(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
-        contexts, ids = table.column("context").to_pylist(), table.column("id").to_numpy()
-        anchor = table.column("anchor").to_numpy()
+        table = pa.Table.from_batches(held).combine_chunks()
+        chunk, at, ids, anchor = (table.column(c).to_numpy() for c in ("chunk_id", "at", "id", "anchor"))
         # Equal contexts are one, with the smallest id.
-        number: dict[tuple, int] = {}
-        which = np.array([number.setdefault(k, len(number)) for k in zip(anchor.tolist(), contexts, strict=True)])
-        least = np.full(len(number), NO_ID, dtype=np.int64)
+        encoded = table.column("context").combine_chunks().dictionary_encode()
+        texts = encoded.dictionary
+        group = np.cumsum(np.diff(anchor, prepend=anchor[:1]) != 0)
+        pairs, which = np.unique(group * len(texts) + encoded.indices.to_numpy(), return_inverse=True)
+        least = np.full(len(pairs), NO_ID, dtype=np.int64)
         np.minimum.at(least, which, ids)
-        anchors, texts = np.array([a for a, _ in number]), [c for _, c in number]
+        text_of = pairs % len(texts)
+        windows = pc.binary_length(texts).to_numpy()[text_of] - LENGTH + 1
+        lowest = np.repeat(least[:, None], LENGTH - ANCHOR + 1, axis=1)
         # Contexts alone around their anchor share no window with another.
-        changes = np.flatnonzero(np.diff(anchors) != 0) + 1
-        sizes = np.diff(np.concatenate([[0], changes, [len(anchors)]]))
-        several = np.flatnonzero(np.repeat(sizes > 1, sizes))
-        runs = [[(0, len(c) - LENGTH, i)] for c, i in zip(texts, least.tolist(), strict=True)]
+        several = np.flatnonzero(np.bincount(pairs // len(texts))[pairs // len(texts)] > 1)
         if len(several):
-            lowest = np.repeat(least[several][:, None], LENGTH - ANCHOR + 1, axis=1)
-            string, owners, places = common_strings([texts[i] for i in several], LENGTH)
+            string, owners, places = common_strings(texts.take(pa.array(text_of[several])).to_pylist(), LENGTH)
             if len(string):
                 starts = np.flatnonzero(np.diff(string, prepend=-1))
                 of_string = np.minimum.reduceat(least[several][owners], starts)
                 found = np.repeat(of_string, np.diff(starts, append=len(string)))
-                lowest[owners, places] = np.minimum(lowest[owners, places], found)
-            for k in np.flatnonzero((lowest != lowest[:, :1]).any(axis=1)).tolist():
-                i = int(several[k])
-                runs[i] = _runs(lowest[k, : len(texts[i]) - LENGTH + 1].tolist())
-            same = np.flatnonzero((lowest == lowest[:, :1]).all(axis=1))
-            for k, x in zip(same.tolist(), lowest[same, 0].tolist(), strict=True):
-                i = int(several[k])
-                runs[i] = [(0, len(texts[i]) - LENGTH, x)]
-        out = [runs[i] for i in which.tolist()]
-        flat = [r for rs in out for r in rs]
-        low, high, ids_of = zip(*flat, strict=True)
-        struct = pa.StructArray.from_arrays(
-            [pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(ids_of, pa.int64())],
-            names=["low", "high", "least"],
-        )
-        bounds = np.concatenate([[0], np.cumsum([len(rs) for rs in out])])
+                lowest[several[owners], places] = np.minimum(least[several[owners]], found)
+        # Runs of such windows: where they begin and where they end.
+        rows = np.flatnonzero(lowest.min(axis=1)[which] < ids)
+        smaller = np.zeros((len(rows), LENGTH - ANCHOR + 3), dtype=np.int8)
+        smaller[:, 1:-1] = lowest[which[rows]] < ids[rows, None]
+        smaller[:, 1:-1] &= np.arange(LENGTH - ANCHOR + 1) < windows[which[rows]][:, None]
+        change = np.diff(smaller, axis=1)
+        row, low = np.nonzero(change == 1)
+        row, high = rows[row], np.nonzero(change == -1)[1] - 1
         return pa.RecordBatch.from_arrays(
             [
-                table.column("chunk_id").combine_chunks(),
-                table.column("at").combine_chunks(),
-                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), struct),
+                pa.array(chunk[row], pa.int64()),
+                pa.array(at[row] + low, pa.int32()),
+                pa.array(at[row] + high + LENGTH, pa.int32()),
             ],
-            names=["chunk_id", "at", "runs"],
+            names=["chunk_id", "a", "b"],
         )
 
     held: list[pa.RecordBatch] = []
@@ -434,36 +480,50 @@ def _windows(context: str) -> Column:
     )
 
 
-def _smallest_of_frequent(contexts: DataFrame) -> DataFrame:
-    """(chunk_id, at, runs) as ``_smallest`` gives, by grouping the windows."""
+def _smaller_of_frequent(contexts: DataFrame) -> DataFrame:
+    """What ``_smaller`` gives, by grouping the windows."""
     windows = contexts.select("chunk_id", "id", "at", F.posexplode(_windows("context")).alias("low", "window"))
     least = windows.groupBy("window").agg(F.min("id").alias("least"))
-    run = F.struct("low", F.col("low").alias("high"), "least")
-    return windows.join(least, "window").groupBy("chunk_id", "at").agg(F.collect_list(run).alias("runs"))
+    a = F.col("at") + F.col("low")
+    found = windows.join(least, "window").where("least < id")
+    return found.select("chunk_id", a.alias("a"), (a + LENGTH).alias("b"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removes the spans from each text and gives their union."""
     for batch in batches:
-        out = []
-        for row, text, spans in zip(
-            *(batch.column(c).to_pylist() for c in ("row_id", "text", "spans")), strict=True
-        ):
-            data, kept, union, removed, end = text.encode(), [], [], 0, 0
-            for a, b in sorted((s["a"], s["b"]) for s in spans):
-                if union and a <= union[-1][1]:
-                    union[-1][1] = max(union[-1][1], b)
-                else:
-                    union.append([a, b])
-            for a, b in union:
-                kept.append(data[end:a])
-                removed, end = removed + b - a, b
-            kept.append(data[end:])
-            out.append((row, removed, union, b"".join(kept)))
-        columns = list(zip(*out, strict=True)) if out else [()] * 4
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64())), pa.binary()]
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        counts = batch.column("spans").value_lengths().to_numpy()
+        spans = batch.column("spans").flatten()
+        # Texts lie one behind the other, with a gap: a span joins those before it that reach its begin.
+        far = np.int64(1 << 32) * np.repeat(np.arange(len(texts)), counts)
+        a, b = (spans.field(c).to_numpy().astype(np.int64) + far for c in ("a", "b"))
+        order = np.argsort(a)
+        a, b = a[order], np.maximum.accumulate(b[order])
+        first = np.flatnonzero(np.concatenate([a[:1] == a[:1], a[1:] > b[:-1]]))
+        lows, highs = a[first], b[np.append(first[1:], len(a)) - 1] if len(a) else a
+        number = lows >> 32
+        lows, highs = lows & 0xFFFFFFFF, highs & 0xFFFFFFFF
+        bounds = np.searchsorted(number, np.arange(len(texts) + 1)).tolist()
+        begins, ends = lows.tolist(), highs.tolist()
+        kept, removed = [], []
+        for i, text in enumerate(texts):
+            parts, end = [], 0
+            for k in range(bounds[i], bounds[i + 1]):
+                parts.append(text[end : begins[k]])
+                end = ends[k]
+            parts.append(text[end:])
+            kept.append(b"".join(parts))
+            removed.append(len(text) - len(kept[-1]))
+        pairs = pa.array(np.stack([lows, highs], axis=1).ravel(), pa.int64())
+        inner = pa.ListArray.from_arrays(pa.array(np.arange(0, len(pairs) + 1, 2), pa.int32()), pairs)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            [
+                batch.column("row_id"),
+                pa.array(removed, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), inner),
+                pa.array(kept, pa.binary()),
+            ],
             names=["row_id", "n_removed", "spans", "kept"],
         )
 
@@ -504,15 +564,18 @@ def drop_shared_strings(
         "row_id",
         n,
     )
-    found = scratch.write(
+    scratch.drop(shared)
+    whole = scratch.write(
         marked.mapInArrow(
             _chunks,
             "chunk_key binary, chunk binary, offsets array<int>, row_id bigint, id bigint, start int",
         )
     )
-    scratch.drop(shared)
     # Read from files, chunks are numbered alike each time.
-    distinct = scratch.write(found.groupBy("chunk_key", "chunk", "offsets").agg(F.min("id").alias("id")))
+    distinct = scratch.write(whole.groupBy("chunk_key", "chunk", "offsets").agg(F.min("id").alias("id")))
+    end = F.col("start") + F.octet_length("chunk")
+    found = scratch.write(whole.select("chunk_key", "row_id", "id", "start", end.alias("end")))
+    scratch.drop(whole)
     chunks = distinct.withColumn("chunk_id", F.monotonically_increasing_id())
     contexts = _contexts(chunks)
     sizes = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
@@ -522,33 +585,25 @@ def drop_shared_strings(
         .select("anchor", "chunk_id", "at", "context", "id")
         .repartition("anchor")
         .sortWithinPartitions("anchor")
-        .mapInArrow(_smallest, f"chunk_id bigint, at int, runs {RUNS}")
-        .unionByName(_smallest_of_frequent(contexts.join(many, "anchor")))
-    )
-    # What a run of windows covers in the chunk, and the smallest id that has it.
-    covers = lambda r: F.struct(
-        (F.col("at") + r["low"]).alias("a"),
-        (F.col("at") + r["high"] + LENGTH).alias("b"),
-        r["least"].alias("least"),
-    )
-    of_chunk = runs.groupBy("chunk_id").agg(
-        F.flatten(F.collect_list(F.transform("runs", covers))).alias("covers")
+        .mapInArrow(_smaller, RUNS)
+        .unionByName(_smaller_of_frequent(contexts.join(many, "anchor")))
     )
+    covers = runs.groupBy("chunk_id").agg(F.collect_list(F.struct("a", "b")).alias("covers"))
     of_chunk = scratch.write(
-        chunks.select("chunk_id", "chunk_key").join(of_chunk, "chunk_id").drop("chunk_id")
+        chunks.select("chunk_id", "chunk_key", F.col("id").alias("least"))
+        .join(covers, "chunk_id", "left")
+        .drop("chunk_id")
     )
     scratch.drop(distinct)
-    smaller = F.filter("covers", lambda c: c["least"] < F.col("id"))
-    spans = F.transform(
-        smaller,
-        lambda c: F.struct(
-            (F.col("start") + c["a"]).alias("a"), (F.col("start") + c["b"]).alias("b")
-        ),
+    # The document with the smallest id has the chunk first: there only what a smaller id has goes, elsewhere all.
+    moved = F.transform(
+        "covers",
+        lambda c: F.struct((F.col("start") + c["a"]).alias("a"), (F.col("start") + c["b"]).alias("b")),
     )
+    all_of_it = F.array(F.struct(F.col("start").alias("a"), F.col("end").alias("b")))
     starts = (
-        found.select("chunk_key", "row_id", "id", "start")
-        .join(of_chunk, "chunk_key")
-        .select("row_id", spans.alias("spans"))
+        found.join(of_chunk, "chunk_key")
+        .select("row_id", F.when(F.col("least") < F.col("id"), all_of_it).otherwise(moved).alias("spans"))
         .where(F.size("spans") > 0)
         .groupBy("row_id")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))

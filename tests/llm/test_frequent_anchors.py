@@ -47,3 +47,44 @@ def test_anchor_hashes_fall_evenly_into_ranges():
     share = np.bincount(((h >> np.uint64(32)) * np.uint64(64) >> np.uint64(32)).astype(np.int64), minlength=64) / len(h)
     assert share.max() < 2 / 64
     assert len(np.unique(h)) == len({data[i : i + substrings.ANCHOR] for i in at.tolist()})
+
+
+def test_anchors_of_texts_side_by_side_are_those_of_each_alone():
+    rng = random.Random(3)
+    texts = [rng.choice([b"ab", b"abcdefgh"]) * rng.randint(0, 40) + rng.randbytes(rng.randint(0, 90)) for _ in range(200)]
+    number, place, h = substrings._anchors(texts)
+    for i, text in enumerate(texts):
+        alone = substrings.anchors(text)
+        assert place[number == i].tolist() == alone[0].tolist()
+        assert h[number == i].tolist() == alone[1].tolist()
+
+
+def test_only_what_a_smaller_id_has_as_well_leaves_a_batch_of_contexts():
+    """Equal contexts and those of the smallest id give no rows; others give the bytes of their shared windows."""
+    rng = random.Random(8)
+    rows = []
+    for anchor in range(60):
+        middle = bytes(rng.choices(b"ab", k=substrings.ANCHOR)) if anchor % 3 else b"a" * substrings.ANCHOR
+        for chunk in range(rng.randint(1, 6)):
+            sides = [bytes(rng.choices(b"ab" if anchor % 2 else b"a", k=rng.randint(20, 26))) for _ in range(2)]
+            rows.append((anchor, 100 * anchor + chunk, 7, sides[0] + middle + sides[1], rng.randint(0, 9)))
+    rows = [r for r in rows if len(r[3]) >= substrings.LENGTH]
+    kinds = {"anchor": pa.int64(), "chunk_id": pa.int64(), "at": pa.int32(), "context": pa.binary(), "id": pa.int64()}
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values(), strict=True)], names=[*kinds])
+    found = defaultdict(set)
+    for r in pa.Table.from_batches(list(substrings._smaller(iter([batch])))).to_pylist():
+        found[r["chunk_id"]] |= set(range(r["a"] - 7, r["b"] - 7))
+    windows = lambda c: {c[i : i + 50]: i for i in range(len(c) - 49)}
+    least: dict[bytes, int] = {}
+    for *_, context, i in rows:
+        for w in windows(context):
+            least[w] = min(i, least.get(w, i))
+    # Strings of one letter are shared across anchors too, which is as right.
+    want = {}
+    for *_, chunk, _, context, i in rows:
+        gone = [s for s in range(len(context) - 49) if least[context[s : s + 50]] < i]
+        want[chunk] = {b for s in gone for b in range(s, s + 50)}
+    several = {r[1] for r in rows if len({x[3] for x in rows if x[0] == r[0]}) > 1}
+    assert len(several) > 100
+    assert all(found[c] == want[c] for c in several)
+    assert all(not found[chunk] for _, chunk, _, context, i in rows if all(least[w] == i for w in windows(context)))
