@@ -161,13 +161,17 @@ def _entries_of(
     df: DataFrame, sources: Sources, keep: Sequence[Column | str], unique: bool = False
 ) -> DataFrame:
     """One row per (row of ``df``, source): the kept columns, source table and packed source id."""
+    # Where the kept columns identify a row, only its own entries can be equal, and no shuffle has to find that out.
+    alone = unique and not sources.groups
+    held = F.array_distinct(LINEAGE) if alone else F.col(LINEAGE)
     # The outer form of explode keeps the optimizer from computing the entries a second time.
-    entries = df.select(*keep, F.explode_outer(LINEAGE).alias("_e"))
+    entries = df.select(*keep, F.explode_outer(held).alias("_e"))
     kept = entries.columns[:-1]
     name, record_id = F.col(f"_e.{SOURCE_TABLE}"), F.col(f"_e.{SOURCE_ID}")
     found = record_id.isNotNull()
     if not sources.groups:
-        return entries.where(found).select(*kept, name, _packed(record_id).alias("_id")).distinct()
+        direct = entries.where(found).select(*kept, name, _packed(record_id).alias("_id"))
+        return direct if alone else direct.distinct()
     members = union_all([g.members for g in sources.groups]).withColumnRenamed("_group", "_of")
     links = entries.where(name == LINK).select(*kept, F.unhex(record_id).alias("_link"))
     if sources.grouped_by is None:
@@ -187,7 +191,7 @@ def row_sources(
     """One row per (row of ``df``, source): the kept columns, source table and source id.
 
     ``unique`` says that the kept columns identify a row, which saves the last shuffle after a
-    grouping. Members hold plain sources only, so one join resolves all links.
+    grouping, and the only one where nothing was grouped. Members hold plain sources only, so one join resolves all links.
     """
     names = dict(sources.grouped_by or ())
     link = sources.groups[0] if sources.complete and names else None

@@ -35,6 +35,10 @@ from layerloom.workspace import Workspace
 
 METRICS_TABLE = "monitoring_values"
 EDGES_TABLE = "record_tracing"
+#: Record ids are hexadecimal digits: only a codec that counts symbols halves them.
+CODEC = "zstd"
+#: Bytes of stored rows whose edges one task writes.
+EDGES_OF_TASK = 16 << 20
 EDGE_SCHEMA = ", ".join([*[f"`{c}` string" for c in lineage.EDGE_COLUMNS], f"`{lineage.TARGET_DAY}` date"])
 
 
@@ -142,7 +146,7 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
 
 def _stage(rows: DataFrame, path: str) -> None:
     try:
-        rows.write.parquet(path)
+        rows.write.option("compression", CODEC).parquet(path)
     except PySparkException as error:
         if _mentions(error, COPIES_ERROR):
             raise ValueError(COPIES_ERROR) from error
@@ -161,7 +165,12 @@ def _stage_edges(
     days = [row[0] for row in staged.where(is_open).select(FROM_DATE).distinct().collect()]
     edges = lineage.open_edges(merged, frame.origin, frame.name)
     fresh = lineage.new_edges(edges, stored_edges(space, frame.table.name, days))
-    fresh.drop(lineage.TARGET_TABLE).write.partitionBy(lineage.TARGET_DAY).parquet(_edges_of(path))
+    if not frame.origin.groups:
+        # No shuffle lies between the held rows and their edges that would put small pieces together.
+        tasks = storage.size(space.spark, path) // EDGES_OF_TASK + space.spark.sparkContext.defaultParallelism
+        fresh = fresh.coalesce(tasks)
+    writer = fresh.drop(lineage.TARGET_TABLE).write.option("compression", CODEC)
+    writer.partitionBy(lineage.TARGET_DAY).parquet(_edges_of(path))
 
 
 def _edges_of(path: str) -> str:

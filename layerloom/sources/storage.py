@@ -17,6 +17,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    fs, target = _open(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)

@@ -1,11 +1,14 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from layerloom import TableDef
 from layerloom.catalog import struct_of, with_history
-from layerloom.operators import writing
+from layerloom.constants import LINEAGE, LINEAGE_TYPE
+from layerloom.operators import lineage, writing
+from layerloom.session import cut_finely
 from layerloom.sources import storage
 from tests.conftest import OPEN, rows
 
@@ -264,3 +267,27 @@ def test_filters_reach_the_files(items):
     assert "EqualTo(to_date,2099-12-31)" in narrow and "size" not in narrow.split("ReadSchema")[1]
     files = writing.stored_edges(day, "items_datamodel").inputFiles()
     assert files and all("target_table_name=items_datamodel" in f for f in files)
+
+
+def test_edges_of_joined_rows_need_no_shuffle_and_keep_each_source_once(spark):
+    rows = spark.createDataFrame(
+        [("r1", DAY1, OPEN, [("a", "1"), ("b", "1"), ("a", "1")]), ("r2", DAY1, OPEN, []), ("r3", DAY1, DAY2, [("a", "2")])],
+        f"RecordID string, from_date date, to_date date, `{LINEAGE}` {LINEAGE_TYPE}",
+    )
+    edges = lineage.open_edges(rows, lineage.Sources(), "t")
+    assert "Exchange" not in edges._jdf.queryExecution().executedPlan().toString()
+    found = sorted((r.source_table_name, r.source_RecordID, r.target_RecordID) for r in edges.collect())
+    assert found == [("a", "1", "r1"), ("b", "1", "r1")]
+
+
+def test_record_ids_are_stored_in_little_more_than_their_bytes(items):
+    """Hexadecimal digits hold four bits each: rows and edges must not take eight."""
+    cut_finely(items.spark)
+    n, day = 4000, items.on(DAY1)
+    put(day, "items_raw", [(f"c{i}", i % 100) for i in range(n)])
+    day.frame("items_datamodel", day.read("items_raw")).write()
+    edges = writing.stored_edges(items, "items_datamodel")
+    assert edges.count() == n
+    for df, ids in ((day.read("items_raw").df, 1), (edges, 2)):
+        stored = sum(os.path.getsize(f.split("file://")[-1]) for f in df.inputFiles())
+        assert stored < 50 * ids * n, (ids, stored, len(df.inputFiles()))
