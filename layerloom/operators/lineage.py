@@ -20,11 +20,12 @@ import itertools
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from layerloom.constants import FROM_DATE, LINEAGE, LINEAGE_TYPE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.functions.hashing import row_text
@@ -56,6 +57,8 @@ class GroupLink:
     sources: Sources  # what that lineage may hold
     # Further keys, of which each of these groups has all of the values.
     each: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    # What was computed per group, if a group is known to have no more rows than one task may sort.
+    aggregates: tuple[Column, ...] | None = field(default=None, compare=False)
 
     @property
     def members(self) -> DataFrame:
@@ -74,10 +77,15 @@ class Sources:
     grouped_by: tuple[tuple[str, str], ...] | None = None
     # No group of that grouping is missing.
     complete: bool = False
+    # The columns of that grouping, while the rows are nothing else: pairs of names now and then.
+    columns: tuple[tuple[str, str], ...] | None = None
+    # Source tables of which a row holds one entry at most, and no others; None where that is not known.
+    once: frozenset[str] | None = None
 
     def joined(self, other: Sources) -> Sources:
         groups = tuple(dict.fromkeys([*self.groups, *other.groups]))
-        return Sources(groups, self.direct or other.direct)
+        known = self.once is not None and other.once is not None and not self.once & other.once
+        return Sources(groups, self.direct or other.direct, once=self.once | other.once if known else None)
 
     def renamed(self, names: Mapping[str, str]) -> Sources:
         """The same after columns got other names."""
@@ -85,8 +93,9 @@ class Sources:
             return self
         kept = {now for now, _ in self.grouped_by if now not in names}
         if kept & set(names.values()):
-            return replace(self, grouped_by=None)
-        return replace(self, grouped_by=tuple((names.get(now, now), then) for now, then in self.grouped_by))
+            return replace(self, grouped_by=None, columns=None)
+        current = lambda pairs: pairs and tuple((names.get(now, now), then) for now, then in pairs)
+        return replace(self, grouped_by=current(self.grouped_by), columns=current(self.columns))
 
 
 def entry(source: Column, record_id: Column) -> Column:
@@ -146,15 +155,50 @@ def link_groups(
     keys: Sequence[str],
     sources: Sources,
     each: Mapping[str, Sequence[str]] | None = None,
+    aggregates: Sequence[Column] | None = None,
 ) -> tuple[DataFrame, Sources]:
     """Give the grouped rows their link entry and describe the members of the groups."""
     cut_finely(df.sparkSession)
     token = f"{next(_tokens)}:"
     known = tuple(k for k in keys if k in df.columns)
     spread = tuple((k, tuple(values)) for k, values in (each or {}).items())
-    link = GroupLink(token, known, df, sources, spread)
+    link = GroupLink(token, known, df, sources, spread, None if aggregates is None else tuple(aggregates))
     linked = grouped.withColumn(LINEAGE, entry(F.lit(LINK), _group_name(grouped, known, token)))
-    return linked, Sources((link,), False, tuple((k, k) for k in keys), complete=True)
+    columns = tuple((c, c) for c in grouped.columns)
+    return linked, Sources((link,), False, tuple((k, k) for k in keys), complete=True, columns=columns)
+
+
+def _only_id(table: str) -> Column:
+    """The record id of a row's first entry of a source table."""
+    return F.get(F.filter(LINEAGE, lambda e: e[SOURCE_TABLE] == table), F.lit(0))[SOURCE_ID]
+
+
+def counted_groups(sources: Sources, tables: Mapping[str, str]) -> DataFrame | None:
+    """The rows of a grouping next to the number of sources from each table, if one shuffle can give both.
+
+    ``tables`` names all source tables by the columns of their numbers. The rows of a group are brought together once;
+    a task sorts them by the ids of each table and aggregates what it counted with the rest. It holds none of a group's ids
+    at a time, but a group is not split: groupings declare that theirs are small.
+    """
+    link = sources.groups[0] if sources.complete and sources.columns else None
+    if link is None or link.aggregates is None or link.sources.groups or link.sources.once != frozenset(tables.values()):
+        return None
+    group = Window.partitionBy(*link.keys)
+    rows = link.rows.select(
+        *[c for c in link.rows.columns if c != LINEAGE],
+        *[_packed(_only_id(table)).alias(f"_id_{n}") for n, table in tables.items()],
+    ).repartition(*link.keys)
+    for n in tables:
+        rows = rows.withColumn(f"_nth_{n}", F.dense_rank().over(group.orderBy(F.asc_nulls_last(f"_id_{n}"))))
+    numbers = [
+        F.coalesce(F.max(F.when(F.col(f"_id_{n}").isNotNull(), F.col(f"_nth_{n}"))).cast("bigint"), F.lit(0)).alias(n)
+        for n in tables
+    ]
+    counted = rows.groupBy(*link.keys).agg(*link.aggregates, *numbers)
+    # A group without any source is not listed, as where its sources are looked up.
+    return counted.where(" OR ".join(f"`{n}` > 0" for n in tables)).select(
+        *[F.col(f"`{then}`").alias(now) for now, then in sources.columns], *tables
+    )
 
 
 def _entries_of(

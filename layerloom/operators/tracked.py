@@ -65,14 +65,16 @@ class TrackedFrame:
 
     def with_df(self, df: DataFrame) -> TrackedFrame:
         """The same table around other rows that carry the lineage of these rows."""
-        return replace(self, df=df, origin=replace(self.origin, grouped_by=None))
+        return replace(self, df=df, origin=replace(self.origin, grouped_by=None, columns=None, once=None))
 
     def _keeping_keys(self, df: DataFrame, changed: Iterable[str] = (), fewer: bool = False) -> TrackedFrame:
         """The same rows, or fewer; group keys still identify them unless one of them was changed."""
         grouped_by = self.origin.grouped_by
         if grouped_by is None or {now for now, _ in grouped_by} & set(changed):
-            return self.with_df(df)
-        return replace(self, df=df, origin=replace(self.origin, complete=self.origin.complete and not fewer))
+            once = None if LINEAGE in changed else self.origin.once
+            return replace(self, df=df, origin=replace(self.origin, grouped_by=None, columns=None, once=once))
+        complete = self.origin.complete and not fewer
+        return replace(self, df=df, origin=replace(self.origin, complete=complete, columns=None))
 
     def with_columns(self, **columns: Column) -> TrackedFrame:
         return self._keeping_keys(self.df.withColumns(columns), columns)
@@ -92,7 +94,7 @@ class TrackedFrame:
         kept = [c for c in columns if isinstance(c, Column) or c != LINEAGE]
         chosen = self.df.select(*kept, *([LINEAGE] if self.is_tracked else []))
         if any(isinstance(c, Column) for c in kept):
-            return self.with_df(chosen)
+            return replace(self, df=chosen, origin=replace(self.origin, grouped_by=None, columns=None))
         return self._keeping_keys(chosen)
 
     def drop(self, *columns: str) -> TrackedFrame:
@@ -205,13 +207,15 @@ class TrackedFrame:
         *aggregates: Column,
         members: TrackedFrame | None = None,
         each: Mapping[str, Sequence[str]] | None = None,
+        small: bool = False,
     ) -> TrackedFrame:
         """Any aggregate expressions per group, in one aggregation; null keys form groups.
 
         Sources are looked up in ``members`` where it is given: rows with the same lineage that were cheaper
         to compute, such as these rows before a derived column was joined to them. They may lack keys on
         which the sources of a group do not depend; these rows need no lineage then. ``each`` names the values of
-        such keys, if all of them occur next to each group.
+        such keys, if all of them occur next to each group. ``small`` says that no group has more rows than one task
+        may sort; sources can then be counted along with the aggregates (``counted``).
 
         Aggregates and sources are computed from the same rows, so select the columns they need first.
         """
@@ -222,7 +226,8 @@ class TrackedFrame:
         rows = members or self
         if not rows.is_tracked:
             return self.with_df(grouped)
-        linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin, each)
+        own = aggregates if small and members is None else None
+        linked, origin = lineage.link_groups(rows.df, grouped, keys, rows.origin, each, own)
         return replace(self, df=linked, origin=origin)
 
     def average(self, columns: Sequence[str], value: str, output: str | None = None) -> TrackedFrame:
@@ -261,6 +266,16 @@ class TrackedFrame:
         unique = grouped_by is not None and {now for now, _ in grouped_by} <= set(keep)
         return lineage.row_sources(self.df, self.origin, keep, unique)
 
+    def counted(self, keys: Sequence[str], tables: Mapping[str, str]) -> DataFrame | None:
+        """The rows of small groups (``group_by``) next to the number of sources behind each of them, from one shuffle.
+
+        ``tables`` names source tables by the columns of their numbers. None where the rows are not just such groups.
+        """
+        grouped_by = self.origin.grouped_by
+        if grouped_by is None or {now for now, _ in grouped_by} != set(keys):
+            return None
+        return lineage.counted_groups(self.origin, tables)
+
     # -- storage ------------------------------------------------------------------------------
 
     def compare(self, processing_date: dt.date | None = None) -> DataFrame:

@@ -131,6 +131,7 @@ def departures(
         F.avg("Departure_Delay").alias("Average_Delay"),
         F.avg("Taxi_Out").alias("Average_Taxi"),
         F.max("Departure_Delay").alias("Max_Delay"),
+        small=True,  # what one airline flies from one airport on one day
     ).rename({"Airline": "Airline_Name", "Airport": "Airport_Name"})
 
 

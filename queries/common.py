@@ -40,7 +40,7 @@ def tracked(df: DataFrame, source: str, *id_parts: str) -> TrackedFrame:
     """Rows of a driver table as lineage sources, identified by their key columns."""
     record_id = F.concat_ws("-", *id_parts)
     seeded = lineage.seed(df.withColumn(RECORD_ID, record_id), source)
-    return TrackedFrame(seeded.drop(RECORD_ID))
+    return TrackedFrame(seeded.drop(RECORD_ID), origin=lineage.Sources(once=frozenset({source})))
 
 
 def load_tracked(spark: SparkSession, folder: str, table: str, *id_parts: str) -> TrackedFrame:
@@ -63,6 +63,9 @@ def source_counts(frame: TrackedFrame, keys: Sequence[str], *tables: str) -> Dat
 
 def with_source_counts(frame: TrackedFrame, keys: Sequence[str], *tables: str) -> DataFrame:
     """The rows of a grouped frame next to the number of sources behind each of them."""
+    counted = frame.counted(keys, {f"n_{t}": f"{t}_raw" for t in tables})
+    if counted is not None:
+        return counted
     return null_safe_join(frame.data, source_counts(frame, keys, *tables), keys)
 
 

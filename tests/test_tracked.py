@@ -255,3 +255,34 @@ def test_trace_of_a_long_chain_ends(spark):
     edges = spark.createDataFrame(chain, trace_edges(spark).schema)
     starts = spark.createDataFrame([("a", "102")], "table_name string, RecordID string")
     assert lineage.trace(edges, starts).count() == 103
+
+
+def test_small_groups_count_sources_with_their_aggregates(spark):
+    def seeded(source, data, schema):
+        rows_of = lineage.seed(spark.createDataFrame(data, schema), source).drop("RecordID")
+        return TrackedFrame(rows_of, origin=lineage.Sources(once=frozenset({source})))
+
+    flown = [("f1", "a", 1), ("f1", "a", 1), ("f2", "a", 5), ("f3", "b", 2), (None, "c", 4), ("f5", None, 7), ("f6", "d", 3)]
+    flights = seeded("flights_raw", flown, "RecordID string, k string, v int")
+    places = [("p1", "a", "A"), ("p2", "a", "A"), ("p3", "b", "A"), ("p4", "d", None)]
+    airports = seeded("airports_raw", places, "RecordID string, place string, name string")
+    joined = flights.join(airports, left_on="k", right_on="place", how="left")
+    tables = {"n_flights": "flights_raw", "n_airports": "airports_raw"}
+
+    def grouped(frame, small):
+        return frame.group_by(["name"], F.count(F.lit(1)).alias("n"), F.max("v").alias("top"), small=small).rename({"name": "title"})
+
+    counted = grouped(joined, True).counted(["title"], tables)
+    assert rows(counted, "title", "n", "top", "n_flights", "n_airports") == [("A", 7, 5, 3, 3), (None, 3, 7, 2, 1)]
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # Two shuffles for the join, if it is not a broadcast, and one that aggregates and numbers share.
+    assert plan.count("Exchange hashpartitioning(name") == 1 and "Exchange hashpartitioning(title" not in plan
+    # A row without any source: its group is left out, as where sources are looked up.
+    lost = seeded("flights_raw", [(None, "x", 1), ("f1", "y", 1)], "RecordID string, name string, v int")
+    assert rows(grouped(lost, True).counted(["title"], {"n_flights": "flights_raw"}), "title", "n_flights") == [("y", 1)]
+    # Where a row may hold several entries of a table, or rows are not just the groups, sources are looked up.
+    twice = joined.join(airports.rename({"place": "other", "name": "second"}), left_on="k", right_on="other", how="left")
+    assert grouped(twice, True).counted(["title"], tables) is None
+    assert grouped(joined, False).counted(["title"], tables) is None
+    assert grouped(joined, True).where("n > 1").counted(["title"], tables) is None
+    assert grouped(joined, True).counted(["title"], {"n_flights": "flights_raw"}) is None
