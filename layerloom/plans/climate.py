@@ -15,7 +15,7 @@ from layerloom.functions.bands import RANK_BANDS, REDUCTION_BANDS, clamp_unit, r
 from layerloom.functions.hashing import row_text
 from layerloom.functions.naming import find_column, require_columns
 from layerloom.functions.text import clean_industry_code
-from layerloom.operators.ranking import with_dense_rank
+from layerloom.operators.ranking import per_set, range_ranks, with_dense_rank
 from layerloom.operators.relations import (
     first_per_group,
     first_value_by,
@@ -201,9 +201,9 @@ def per_benchmark(
     return df.select(*keep, F.inline(F.array(*choices))), ["_benchmark", *names]
 
 
-def _label(groups: Mapping[str, Sequence[str]]) -> Column:
+def _label(groups: Mapping[str, Sequence[str]], number: str = "_benchmark") -> Column:
     """The label of a benchmark's number."""
-    return F.array(*[F.lit(label) for label in groups])[F.col("_benchmark").cast("int")]
+    return F.array(*[F.lit(label) for label in groups])[F.col(number).cast("int")]
 
 
 def emission_profile(
@@ -277,12 +277,13 @@ def upstream_profile(
     narrow = upstream.select(*dict.fromkeys([activity_id, co2, isic, sector, unit]))
     ledger = mapping.select(ledger_id, activity_id)
     # Ranks do without lineage: every input is in all six benchmarks, so a ledger entry has the same sources in each.
-    repeated, by = per_benchmark(narrow.data, groups, [activity_id, co2])
+    # Inputs are shuffled once each to be ranked, once each to meet the ledger, and repeated per benchmark after that.
+    inputs, runs = range_ranks(narrow.data, list(groups.values()), co2)
+    ranked = per_set(ledger.data.join(inputs, activity_id), runs, list(groups.values()))
     share = F.col("dense_rank") / F.col("distinct_count")
-    ranked = with_dense_rank(repeated, by, co2).select(
-        activity_id, _label(groups).alias("benchmark_group"), co2, share.alias("profile_ranking")
+    scored = ledger.with_df(
+        ranked.select(ledger_id, _label(groups, "_set").alias("benchmark_group"), co2, share.alias("profile_ranking"))
     )
-    scored = ledger.with_df(ledger.data.join(ranked, activity_id))
     averages = scored.group_by(
         [ledger_id, "benchmark_group"],
         F.avg("profile_ranking").alias("average_input_profile_rank"),

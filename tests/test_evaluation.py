@@ -149,6 +149,35 @@ def test_null_groups_are_told_apart_by_their_place(spark):
     assert rows(ranked, "dense_rank", "distinct_count", "row_count") == [(1, 1, 1)] * 4
 
 
+@pytest.mark.parametrize("batch", ["3", "10000"])
+def test_ranks_in_several_groupings_from_one_shuffle(spark, batch):
+    data = [(i, i % 2, str(i % 7), 7.0 if i % 3 else float(i % 50)) for i in range(600)]
+    data += [(600, None, None, None), (601, 0, "1", None), (602, 1, None, float("nan")), (603, 1, "1", -0.0), (604, 1, "1", 0.0)]
+    df = spark.createDataFrame(data, "id int, g int, h string, v double").repartition(6)
+    sets = [[], ["g"], ["h"], ["g", "h"]]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        found = ranking.per_set(*ranking.range_ranks(df, sets, "v", 9), sets)
+        found = found.select("id", "_set", "dense_rank", "distinct_count", "row_count")
+        text = plan(found)
+        found = found.localCheckpoint()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    by = F.col("_set")
+    for i, columns in enumerate(sets):
+        window = Window.partitionBy(*columns)
+        ranked = df.withColumn("r", F.dense_rank().over(window.orderBy("v")).cast("bigint"))
+        expected = ranked.select(
+            "id", F.lit(i).cast("tinyint"), "r", F.max("r").over(window), F.count(F.lit(1)).over(window)
+        )
+        own = found.where(by == i)
+        assert own.count() == 605 and own.exceptAll(expected).isEmpty()
+    # Rows are repeated per grouping only after their shuffle.
+    assert "rangepartitioning" in text and "Generate" not in text.split("rangepartitioning")[-1]
+    none = df.where("id < 0")
+    assert ranking.per_set(*ranking.range_ranks(none, sets, "v", 9), sets).count() == 0
+
+
 # -- writing --------------------------------------------------------------------------------------
 
 
