@@ -82,6 +82,21 @@ def merge_history(
     return merged.unionByName(closed)
 
 
+def first_history(incoming: DataFrame, processing_date: dt.date | None = None) -> DataFrame:
+    """What ``merge_history`` gives where nothing is stored; copies of a row are for the caller to find.
+
+    Nothing meets anything here, so rows are not shuffled.
+    """
+    keep_compiled(incoming.sparkSession)
+    tracked = [LINEAGE] if LINEAGE in incoming.columns else []
+    return incoming.select(
+        *value_columns(incoming),
+        date_literal(processing_date).alias(FROM_DATE),
+        F.lit(OPEN_END).cast("date").alias(TO_DATE),
+        *[F.coalesce(c, no_sources()).alias(c) for c in tracked],
+    )
+
+
 def add_record_id(df: DataFrame, partition_column: str = "", hash_mode: str = "safe") -> DataFrame:
     """Hash of all columns but the record id, ``to_date`` and lineage; so closing keeps the id.
 

@@ -60,6 +60,11 @@ class GroupLink:
     # What was computed per group, if a group is known to have no more rows than one task may sort.
     aggregates: tuple[Column, ...] | None = field(default=None, compare=False)
 
+    @property
+    def is_small(self) -> bool:
+        """Whether rows can be brought together by group, and hold one plain source of a table at most."""
+        return self.aggregates is not None and not self.sources.groups and self.sources.once is not None
+
     @property
     def members(self) -> DataFrame:
         """_group, source_table_name, _id: the sources of each group."""
@@ -137,14 +142,14 @@ def _group_key(df: DataFrame, keys: Sequence[str], token: str) -> Column:
     return F.unhex(_group_name(df, keys, token))
 
 
-def _packed(record_id: Column) -> Column:
+def packed(record_id: Column) -> Column:
     """A record id in bytes, half as many for a SHA-256; the first byte says which."""
     plain = F.concat(F.lit(b"\0"), F.encode(record_id, "UTF-8"))
     hashed = (F.length(record_id) == 64) & record_id.rlike("^[0-9a-f]{64}$")
     return F.when(hashed, F.concat(F.lit(b"\1"), F.unhex(record_id))).otherwise(plain)
 
 
-def _unpacked(packed: Column) -> Column:
+def unpacked(packed: Column) -> Column:
     kind, rest = F.substring(packed, 1, 1), packed.substr(F.lit(2), F.length(packed))
     return F.when(kind == F.lit(b"\1"), F.lower(F.hex(rest))).otherwise(F.decode(rest, "UTF-8"))
 
@@ -181,12 +186,12 @@ def counted_groups(sources: Sources, tables: Mapping[str, str]) -> DataFrame | N
     at a time, but a group is not split: groupings declare that theirs are small.
     """
     link = sources.groups[0] if sources.complete and sources.columns else None
-    if link is None or link.aggregates is None or link.sources.groups or link.sources.once != frozenset(tables.values()):
+    if link is None or not link.is_small or link.sources.once != frozenset(tables.values()):
         return None
     group = Window.partitionBy(*link.keys)
     rows = link.rows.select(
         *[c for c in link.rows.columns if c != LINEAGE],
-        *[_packed(_only_id(table)).alias(f"_id_{n}") for n, table in tables.items()],
+        *[packed(_only_id(table)).alias(f"_id_{n}") for n, table in tables.items()],
     ).repartition(*link.keys)
     for n in tables:
         rows = rows.withColumn(f"_nth_{n}", F.dense_rank().over(group.orderBy(F.asc_nulls_last(f"_id_{n}"))))
@@ -214,8 +219,10 @@ def _entries_of(
     name, record_id = F.col(f"_e.{SOURCE_TABLE}"), F.col(f"_e.{SOURCE_ID}")
     found = record_id.isNotNull()
     if not sources.groups:
-        direct = entries.where(found).select(*kept, name, _packed(record_id).alias("_id"))
+        direct = entries.where(found).select(*kept, name, packed(record_id).alias("_id"))
         return direct if alone else direct.distinct()
+    if sources.grouped_by is not None and unique and sources.groups[0].is_small:
+        return _entries_of_small(entries.where(name == LINK), kept, sources.groups[0])
     members = union_all([g.members for g in sources.groups]).withColumnRenamed("_group", "_of")
     links = entries.where(name == LINK).select(*kept, F.unhex(record_id).alias("_link"))
     if sources.grouped_by is None:
@@ -224,11 +231,24 @@ def _entries_of(
     if sources.grouped_by is not None and unique:
         return resolved
     if sources.direct:
-        direct = entries.where((name != LINK) & found).select(*kept, name, _packed(record_id).alias("_id"))
+        direct = entries.where((name != LINK) & found).select(*kept, name, packed(record_id).alias("_id"))
         resolved = resolved.unionByName(direct)
     return resolved.distinct()
 
 
+def _entries_of_small(links: DataFrame, kept: Sequence[str], link: GroupLink) -> DataFrame:
+    """The same for groups whose rows a task may hold: rows, not entries, meet the groups, and distinct ones are found there."""
+    tables = sorted(link.sources.once)
+    rows = link.rows.select(
+        _group_key(link.rows, link.keys, link.token).alias("_of"),
+        *[packed(_only_id(table)).alias(f"_own{i}") for i, table in enumerate(tables)],
+    )
+    groups = links.select(*kept, F.unhex(F.col(f"_e.{SOURCE_ID}")).alias("_link"))
+    own = [F.struct(F.lit(t).alias(SOURCE_TABLE), F.col(f"_own{i}").alias("_id")) for i, t in enumerate(tables)]
+    met = groups.join(rows, F.col("_link") == F.col("_of")).select("_link", *kept, F.inline(F.array(*own)))
+    return met.where(F.col("_id").isNotNull()).distinct().drop("_link")
+
+
 def row_sources(
     df: DataFrame, sources: Sources, keep: Sequence[Column | str], unique: bool = False
 ) -> DataFrame:
@@ -250,7 +270,7 @@ def row_sources(
     else:
         entries = _entries_of(df, sources, keep, unique)
     kept = [c for c in entries.columns if c not in (SOURCE_TABLE, "_id")]
-    return entries.select(*kept, SOURCE_TABLE, _unpacked(F.col("_id")).alias(SOURCE_ID))
+    return entries.select(*kept, SOURCE_TABLE, unpacked(F.col("_id")).alias(SOURCE_ID))
 
 
 @contextmanager
@@ -259,7 +279,8 @@ def held(*frames: DataFrame, origin: Sources | None = None) -> Iterator[None]:
 
     The rows stand on the disks of executors; those of a lost executor are computed again.
     """
-    wanted = [*frames, *(link.rows for link in _all_groups(origin or Sources()))]
+    # What others are computed from comes first: a plan is bound to what is held when it is held itself.
+    wanted = [*(link.rows for link in reversed(_all_groups(origin or Sources()))), *frames]
     new = [f for f in wanted if f.storageLevel == StorageLevel.NONE]
     for frame in new:
         frame.persist(StorageLevel.DISK_ONLY)
@@ -281,9 +302,11 @@ def _all_groups(origin: Sources) -> list[GroupLink]:
 def open_edges(df: DataFrame, sources: Sources, target: str) -> DataFrame:
     """Edges of the open rows of a table that is about to be stored, with the day each target appeared."""
     rows = df.where(F.col(TO_DATE) == F.lit(OPEN_END).cast("date"))
-    keep = [F.col(RECORD_ID).alias(TARGET_ID), F.col(FROM_DATE).alias(TARGET_DAY)]
+    keep = [packed(F.col(RECORD_ID)).alias(TARGET_ID), F.col(FROM_DATE).alias(TARGET_DAY)]
     edges = row_sources(rows, replace(sources, complete=False), keep, unique=True)
-    return edges.select(SOURCE_ID, SOURCE_TABLE, TARGET_ID, F.lit(target).alias(TARGET_TABLE), TARGET_DAY)
+    return edges.select(
+        SOURCE_ID, SOURCE_TABLE, unpacked(F.col(TARGET_ID)).alias(TARGET_ID), F.lit(target).alias(TARGET_TABLE), TARGET_DAY
+    )
 
 
 def _edge_key() -> Column:
@@ -375,12 +398,12 @@ def _deeper(edges: DataFrame, frontier: DataFrame, start: Sequence[str]) -> Data
     links = edges.where(F.col(TARGET_TABLE).isin(below))
     step = links.select(
         F.col(TARGET_TABLE).alias("_table"),
-        _packed(F.col(TARGET_ID)).alias("_id"),
+        packed(F.col(TARGET_ID)).alias("_id"),
         F.col(SOURCE_TABLE).alias("_to"),
-        _packed(F.col(SOURCE_ID)).alias("_to_id"),
+        packed(F.col(SOURCE_ID)).alias("_to_id"),
     ).distinct()
     place = ["_table", "_id"]
-    records = F.col("table_name").alias("_table"), _packed(F.col(RECORD_ID)).alias("_id")
+    records = F.col("table_name").alias("_table"), packed(F.col(RECORD_ID)).alias("_id")
     jumps = kept(step, "jumps-1")
     reached = kept(frontier.select(*start, "depth", *records).distinct(), "reached-0")
     length = 1
@@ -407,9 +430,9 @@ def _deeper(edges: DataFrame, frontier: DataFrame, start: Sequence[str]) -> Data
         *start,
         (F.col("depth") + 1).alias("depth"),
         F.col("_to").alias("table_name"),
-        _unpacked(F.col("_to_id")).alias(RECORD_ID),
+        unpacked(F.col("_to_id")).alias(RECORD_ID),
         F.col("_table").alias("parent_table_name"),
-        _unpacked(F.col("_id")).alias("parent_RecordID"),
+        unpacked(F.col("_id")).alias("parent_RecordID"),
     )
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from layerloom.constants import HISTORY_COLUMNS, LINEAGE, OPEN_END, RECORD_ID, TO_DATE
-from layerloom.operators.lineage import SOURCE_TABLE, TARGET_ID
+from layerloom.operators.lineage import SOURCE_TABLE, TARGET_ID, packed, unpacked
 from layerloom.operators.relations import union_all
 from layerloom.session import cut_finely
 
@@ -224,9 +224,11 @@ def expected_history(
     cut_finely(df.sparkSession)
     template = trace_template(expected)
     counts = (
-        trace.join(df.select(F.col(RECORD_ID).alias(TARGET_ID)), TARGET_ID)
-        .groupBy(TARGET_ID, SOURCE_TABLE)
+        trace.select(packed(F.col(TARGET_ID)).alias("_id"), SOURCE_TABLE)
+        .join(df.select(packed(F.col(RECORD_ID)).alias("_id")), "_id")
+        .groupBy("_id", SOURCE_TABLE)
         .agg(F.count(F.lit(1)).alias("amount_records"))
+        .withColumn(TARGET_ID, unpacked(F.col("_id")))
     )
     matches = [
         reduce(Column.__and__, [F.col(name) == F.lit(value) for name, value in row.items()])

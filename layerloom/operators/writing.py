@@ -28,8 +28,9 @@ from pyspark.sql import types as T
 from layerloom.catalog import TableDef
 from layerloom.constants import FROM_DATE, HISTORY_COLUMNS, LINEAGE, OPEN_END, RECORD_ID, TO_DATE
 from layerloom.operators import lineage, quality
-from layerloom.operators.history import COPIES_ERROR, add_record_id, merge_history
+from layerloom.operators.history import COPIES_ERROR, add_record_id, first_history, merge_history
 from layerloom.operators.tracked import TrackedFrame
+from layerloom.session import cleaned
 from layerloom.sources import readers, storage
 from layerloom.workspace import Workspace
 
@@ -79,7 +80,7 @@ def _shown(columns: list[tuple[str, T.DataType]]) -> str:
 
 def check_distinct_rows(df: DataFrame) -> None:
     """No row may occur twice. The record id stands for every column but ``to_date``."""
-    twice = df.groupBy(RECORD_ID, TO_DATE).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = df.groupBy(lineage.packed(F.col(RECORD_ID)).alias("_id"), TO_DATE).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not twice.isEmpty():
         raise ValueError(COPIES_ERROR)
 
@@ -105,20 +106,19 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
         frame = frame.with_df(frame.df.withColumn(table.partition_column, F.lit(frame.partition)))
 
     validate_values(frame.df, table)
-    merged = add_record_id(
-        compare_with_stored(frame, space.processing_date), table.partition_column
-    )
-    validate_structure(merged, table)
-
     target = space.path(table, frame.partition if table.partition_column else "")
     staged_path = storage.staging_path(target)
     storage.recover(space.spark, target)
     _append_edges(space, table, target)
+    is_first = storage.readable(space.spark, target) is None
+    states = first_history(frame.df, space.processing_date) if is_first else compare_with_stored(frame, space.processing_date)
+    merged = add_record_id(states, table.partition_column)
+    validate_structure(merged, table)
     # The folder name states the partition, so its column is not stored in the files.
     hidden = [c for c in (table.partition_column, LINEAGE) if c]
     kept = [merged] if frame.is_tracked else []
     try:
-        with lineage.held(*kept, origin=frame.origin):
+        with cleaned(space.spark), lineage.held(*kept, origin=frame.origin):
             counter = quality.RowCounter(
                 merged, table.quality_checks, table.signalling_checks, space.processing_date
             )
@@ -128,7 +128,9 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
             _stage(counter.watch(ordered).drop(*hidden), staged_path)
             seen = counter.result()
             staged = space.spark.read.schema(merged.drop(*hidden).schema).parquet(staged_path)
-            if seen.closed:
+            if is_first:
+                check_distinct_rows(staged)  # nothing was joined that would have shown copies
+            elif seen.closed:
                 # Incoming copies fail above and stored rows are distinct, so only rows closed today can clash.
                 check_distinct_rows(staged.where(F.col(TO_DATE) == F.lit(space.processing_date)))
             quality.check_blocking(staged, table.quality_checks, seen)

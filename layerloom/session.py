@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Plans are sized at run time. Before a query starts only tiny tables are broadcast, because the size
@@ -52,3 +55,18 @@ def keep_compiled(spark: SparkSession) -> None:
     """
     if METHOD_SIZE not in spark.conf.getAll:
         spark.conf.set(METHOD_SIZE, str(COMPILED_METHOD_SIZE))
+
+
+#: Whether Spark deletes the shuffle files of a query when it ends, not when its plan is collected as garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written or counted meanwhile go when it stands; nothing reads them again."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)

@@ -37,9 +37,11 @@ class Workspace:
         """Open a stored table; raw and later layers start a lineage of their own rows."""
         table = self.catalog.find(name)
         df = readers.read_table(self.spark, table, self.path(table), partition, history)
+        origin = lineage.Sources()
         if table.keeps_lineage:
             df = lineage.seed(df, table.source_name)
-        return TrackedFrame(df, table, self, partition, history)
+            origin = lineage.Sources(once=frozenset({table.source_name}))
+        return TrackedFrame(df, table, self, partition, history, origin)
 
     def frame(
         self, name: str, source: DataFrame | TrackedFrame, partition: str = ""

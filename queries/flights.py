@@ -215,13 +215,14 @@ def flight_chain(spark: SparkSession, folder: str) -> DataFrame:
         flights.generate(space, table, AS_OF)
     stored = space.read("flight_airport_departures_enriched").data
     edges = stored_edges(space, "flight_airport_departures_enriched")
-    sources = edges.groupBy(F.col("target_RecordID").alias("RecordID")).agg(
+    # Record ids are SHA-256: half as many bytes as digits.
+    sources = edges.groupBy(F.unhex("target_RecordID").alias("_id")).agg(
         *[
             F.count_if(F.col("source_table_name") == f"{topic}_datamodel").alias(f"n_{topic}")
             for topic in ("flights", "airports", "airlines")
         ]
     )
-    return stored.join(sources, "RecordID").drop("RecordID")
+    return stored.withColumn("_id", F.unhex("RecordID")).drop("RecordID").join(sources, "_id").drop("_id")
 
 
 FLIGHT_CHAIN_SQL = f"""

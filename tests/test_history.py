@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from layerloom.functions.hashing import row_hash
-from layerloom.operators.history import add_record_id, merge_history
+from layerloom.operators.history import add_record_id, first_history, merge_history
 from tests.conftest import OPEN, rows
 
 START, TODAY = dt.date(2023, 1, 1), dt.date(2024, 5, 1)
@@ -133,3 +133,13 @@ def test_wide_rows_are_hashed_by_compiled_code(spark):
     assert add_record_id(merge_history(wide, nothing, TODAY)).orderBy("c0").collect() == first
     assert spark.conf.get(name) == "65535"
     spark.conf.unset(name)
+
+
+def test_first_states_are_those_merged_into_nothing(spark):
+    incoming = spark.createDataFrame([("a", 1), ("b", None)], "k string, v int")
+    stored = incoming.where("false").withColumns({"from_date": F.lit(None).cast("date"), "to_date": F.lit(None).cast("date")})
+    day = dt.date(2024, 5, 1)
+    first = first_history(incoming, day)
+    merged = merge_history(incoming, stored, day)
+    assert first.columns == merged.columns and rows(first) == rows(merged)
+    assert "Exchange" not in first._jdf.queryExecution().executedPlan().toString()

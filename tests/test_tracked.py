@@ -286,3 +286,37 @@ def test_small_groups_count_sources_with_their_aggregates(spark):
     assert grouped(joined, False).counted(["title"], tables) is None
     assert grouped(joined, True).where("n > 1").counted(["title"], tables) is None
     assert grouped(joined, True).counted(["title"], {"n_flights": "flights_raw"}) is None
+
+
+def test_edges_of_small_groups_are_those_of_any_group(spark):
+    def seeded(source, data, schema):
+        rows_of = lineage.seed(spark.createDataFrame(data, schema), source).drop("RecordID")
+        return TrackedFrame(rows_of, origin=lineage.Sources(once=frozenset({source})))
+
+    long = "0123456789abcdef" * 4
+    flights = seeded(
+        "flights_raw", [("f1", "a"), ("f1", "a"), (long, "a"), (None, "b"), ("f4", "b"), ("f5", None), (None, "c")], "RecordID string, k string"
+    )
+    airports = seeded("airports_raw", [(long.upper(), "a"), ("p2", "a"), ("p3", "b")], "RecordID string, place string")
+    joined = flights.join(airports, left_on="k", right_on="place", how="left")
+
+    def found(small):
+        grouped = joined.group_by(["k"], F.count(F.lit(1)).alias("n"), small=small)
+        day = F.lit("2024-05-01").cast("date")
+        stored = grouped.df.select(F.coalesce("k", F.lit("-")).alias("RecordID"), LINEAGE, day.alias("from_date"), F.lit("2099-12-31").cast("date").alias("to_date"))
+        return lineage.open_edges(stored, grouped.origin, "t")
+
+    wanted = ("source_RecordID", "source_table_name", "target_RecordID")
+    assert rows(found(True), *wanted) == rows(found(False), *wanted)
+    assert found(True).count() == 7
+    # Rows meet their group as rows: entries are not shuffled ahead of it to find the distinct ones.
+    optimized = found(True)._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("Aggregate") == 1 + 1  # the groups themselves, and the distinct entries
+
+
+def test_held_frames_read_what_their_groups_were_computed_from(spark):
+    origin_rows = frame(spark, "raw", [("r1", "a"), ("r2", "b")], "RecordID string, k string").drop("RecordID")
+    grouped = origin_rows.group_by(["k"], F.count(F.lit(1)).alias("n"))
+    with lineage.held(grouped.df, origin=grouped.origin):
+        cached = grouped.df._jdf.queryExecution().withCachedData().toString()
+        assert cached.count("InMemoryRelation") == 2
