@@ -30,7 +30,7 @@ from layerloom.constants import FROM_DATE, HISTORY_COLUMNS, LINEAGE, OPEN_END, R
 from layerloom.operators import lineage, quality
 from layerloom.operators.history import COPIES_ERROR, add_record_id, first_history, merge_history
 from layerloom.operators.tracked import TrackedFrame
-from layerloom.session import cleaned
+from layerloom.session import cleaned, release_shuffles
 from layerloom.sources import readers, storage
 from layerloom.workspace import Workspace
 
@@ -117,6 +117,8 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
     # The folder name states the partition, so its column is not stored in the files.
     hidden = [c for c in (table.partition_column, LINEAGE) if c]
     kept = [merged] if frame.is_tracked else []
+    if kept:
+        release_shuffles(space.spark)  # of tables written before
     try:
         with cleaned(space.spark), lineage.held(*kept, origin=frame.origin):
             counter = quality.RowCounter(

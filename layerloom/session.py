@@ -70,3 +70,11 @@ def cleaned(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(CLEANUP, before)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of held frames that were given up.
+
+    They belong to no query that ends. Spark deletes them when the JVM collects their plans, which an idle heap may put off for long.
+    """
+    spark.sparkContext._jvm.System.gc()
