@@ -1,8 +1,8 @@
 """Store a table: merge history, add record ids, validate, publish, measure.
 
 The merged rows are computed once and written once, into a staging folder next to the table. The job that
-writes them counts row checks, fill grades and closed rows on its way; checks on groups read the staged
-columns they need. A violation leaves table, edges and metrics untouched. Rows with lineage are held on
+writes them counts row checks, fill grades and closed rows on its way; checks on groups, and the search
+for copies among a table's first rows, read the staged columns they need. A violation leaves table, edges and metrics untouched. Rows with lineage are held on
 executors meanwhile, and so is what their groupings were computed from, so that the new edges come from
 the same evaluation; they are staged with the rows, in a folder Spark does not read as part of the table,
 while the sources are still as they were: a table may be its own source. One rename publishes both; then
@@ -85,6 +85,13 @@ def check_distinct_rows(df: DataFrame) -> None:
         raise ValueError(COPIES_ERROR)
 
 
+def check_distinct_ids(ids: DataFrame) -> None:
+    """No record id may occur twice among a table's first rows: they appeared on one day, so equal ids are equal rows."""
+    twice = ids.groupBy(lineage.packed(F.col(RECORD_ID)).alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError(COPIES_ERROR)
+
+
 def validate(df: DataFrame, table: TableDef) -> None:
     """Structure, distinct rows and the blocking gate."""
     validate_structure(df, table)
@@ -131,7 +138,8 @@ def write_table(frame: TrackedFrame) -> TrackedFrame:
             seen = counter.result()
             staged = space.spark.read.schema(merged.drop(*hidden).schema).parquet(staged_path)
             if is_first:
-                check_distinct_rows(staged)  # nothing was joined that would have shown copies
+                # No join has shown copies; of the staged rows nothing but their ids is read.
+                check_distinct_ids(staged.select(RECORD_ID))
             elif seen.closed:
                 # Incoming copies fail above and stored rows are distinct, so only rows closed today can clash.
                 check_distinct_rows(staged.where(F.col(TO_DATE) == F.lit(space.processing_date)))
